@@ -15,18 +15,22 @@ def is_weekend(dow: Column) -> Column:
     return F.when(dow.isin(6, 7), 1).otherwise(0).cast("long")
 
 
-def calendar_columns(date_col: str = "date") -> list[Column]:
+def calendar_dict(date_col: str = "date") -> dict[str, Column]:
     """Year, month, quarter, ISO week, weekday, weekend flag (all bigint)."""
     d = F.col(date_col)
     dow = day_of_week(d)
-    return [
-        F.year(d).cast("long").alias("year"),
-        F.month(d).cast("long").alias("month"),
-        F.quarter(d).cast("long").alias("quarter"),
-        F.weekofyear(d).cast("long").alias("week_of_year"),
-        dow.alias("day_of_week"),
-        is_weekend(dow).alias("is_weekend"),
-    ]
+    return {
+        "year": F.year(d).cast("long"),
+        "month": F.month(d).cast("long"),
+        "quarter": F.quarter(d).cast("long"),
+        "week_of_year": F.weekofyear(d).cast("long"),
+        "day_of_week": dow,
+        "is_weekend": is_weekend(dow),
+    }
+
+
+def calendar_columns(date_col: str = "date") -> list[Column]:
+    return [c.alias(n) for n, c in calendar_dict(date_col).items()]
 
 
 def date_range(start: str | Column, end: str | Column) -> Column:

@@ -11,6 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopcast.operators import clean as C
+from shopcast.operators import features as FE
+from shopcast.operators import profile as PR
 from shopcast.plans import reports as R
 from shopcast.sources.tables import daily_sales, stores
 
@@ -20,6 +23,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 # 2001-11-04): the quarter report compares 2000 and 2001.
 QUARTER_YEARS = (2000, 2001)
 KPI_FROM, KPI_TO = "1995-01-01", "2001-12-31"
+PROFILE_COLS = ["sales_cents", "customers", "open", "promo", "school_holiday"]
+CORR_COLS = ["store", "open", "customers", "promo", "school_holiday",
+             "competition_distance"]
+
+
+def _clean(spark, d):
+    return C.clean_join(daily_sales(spark, d), stores(spark, d))
+
+
+def _impute(spark, d):
+    return C.impute_median(stores(spark, d), "competition_distance")
 
 
 def _both(fn):
@@ -45,5 +59,28 @@ def queries() -> dict[str, Query]:
         "report_quartiles": _sales(R.report_quartiles),
         "report_closures": _both(R.report_closures),
         "network_kpis": _sales(lambda s: R.network_kpis(s, KPI_FROM, KPI_TO)),
+        "null_counts": lambda spark, d: C.null_counts(stores(spark, d)),
+        "impute_distance": _impute,
+        "fill_defaults": lambda spark, d: C.clean_stores(stores(spark, d)),
+        "clean_join": _clean,
+        "sales_by_day": _sales(PR.sales_by_day),
+        "promo_sales_by_day": _sales(PR.promo_sales_by_day),
+        "sales_by_weekday": _sales(PR.sales_by_weekday),
+        "sales_by_month": _sales(PR.sales_by_month),
+        "profile": _sales(lambda s: PR.profile(s, PROFILE_COLS)),
+        "histogram_sales": _sales(lambda s: PR.histogram(s, 50)),
+        "histogram_log_sales": _sales(lambda s: PR.histogram(s, 50, log=True)),
+        "correlation_with_sales": lambda spark, d: PR.correlation_with(
+            _clean(spark, d), "sales_cents", CORR_COLS),
+        "calendar_features": _sales(FE.calendar_features),
+        "one_hot": lambda spark, d: (lambda c: FE.one_hot(
+            c, FE.feature_categories(c), FE.DROP_FIRST))(_clean(spark, d)),
+        "lags": _sales(lambda s: FE.add_lags(s).select(
+            "store", "date", *[f"{p}_lag_{k}" for k in FE.LAGS
+                               for p in ("sales", "customers")])),
+        "rolling_open": _sales(lambda s: FE.add_rolling(s.filter("open = 1")).select(
+            "store", "date", *FE.rolling_columns().keys())),
+        "rolling_full": _sales(lambda s: FE.add_rolling(s, full=True).select(
+            "store", "date", *FE.rolling_columns().keys())),
     }
     return q

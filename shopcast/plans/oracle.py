@@ -192,6 +192,190 @@ FROM daily_sales"""),
 }
 
 
+
+
+def rnd(x: str, digits: int) -> str:
+    """floor-based half-up rounding of a double (same as round_half_up)."""
+    k = f"CAST({10 ** digits} AS DOUBLE)"
+    return f"(FLOOR(({x}) * {k} + 0.5) / {k})"
+
+
+def msd(n: str, s1: str, s2: str) -> str:
+    """sample std from exact moments (same as functions.exact.moment_std)."""
+    return (f"(CASE WHEN {n} >= 2 THEN sqrt(greatest(CAST({n} * {s2} - {s1} * {s1} AS DOUBLE), 0.0)"
+            f" / CAST({n} * ({n} - 1) AS DOUBLE)) END)")
+
+
+CLEAN_STORES = """
+SELECT store, store_type, assortment,
+       COALESCE(competition_distance,
+                (SELECT quantile_disc(competition_distance, 0.5) FROM stores)) AS competition_distance,
+       COALESCE(promo_interval, '0') AS promo_interval
+FROM stores"""
+
+CLEAN_JOIN = """
+SELECT d.*, c.store_type, c.assortment, c.competition_distance, c.promo_interval
+FROM daily_sales d LEFT JOIN clean_stores c ON d.store = c.store"""
+
+PROFILE_COLS = ("sales_cents", "customers", "open", "promo", "school_holiday")
+
+
+def _profile_sql() -> str:
+    parts = []
+    for c in PROFILE_COLS:
+        parts.append(f"""
+SELECT '{c}' AS "column", COUNT({c}) AS n,
+       {units(hu(f'SUM({c}) * 10000', f'NULLIF(COUNT({c}), 0)'), 10000)} AS mean,
+       {rnd(msd(f'COUNT({c})', f'SUM(CAST({c} AS HUGEINT))', f'SUM(CAST({c} AS HUGEINT) * {c})'), 4)} AS std,
+       CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max
+FROM daily_sales""")
+    return with_base(" UNION ALL ".join(parts))
+
+
+def _hist_sql(log: bool) -> str:
+    if not log:
+        v = "sales_cents"
+        b = "CASE WHEN r.hi > r.lo THEN LEAST((v - r.lo) * 50 // (r.hi - r.lo), 49) ELSE 0 END"
+        lo_e = "CAST(lo * 50 + bin * (hi - lo) AS DOUBLE) / CAST(5000 AS DOUBLE)"
+        hi_e = "CAST(lo * 50 + (bin + 1) * (hi - lo) AS DOUBLE) / CAST(5000 AS DOUBLE)"
+        ctr = "CAST(lo * 100 + (bin * 2 + 1) * (hi - lo) AS DOUBLE) / CAST(10000 AS DOUBLE)"
+    else:
+        v = "ln(1 + CAST(sales_cents AS DOUBLE) / CAST(100 AS DOUBLE))"
+        b = "CASE WHEN r.hi > r.lo THEN LEAST(FLOOR((v - r.lo) * 50 / (r.hi - r.lo)), 49) ELSE 0 END"
+        lo_e = rnd("lo + bin * ((hi - lo) / 50)", 6)
+        hi_e = rnd("lo + (bin + 1) * ((hi - lo) / 50)", 6)
+        ctr = rnd("lo + (bin + 0.5) * ((hi - lo) / 50)", 6)
+    return with_base(f"""
+SELECT bin, {lo_e} AS bin_start, {hi_e} AS bin_end, {ctr} AS center, count FROM (
+  SELECT e.bin, e.lo, e.hi, COALESCE(c.cnt, 0) AS count
+  FROM (SELECT CAST(i AS BIGINT) AS bin, lo, hi FROM r, range(50) t(i)) e
+  LEFT JOIN (SELECT CAST({b} AS BIGINT) AS cbin, COUNT(*) AS cnt FROM x, r GROUP BY 1) c
+         ON e.bin = c.cbin) h""",
+        ("x", f"SELECT {v} AS v FROM daily_sales WHERE sales_cents > 0"),
+        ("r", "SELECT MIN(v) AS lo, MAX(v) AS hi FROM x"))
+
+
+CORR_COLS = ("store", "open", "customers", "promo", "school_holiday", "competition_distance")
+INTEGRAL = {"store", "open", "customers", "promo", "school_holiday", "sales_cents"}
+
+
+def _corr_sql(target: str = "sales_cents") -> str:
+    def x(c):
+        return f"CAST({c} AS HUGEINT)" if c in INTEGRAL else f"CAST({c} AS DOUBLE)"
+    aggs = ["COUNT(*) AS n", f"SUM({x(target)}) AS ys", f"SUM({x(target)} * {target}) AS yq"]
+    rows = []
+    for c in CORR_COLS:
+        aggs += [f"SUM({x(c)}) AS {c}_s", f"SUM({x(c)} * {c}) AS {c}_q",
+                 f"SUM({x(c)} * {x(target)}) AS {c}_xy"]
+        va = f"CAST(n * {c}_q - {c}_s * {c}_s AS DOUBLE)"
+        vb = "CAST(n * yq - ys * ys AS DOUBLE)"
+        cov = f"CAST(n * {c}_xy - {c}_s * ys AS DOUBLE)"
+        r = f"(CASE WHEN {va} > 0 AND {vb} > 0 THEN {cov} / sqrt({va} * {vb}) ELSE 0.0 END)"
+        rows.append(f"SELECT '{c}' AS feature, {rnd(r, 4)} AS r, abs({rnd(r, 4)}) AS abs_r FROM m")
+    cols = ", ".join(list(CORR_COLS) + [target])
+    return with_base(" UNION ALL ".join(rows),
+                     ("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN),
+                     ("data", f"SELECT {cols} FROM clean WHERE " +
+                      " AND ".join(f"{c} IS NOT NULL" for c in list(CORR_COLS) + [target])),
+                     ("m", f"SELECT {', '.join(aggs)} FROM data"))
+
+
+W_STORE = "PARTITION BY store ORDER BY date"
+
+
+def _rolling_sql(full: bool) -> str:
+    cols = []
+    for w in (7, 14):
+        fr = f"OVER ({W_STORE} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)"
+        cols += [f"COUNT(sales_cents) {fr} AS n{w}",
+                 f"CAST(SUM(sales_cents) {fr} AS BIGINT) AS s{w}",
+                 f"CAST(SUM(sales_cents * sales_cents) {fr} AS BIGINT) AS q{w}",
+                 f"MAX(sales_cents) {fr} AS m{w}"]
+    outs = []
+    for w in (7, 14):
+        ok = f"n{w} = {w}" if full else f"n{w} > 0"
+        outs += [f"CASE WHEN {ok} THEN CAST(s{w} AS DOUBLE) / CAST(n{w} * 100 AS DOUBLE) END AS sales_roll_mean_{w}",
+                 f"CASE WHEN {ok} THEN {msd(f'n{w}', f's{w}', f'q{w}')} / CAST(100 AS DOUBLE) END AS sales_roll_std_{w}",
+                 f"CASE WHEN {ok} THEN {units(f'm{w}')} END AS sales_roll_max_{w}"]
+    where = "" if full else "WHERE open = 1"
+    return with_base(f"SELECT store, date, {', '.join(outs)} FROM "
+                     f"(SELECT store, date, {', '.join(cols)} FROM daily_sales {where}) t")
+
+
+def _lags_sql() -> str:
+    cols = []
+    for k in (1, 3, 7, 14):
+        cols += [f"{units(f'LAG(sales_cents, {k}) OVER ({W_STORE})')} AS sales_lag_{k}",
+                 f"LAG(customers, {k}) OVER ({W_STORE}) AS customers_lag_{k}"]
+    return with_base(f"SELECT store, date, {', '.join(cols)} FROM daily_sales")
+
+
+CAL = """CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month,
+       CAST(quarter(date) AS BIGINT) AS quarter, CAST(weekofyear(date) AS BIGINT) AS week_of_year,
+       CAST(isodow(date) AS BIGINT) AS day_of_week,
+       CAST(CASE WHEN isodow(date) IN (6, 7) THEN 1 ELSE 0 END AS BIGINT) AS is_weekend"""
+
+# Category values of the driver tables (line status F/O,
+# regions 0-4, nation key modulo 3); the first of each is dropped.
+ONE_HOT_SQL = with_base(
+    "SELECT store, date, "
+    + ", ".join(f"CAST(CASE WHEN isodow(date) = {d} THEN 1 ELSE 0 END AS BIGINT) AS day_of_week_{d}"
+                for d in range(1, 8))
+    + ", CAST(CASE WHEN state_holiday = 'O' THEN 1 ELSE 0 END AS BIGINT) AS state_holiday_O, "
+    + ", ".join(f"CAST(CASE WHEN store_type = 't{t}' THEN 1 ELSE 0 END AS BIGINT) AS store_type_t{t}"
+                for t in range(1, 5))
+    + ", " + ", ".join(f"CAST(CASE WHEN assortment = 'a{a}' THEN 1 ELSE 0 END AS BIGINT) AS assortment_a{a}"
+                       for a in (1, 2))
+    + " FROM clean", ("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN))
+
+CLEANING = {
+    "null_counts": with_base("""
+SELECT COUNT(CASE WHEN store IS NULL THEN 1 END) AS store,
+       COUNT(CASE WHEN store_type IS NULL THEN 1 END) AS store_type,
+       COUNT(CASE WHEN assortment IS NULL THEN 1 END) AS assortment,
+       COUNT(CASE WHEN competition_distance IS NULL THEN 1 END) AS competition_distance,
+       COUNT(CASE WHEN promo_interval IS NULL THEN 1 END) AS promo_interval
+FROM stores"""),
+    "impute_distance": with_base("""
+SELECT store, store_type, assortment,
+       COALESCE(competition_distance,
+                (SELECT quantile_disc(competition_distance, 0.5) FROM stores)) AS competition_distance,
+       promo_interval
+FROM stores"""),
+    "fill_defaults": with_base("SELECT * FROM clean_stores", ("clean_stores", CLEAN_STORES)),
+    "clean_join": with_base("SELECT * FROM clean", ("clean_stores", CLEAN_STORES),
+                            ("clean", CLEAN_JOIN)),
+    "sales_by_day": with_base(f"""
+SELECT date, {units('SUM(sales_cents)')} AS total_sales FROM daily_sales
+WHERE sales_cents > 0 GROUP BY date"""),
+    "promo_sales_by_day": with_base(f"""
+SELECT date, {euro_mean('SUM(sales_cents)', 'COUNT(*)')} AS avg_sales FROM daily_sales
+WHERE sales_cents > 0 AND promo = 1 GROUP BY date"""),
+    "sales_by_weekday": with_base(f"""
+SELECT CAST(isodow(date) AS BIGINT) AS day_of_week,
+       {euro_mean('SUM(sales_cents)', 'COUNT(*)')} AS avg_sales FROM daily_sales
+WHERE sales_cents > 0 GROUP BY 1"""),
+    "sales_by_month": with_base(f"""
+SELECT CAST(month(date) AS BIGINT) AS month,
+       {euro_mean('SUM(sales_cents)', 'COUNT(*)')} AS avg_sales FROM daily_sales
+WHERE sales_cents > 0 GROUP BY 1"""),
+    "profile": _profile_sql(),
+    "histogram_sales": _hist_sql(False),
+    "histogram_log_sales": _hist_sql(True),
+    "correlation_with_sales": _corr_sql(),
+    "calendar_features": with_base(f"""
+SELECT store, date, {CAL},
+       CAST(promo * CASE WHEN isodow(date) IN (6, 7) THEN 1 ELSE 0 END AS BIGINT) AS promo_weekend,
+       CAST(promo * month(date) AS BIGINT) AS promo_month
+FROM daily_sales"""),
+    "one_hot": ONE_HOT_SQL,
+    "lags": _lags_sql(),
+    "rolling_open": _rolling_sql(False),
+    "rolling_full": _rolling_sql(True),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(REPORTS)
+    out.update(CLEANING)
     return out
