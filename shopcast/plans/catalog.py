@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from shopcast.operators import clean as C
 from shopcast.operators import features as FE
 from shopcast.operators import profile as PR
+from shopcast.operators import scoring as SC
+from shopcast.operators.clean import in_years
 from shopcast.plans import reports as R
 from shopcast.sources.tables import daily_sales, stores
 
@@ -44,6 +46,25 @@ def _sales(fn):
     return lambda spark, d: fn(daily_sales(spark, d))
 
 
+BASELINE_UNTIL, STREAM_YEAR = 2000, 2001
+
+
+def _baseline(spark, d):
+    return SC.store_baseline(daily_sales(spark, d), BASELINE_UNTIL)
+
+
+def _anoms(spark, d):
+    return SC.anomalies(SC.score(in_years(daily_sales(spark, d), STREAM_YEAR),
+                                 _baseline(spark, d)))
+
+
+def _stream_scored(spark, d):
+    from shopcast.streaming.anomaly import read_scored, run_anomaly_stream
+    facts = in_years(daily_sales(spark, d), STREAM_YEAR)
+    out = run_anomaly_stream(spark, facts, _baseline(spark, d), n_files=6)
+    return read_scored(spark, out)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "report_store_type": _both(R.report_store_type),
@@ -82,5 +103,13 @@ def queries() -> dict[str, Query]:
             "store", "date", *FE.rolling_columns().keys())),
         "rolling_full": _sales(lambda s: FE.add_rolling(s, full=True).select(
             "store", "date", *FE.rolling_columns().keys())),
+        "store_baseline": lambda spark, d: _baseline(spark, d).select(
+            "store", "base_mean", "base_std", "base_count"),
+        "scored": lambda spark, d: SC.scored_year(daily_sales(spark, d),
+                                                  _baseline(spark, d), STREAM_YEAR),
+        "anomalies": _anoms,
+        "top_anomalies": lambda spark, d: SC.top_anomalies(_anoms(spark, d), 15),
+        "anomaly_summary": lambda spark, d: SC.anomaly_summary(_anoms(spark, d)),
+        "stream_scored": _stream_scored,
     }
     return q

@@ -375,7 +375,50 @@ FROM daily_sales"""),
 }
 
 
+
+
+BASELINE = f"""
+SELECT store, mc, sc, n AS base_count FROM (
+  SELECT store, n, {hu('s1', 'n')} AS mc,
+         CAST(FLOOR({msd('n', 's1', 's2')} + 0.5) AS BIGINT) AS sc
+  FROM (SELECT store, COUNT(*) AS n, SUM(CAST(sales_cents AS HUGEINT)) AS s1,
+               SUM(CAST(sales_cents AS HUGEINT) * sales_cents) AS s2
+        FROM daily_sales WHERE open = 1 AND sales_cents > 0 AND year(date) <= 2000
+        GROUP BY store) g) b
+WHERE sc IS NOT NULL AND sc > 0"""
+
+SCORED = f"""
+SELECT d.store, d.date, {units('d.sales_cents')} AS sales, {units('b.mc')} AS base_mean,
+       {units('b.sc')} AS base_std,
+       {units(hu('(d.sales_cents - b.mc) * 100', 'b.sc'))} AS z_score,
+       {units(hu('(d.sales_cents - b.mc) * 1000', 'b.mc'), 10)} AS deviation_pct
+FROM daily_sales d JOIN baseline b ON d.store = b.store
+WHERE d.open = 1 AND d.sales_cents > 0 AND year(d.date) = 2001"""
+
+ANOMS = """
+SELECT store, date, sales, base_mean, base_std, deviation_pct, z_score,
+       CASE WHEN z_score < 0 THEN 'drop' ELSE 'spike' END AS direction
+FROM scored WHERE abs(z_score) > 3.0"""
+
+_SC = (("baseline", BASELINE), ("scored", SCORED))
+SCORING = {
+    "store_baseline": with_base(
+        f"SELECT store, {units('mc')} AS base_mean, {units('sc')} AS base_std, base_count FROM baseline",
+        ("baseline", BASELINE)),
+    "scored": with_base("SELECT store, date, sales, base_mean, z_score, deviation_pct FROM scored", *_SC),
+    "anomalies": with_base(ANOMS, *_SC),
+    "top_anomalies": with_base(
+        f"SELECT * FROM ({ANOMS}) a ORDER BY abs(z_score) DESC, store, date LIMIT 15", *_SC),
+    "anomaly_summary": with_base(f"""
+SELECT COUNT(*) AS n_anomalies, COUNT(CASE WHEN z_score < 0 THEN 1 END) AS n_drop,
+       COUNT(CASE WHEN z_score > 0 THEN 1 END) AS n_spike FROM ({ANOMS}) a""", *_SC),
+    "stream_scored": with_base(
+        "SELECT store, date, sales, base_mean, z_score, deviation_pct FROM scored", *_SC),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(REPORTS)
     out.update(CLEANING)
+    out.update(SCORING)
     return out
