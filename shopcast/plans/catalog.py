@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopcast.operators import clean as C
 from shopcast.operators import features as FE
+from shopcast.operators import forecast as FC
 from shopcast.operators import profile as PR
+from shopcast.operators import train as TR
 from shopcast.operators import scoring as SC
 from shopcast.operators.clean import in_years
 from shopcast.plans import reports as R
@@ -47,6 +49,29 @@ def _sales(fn):
 
 
 BASELINE_UNTIL, STREAM_YEAR = 2000, 2001
+# The forecast horizon, the 30 days after the last history day.
+H_START, H_END = "2001-11-05", "2001-12-04"
+
+
+def _hist(spark, d):
+    return FC.cut_history(_clean(spark, d), H_START)
+
+
+def _cycle(spark, d):
+    return FC.suggest_cycle(FC.promo_streaks(_hist(spark, d)))
+
+
+def _pattern(spark, d):
+    return FC.promo_pattern(_cycle(spark, d), H_START, H_END)
+
+
+def _forecast(spark, d):
+    return FC.forecast_reference(_clean(spark, d), H_START, H_END)
+
+
+def _split(spark, d):
+    feats = FE.build_features(_clean(spark, d))
+    return TR.split_counts(*TR.chronological_split(feats, 0.8))
 
 
 def _baseline(spark, d):
@@ -111,5 +136,18 @@ def queries() -> dict[str, Query]:
         "top_anomalies": lambda spark, d: SC.top_anomalies(_anoms(spark, d), 15),
         "anomaly_summary": lambda spark, d: SC.anomaly_summary(_anoms(spark, d)),
         "stream_scored": _stream_scored,
+        "promo_streaks": lambda spark, d: FC.promo_streaks(_hist(spark, d)),
+        "suggest_cycle": _cycle,
+        "promo_pattern": _pattern,
+        "customers_by_weekday": lambda spark, d: FC.customers_by_weekday(_hist(spark, d)),
+        "basket": lambda spark, d: FC.basket(_hist(spark, d)),
+        "future_rows": lambda spark, d: FC.future_rows(
+            _clean(spark, d), _pattern(spark, d), H_START, H_END),
+        "future_features": lambda spark, d: FC.future_features(_clean(spark, d), H_START, H_END),
+        "forecast": lambda spark, d: _forecast(spark, d).drop("sales_cents"),
+        "uplift": lambda spark, d: FC.uplift(_forecast(spark, d)),
+        "extra_staff": lambda spark, d: FC.extra_staff(_forecast(spark, d)),
+        "forecast_kpis": lambda spark, d: FC.forecast_kpis(_forecast(spark, d)),
+        "split_counts": _split,
     }
     return q

@@ -417,8 +417,196 @@ SELECT COUNT(*) AS n_anomalies, COUNT(CASE WHEN z_score < 0 THEN 1 END) AS n_dro
 }
 
 
+
+
+# ---------------------------------------------------------------- forecast
+H_START, H_END = "2001-11-05", "2001-12-04"
+DATES = (f"SELECT CAST(unnest(generate_series(DATE '{H_START}', DATE '{H_END}', "
+         f"INTERVAL 1 DAY)) AS DATE) AS date")
+HIST = f"SELECT * FROM clean WHERE date < DATE '{H_START}'"
+ELIG = "SELECT store FROM hist GROUP BY store HAVING COUNT(*) >= 20"
+WS = "PARTITION BY store ORDER BY date"
+
+STREAKS = f"""
+SELECT store, CAST(run_id AS BIGINT) AS run_id, MIN(promo) AS promo, MIN(date) AS start_date,
+       MAX(date) AS end_date, COUNT(*) AS length
+FROM (SELECT store, date, promo,
+             SUM(chg) OVER ({WS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_id
+      FROM (SELECT store, date, CAST(promo AS BIGINT) AS promo,
+                   CASE WHEN LAG(promo) OVER ({WS}) = promo THEN 0 ELSE 1 END AS chg
+            FROM hist) c) r
+GROUP BY store, run_id"""
+
+CYCLE = """
+SELECT store,
+       CAST(CASE WHEN on_ IS NOT NULL AND off_ IS NOT NULL THEN on_ ELSE 5 END AS BIGINT) AS days_on,
+       CAST(CASE WHEN on_ IS NOT NULL AND off_ IS NOT NULL THEN off_ ELSE 9 END AS BIGINT) AS days_off
+FROM (SELECT store, MAX(CASE WHEN promo = 1 THEN length END) AS on_,
+             MAX(CASE WHEN promo = 0 THEN length END) AS off_
+      FROM (SELECT store, promo, length,
+                   ROW_NUMBER() OVER (PARTITION BY store, promo ORDER BY k DESC, length ASC) AS rn
+            FROM (SELECT store, promo, length, COUNT(*) AS k FROM streaks GROUP BY ALL) a) b
+      WHERE rn = 1 GROUP BY store) p"""
+
+PATTERN = f"""
+SELECT c.store, d.date,
+       CAST(CASE WHEN date_diff('day', DATE '{H_START}', d.date) % (c.days_on + c.days_off) < c.days_on
+            THEN 1 ELSE 0 END AS BIGINT) AS promo
+FROM cycle c, dates d"""
+
+MED_SALES = f"""
+SELECT store, CAST(MAX(CASE WHEN rn = (n + 1) // 2 THEN v END) + MAX(CASE WHEN rn = n // 2 + 1 THEN v END) AS BIGINT) AS h_med
+FROM (SELECT store, sales_cents AS v, ROW_NUMBER() OVER (PARTITION BY store ORDER BY sales_cents) AS rn,
+             COUNT(*) OVER (PARTITION BY store) AS n FROM h2) t
+GROUP BY store"""
+
+SPC = """
+SELECT store, (MAX(CASE WHEN rn = (n + 1) // 2 THEN v END) + MAX(CASE WHEN rn = n // 2 + 1 THEN v END)) / CAST(2 AS DOUBLE) AS spc_median
+FROM (SELECT store, v, ROW_NUMBER() OVER (PARTITION BY store ORDER BY v) AS rn,
+             COUNT(*) OVER (PARTITION BY store) AS n
+      FROM (SELECT store, CASE WHEN customers = 0 THEN CAST(0 AS DOUBLE)
+                  ELSE CAST(sales_cents AS DOUBLE) / CAST(customers * 100 AS DOUBLE) END AS v FROM h2) x) t
+GROUP BY store"""
+
+CDOW = """
+SELECT store, CAST(isodow(date) AS BIGINT) AS day_of_week,
+       CAST(SUM(customers) AS DOUBLE) / CAST(COUNT(customers) AS DOUBLE) AS avg_customers
+FROM h2 GROUP BY 1, 2"""
+
+BASKET = """
+SELECT store, CAST(isodow(date) AS BIGINT) AS day_of_week, CAST(promo AS BIGINT) AS promo,
+       CAST(SUM(sales_cents) AS DOUBLE) / CAST(SUM(customers) * 100 AS DOUBLE) AS basket
+FROM h2 WHERE customers > 0 GROUP BY 1, 2, 3"""
+
+
+def _future_features_sql() -> str:
+    lags = []
+    for k in (1, 3, 7, 14):
+        lags += [f"LAG(h, {k}) OVER ({WS}) AS hl{k}", f"LAG(customers, {k}) OVER ({WS}) AS cl{k}"]
+    rolls = []
+    for w in (7, 14):
+        fr = f"OVER ({WS} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)"
+        rolls += [f"COUNT(h) {fr} AS n{w}", f"CAST(SUM(h) {fr} AS BIGINT) AS s{w}",
+                  f"CAST(SUM(h * h) {fr} AS BIGINT) AS q{w}", f"MAX(h) {fr} AS m{w}"]
+    out = []
+    for k in (1, 3, 7, 14):
+        out += [f"CAST(hl{k} AS DOUBLE) / CAST(200 AS DOUBLE) AS sales_lag_{k}",
+                f"COALESCE(CAST(cl{k} AS DOUBLE), cd.avg_customers, CAST(0 AS DOUBLE)) AS customers_lag_{k}"]
+    for w in (7, 14):
+        out += [f"CASE WHEN n{w} > 0 THEN CAST(s{w} AS DOUBLE) / CAST(n{w} * 200 AS DOUBLE) END AS sales_roll_mean_{w}",
+                f"CASE WHEN n{w} > 1 THEN {msd(f'n{w}', f's{w}', f'q{w}')} / CAST(200 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS sales_roll_std_{w}",
+                f"CASE WHEN n{w} > 0 THEN CAST(m{w} AS DOUBLE) / CAST(200 AS DOUBLE) END AS sales_roll_max_{w}"]
+    body = f"""
+SELECT store, date, {', '.join(c.split(' AS ')[-1] for c in out)},
+       COALESCE(CASE WHEN customers_lag_1 <> 0 THEN sales_lag_1 / customers_lag_1 END, spc_median) AS sales_per_customer
+FROM (SELECT w.store, w.date, {', '.join(out)}, sp.spc_median
+      FROM (SELECT store, date, is_future, {', '.join(lags + rolls)} FROM u) w
+      LEFT JOIN cdow cd ON cd.store = w.store AND cd.day_of_week = isodow(w.date)
+      LEFT JOIN spc sp ON sp.store = w.store
+      WHERE w.is_future = 1) f"""
+    u = f"""
+SELECT store, date, 2 * sales_cents AS h, customers, 0 AS is_future FROM h2
+UNION ALL
+SELECT e.store, d.date, m.h_med AS h, CAST(NULL AS BIGINT) AS customers, 1 AS is_future
+FROM elig e CROSS JOIN dates d JOIN med m ON m.store = e.store"""
+    return with_base(body, *FC_BASE, ("med", MED_SALES), ("u", u), ("cdow", CDOW), ("spc", SPC))
+
+
+FC_BASE = (("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN), ("hist", HIST),
+           ("elig", ELIG), ("h2", "SELECT h.* FROM hist h JOIN elig USING (store)"),
+           ("dates", DATES))
+CYC = (("streaks", STREAKS), ("cycle", CYCLE))
+
+FUTURE_ROWS = f"""
+SELECT e.store, p.date, p.promo,
+       CAST(year(p.date) AS BIGINT) AS year, CAST(month(p.date) AS BIGINT) AS month,
+       CAST(quarter(p.date) AS BIGINT) AS quarter, CAST(weekofyear(p.date) AS BIGINT) AS week_of_year,
+       CAST(isodow(p.date) AS BIGINT) AS day_of_week,
+       CAST(CASE WHEN isodow(p.date) IN (6, 7) THEN 1 ELSE 0 END AS BIGINT) AS is_weekend,
+       CAST(p.promo * CASE WHEN isodow(p.date) IN (6, 7) THEN 1 ELSE 0 END AS BIGINT) AS promo_weekend,
+       CAST(p.promo * month(p.date) AS BIGINT) AS promo_month,
+       '0' AS state_holiday, CAST(0 AS BIGINT) AS school_holiday,
+       l.store_type, l.assortment, l.competition_distance, l.promo_interval
+FROM elig e JOIN pattern p ON p.store = e.store
+LEFT JOIN (SELECT store, arg_max(store_type, date) AS store_type, arg_max(assortment, date) AS assortment,
+                  arg_max(competition_distance, date) AS competition_distance,
+                  arg_max(promo_interval, date) AS promo_interval
+           FROM hist GROUP BY store) l ON l.store = e.store"""
+
+PROMOS = f"""
+SELECT 'base' AS scenario, e.store, d.date, CAST(0 AS BIGINT) AS promo FROM elig e CROSS JOIN dates d
+UNION ALL
+SELECT 'promo' AS scenario, p.store, p.date, p.promo FROM pattern p JOIN elig e ON e.store = p.store"""
+
+FORECAST = f"""
+SELECT p.scenario, p.store, p.date, p.promo,
+       CAST(GREATEST(pc, 0) AS BIGINT) AS sales_cents,
+       CAST(GREATEST(pc, 0) AS DOUBLE) / CAST(100 AS DOUBLE) AS sales,
+       CAST(CASE WHEN pc > 0 THEN FLOOR((CAST(pc AS DOUBLE) / CAST(100 AS DOUBLE))
+                 / COALESCE(b.basket, CAST(10 AS DOUBLE))) ELSE 0 END AS BIGINT) AS customers
+FROM (SELECT p.*, CAST(COALESCE(w.pc, o.sc, 0) AS BIGINT) AS pc, CAST(isodow(p.date) AS BIGINT) AS dow
+      FROM promos p
+      LEFT JOIN (SELECT store, CAST(isodow(date) AS BIGINT) AS dow, CAST(promo AS BIGINT) AS promo,
+                        {hu('SUM(sales_cents)', 'COUNT(*)')} AS pc
+                 FROM hist WHERE open = 1 AND sales_cents > 0 GROUP BY 1, 2, 3) w
+             ON w.store = p.store AND w.dow = isodow(p.date) AND w.promo = p.promo
+      LEFT JOIN (SELECT store, {hu('SUM(sales_cents)', 'COUNT(*)')} AS sc
+                 FROM hist WHERE open = 1 AND sales_cents > 0 GROUP BY store) o ON o.store = p.store) p
+LEFT JOIN basket b ON b.store = p.store AND b.day_of_week = p.dow AND b.promo = p.promo"""
+
+FC = FC_BASE + CYC + (("pattern", PATTERN), ("promos", PROMOS),
+                      ("basket", BASKET.replace("FROM h2", "FROM hist")), ("fc", FORECAST))
+
+FORECASTING = {
+    "promo_streaks": with_base("SELECT * FROM streaks", *FC_BASE, ("streaks", STREAKS)),
+    "suggest_cycle": with_base("SELECT * FROM cycle", *FC_BASE, *CYC),
+    "promo_pattern": with_base("SELECT * FROM pattern", *FC_BASE, *CYC, ("pattern", PATTERN)),
+    "customers_by_weekday": with_base(CDOW.replace("FROM h2", "FROM hist"), *FC_BASE),
+    "basket": with_base(BASKET.replace("FROM h2", "FROM hist"), *FC_BASE),
+    "future_rows": with_base(FUTURE_ROWS, *FC_BASE, *CYC, ("pattern", PATTERN)),
+    "future_features": _future_features_sql(),
+    "forecast": with_base("SELECT scenario, store, date, promo, sales, customers FROM fc", *FC),
+    "uplift": with_base(f"""
+SELECT store, CAST(b AS DOUBLE) / CAST(100 AS DOUBLE) AS total_base,
+       CAST(p AS DOUBLE) / CAST(100 AS DOUBLE) AS total_promo,
+       CAST(p - b AS DOUBLE) / CAST(100 AS DOUBLE) AS uplift,
+       CASE WHEN b > 0 THEN {units(hu('(p - b) * 10000', 'b'))} ELSE CAST(0 AS DOUBLE) END AS uplift_pct
+FROM (SELECT store, SUM(CASE WHEN scenario = 'base' THEN sales_cents END) AS b,
+             SUM(CASE WHEN scenario = 'promo' THEN sales_cents END) AS p FROM fc GROUP BY store) g""", *FC),
+    "extra_staff": with_base("""
+SELECT store, CAST(CASE WHEN n > 0 THEN (t + n - 1) // n ELSE 0 END AS BIGINT) AS extra_staff
+FROM (SELECT p.store, COUNT(CASE WHEN p.promo = 1 THEN 1 END) AS n,
+             SUM(CASE WHEN p.promo = 1 THEN
+                 CAST(GREATEST(CEIL(((CAST(p.sales_cents - b.sales_cents AS DOUBLE) / CAST(100 AS DOUBLE)) / s.avg_basket)
+                                    / CAST(100 AS DOUBLE)), 0) AS BIGINT) END) AS t
+      FROM fc p JOIN fc b ON b.store = p.store AND b.date = p.date AND b.scenario = 'base'
+      JOIN (SELECT store, CAST(SUM(sales_cents) AS DOUBLE) / CAST(NULLIF(SUM(customers), 0) * 100 AS DOUBLE) AS avg_basket
+            FROM fc WHERE scenario = 'base' GROUP BY store) s ON s.store = p.store
+      WHERE p.scenario = 'promo' GROUP BY p.store) g""", *FC),
+    "forecast_kpis": with_base(f"""
+SELECT g.store, g.scenario, CAST(g.s AS DOUBLE) / CAST(100 AS DOUBLE) AS total_sales,
+       {units(hu('g.s', 'g.n'))} AS avg_sales, CAST(g.c AS BIGINT) AS total_customers,
+       CASE WHEN g.scenario = 'promo' AND b.s > 0 THEN CAST(g.s - b.s AS DOUBLE) / CAST(100 AS DOUBLE) END AS lift,
+       CASE WHEN g.scenario = 'promo' AND b.s > 0 THEN {units(hu('(g.s - b.s) * 10000', 'b.s'))} END AS lift_pct
+FROM (SELECT store, scenario, COUNT(*) AS n, SUM(sales_cents) AS s, SUM(customers) AS c FROM fc GROUP BY 1, 2) g
+LEFT JOIN (SELECT store, SUM(sales_cents) AS s FROM fc WHERE scenario = 'base' GROUP BY store) b
+       ON b.store = g.store""", *FC),
+    "split_counts": with_base("""
+SELECT split, COUNT(*) AS n_rows, MIN(date) AS first_date, MAX(date) AS last_date
+FROM (SELECT date, CASE WHEN rn <= FLOOR(n * 0.8) THEN 'train' ELSE 'test' END AS split
+      FROM (SELECT date, ROW_NUMBER() OVER (ORDER BY date, store) AS rn, COUNT(*) OVER () AS n
+            FROM (SELECT store, date, open, rn_all,
+                         COUNT(sales_cents) OVER (PARTITION BY store ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS prev7
+                  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY store ORDER BY date) AS rn_all FROM clean) a
+                  WHERE open = 1) b
+            WHERE rn_all >= 15 AND prev7 >= 2) c) d
+GROUP BY split""", ("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN)),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(REPORTS)
     out.update(CLEANING)
     out.update(SCORING)
+    out.update(FORECASTING)
     return out

@@ -6,7 +6,14 @@ numbered locally with ``monotonically_increasing_id`` (contiguous inside a
 partition).  Per-partition counts are a table of at most
 ``spark.sql.shuffle.partitions`` rows, so their running offsets are
 broadcast with a proven size bound.  The order must be total (add a unique
-key as the last column) so that recomputation is deterministic.
+key as the last column).
+
+The input is first written as a table in the shared ``spark.checkpoint.dir``:
+the range partitioner samples its input to pick boundaries, and rows coming
+out of a shuffle arrive in a nondeterministic order, so without a fixed
+input the pass that counts rows per partition and the pass that numbers
+them could disagree on the boundaries.  The written table also cuts lineage,
+so a lost executor re-reads the written table instead of recomputing.
 """
 
 from __future__ import annotations
@@ -14,15 +21,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopcast.session import materialize
+
 _SHIFT = 33  # monotonically_increasing_id: partition index in the upper bits
 
 
 def global_row_number(df: DataFrame, order: list[Column | str],
                       name: str = "row_number",
                       partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 1..N along ``order``; also ``_n_total`` is not kept."""
+    """Add ``name`` = 1..N along ``order``."""
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = materialize(df, "ordered-input")
     ranged = (df.repartitionByRange(p, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright("_mid", _SHIFT)))

@@ -57,3 +57,17 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for one run (streams, tables)."""
     return f"{shared_dir(spark)}/shopcast/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    Cuts lineage (a lost executor re-reads files instead of recomputing the
+    plan) and fixes row order within partitions, so later passes over the
+    result are deterministic.  Used instead of ``DataFrame.checkpoint``,
+    which keeps the full logical plan around.
+    """
+    spark = df.sparkSession
+    path = run_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -6,7 +6,7 @@ score against a static per-store baseline, write scored rows and anomalies.
 Writes are idempotent per micro-batch: each batch overwrites only its own
 ``batch_id=<n>`` partition (dynamic partition overwrite), so a batch that is
 retried after an executor or driver loss replaces its earlier output
-instead of appending duplicates.  The baseline is checkpointed once into
+instead of appending duplicates.  The baseline is written once as a table in
 the shared checkpoint folder (lineage cut, survives executor loss) and is
 broadcast only when its counted size is under the broadcast limit.
 """
@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shopcast.operators.joins import sized_broadcast
 from shopcast.operators.scoring import (SCORED_COLUMNS, anomalies, score,
                                         Z_THRESHOLD)
-from shopcast.session import run_dir, shared_dir
+from shopcast.session import materialize, run_dir
 from shopcast.sources.schemas import SALES_SCHEMA
 
 col = F.col
@@ -59,10 +59,9 @@ def make_batch_writer(baseline: DataFrame, out_dir: str, k: float = Z_THRESHOLD)
 
 
 def prepare_baseline(baseline: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Checkpoint the baseline once into the shared folder, then broadcast it
-    only if its counted row number is within the limit."""
-    shared_dir(baseline.sparkSession)
-    cp = baseline.checkpoint(eager=True)
+    """Write the baseline once into the shared folder (lineage cut), then
+    broadcast it only if its counted row number is within the limit."""
+    cp = materialize(baseline, "baseline")
     n = cp.count()
     return sized_broadcast(cp, rows=n) if max_rows is None else \
         sized_broadcast(cp, rows=n, max_rows=max_rows)
