@@ -348,3 +348,41 @@ def forecast_kpis(fc: DataFrame) -> DataFrame:
         F.when(promo_row, (col("s") - col("bs")).cast("double") / 100.0).alias("lift"),
         F.when(promo_row, round_ratio((col("s") - col("bs")) * 10000, col("bs")).cast("double")
                / 100.0).alias("lift_pct"))
+
+
+# ---------------------------------------------------------------- model path
+def future_feature_table(history: DataFrame, start: str, end: str,
+                         cats: dict[str, list[str]], promos: DataFrame | None = None,
+                         drop_first: dict | None = None) -> DataFrame:
+    """P2 + P4 + P5 for both scenarios: every column the feature builder
+    makes for training, for each (scenario, store, future day).  One-hot
+    columns use the category table stored with the model, so scoring builds
+    exactly the training columns."""
+    from shopcast.operators.features import DROP_FIRST, one_hot_columns
+    hist = cut_history(history, start)
+    promos = promos if promos is not None else scenario_promos(history, start, end)
+    feats = future_features(history, start, end)
+    rows = (promos.join(feats, ["store", "date"]).join(last_static(hist), "store", "left")
+            .withColumns(calendar_dict("date")))
+    rows = rows.withColumns({
+        "promo_weekend": (col("promo") * col("is_weekend")).cast("long"),
+        "promo_month": (col("promo") * col("month")).cast("long"),
+        "state_holiday": F.lit("0"), "school_holiday": F.lit(0).cast("long"),
+        "open": F.lit(1).cast("long")})
+    return rows.select("*", *one_hot_columns(cats, drop_first or DROP_FIRST))
+
+
+def predict_with_model(model, table: DataFrame) -> DataFrame:
+    """One distributed ``transform`` over every store and scenario;
+    predictions become integer cents (half-up)."""
+    p = model.transform(table)
+    cents = F.floor(col("prediction") * 100.0 + 0.5).cast("long")
+    return p.select("scenario", "store", "date", "promo",
+                    day_of_week("date").alias("day_of_week"), cents.alias("pred_cents"))
+
+
+def forecast_with_model(history: DataFrame, model, cats: dict[str, list[str]],
+                        start: str, end: str) -> DataFrame:
+    """P7 with the trained model: both scenarios, clipped, with customers."""
+    table = future_feature_table(history, start, end, cats)
+    return finish_forecast(predict_with_model(model, table), history, start)

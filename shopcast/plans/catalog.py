@@ -90,6 +90,36 @@ def _stream_scored(spark, d):
     return read_scored(spark, out)
 
 
+def _run(spark, d):
+    from shopcast.plans.modeling import run_training
+    return run_training(_clean(spark, d), key=f"{id(spark)}:{d}")
+
+
+def _feature_report(spark, d):
+    from shopcast.operators.select import feature_report
+    r = _run(spark, d)
+    return feature_report(r["train"], r["candidates"], r["selected"])
+
+
+def _model_comparison(spark, d):
+    return TR.model_comparison(spark, _run(spark, d)["metrics"])
+
+
+def _importance(spark, d):
+    r = _run(spark, d)
+    frames = [TR.importance(spark, n, m, r["selected"]) for n, m in r["models"].items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _forecast_model(spark, d):
+    r = _run(spark, d)
+    return FC.forecast_with_model(_clean(spark, d), r["models"][r["best"]], r["cats"],
+                                  H_START, H_END).drop("sales_cents")
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "report_store_type": _both(R.report_store_type),
@@ -149,5 +179,9 @@ def queries() -> dict[str, Query]:
         "extra_staff": lambda spark, d: FC.extra_staff(_forecast(spark, d)),
         "forecast_kpis": lambda spark, d: FC.forecast_kpis(_forecast(spark, d)),
         "split_counts": _split,
+        "feature_report": _feature_report,
+        "model_comparison": _model_comparison,
+        "importance": _importance,
+        "forecast_model": _forecast_model,
     }
     return q
