@@ -14,7 +14,7 @@ col = F.col
 def parse_dates(df: DataFrame, column: str = "date_text", fmt: str = "M/d/yyyy",
                 out: str = "date") -> DataFrame:
     """PF1: text -> DateType with ``try_to_date`` (bad text -> null)."""
-    return df.withColumn(out, F.try_to_date(col(column), F.lit(fmt)))
+    return df.withColumn(out, F.try_to_date(col(column), fmt))
 
 
 def count_rejects(df: DataFrame, text_col: str = "date_text",

@@ -1,8 +1,9 @@
 """File sources (IO1, IO2).
 
-CSV is read with a declared schema and ``enforceSchema=false``, so columns
-are bound by header name, not by position, and a header that does not fit
-raises instead of silently shifting columns.  Dates arrive as ``M/d/yyyy``
+CSV columns are bound by header name, not by position: the header line is
+read first, the declared types are laid out in the file's own column order,
+and a file lacking a declared column raises instead of silently shifting
+columns.  Dates arrive as ``M/d/yyyy``
 text; rows whose date does not parse are kept with a null date and can be
 counted with ``clean.count_rejects``.
 """
@@ -11,19 +12,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopcast.sources.schemas import RAW_SALES_SCHEMA, RAW_STORE_SCHEMA
 
 
+def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV with a header, typed by column *name* (extra columns as text)."""
+    header = spark.read.option("header", "true").csv(path).columns
+    types = {f.name: f.dataType for f in schema.fields}
+    missing = [c for c in types if c not in header]
+    if missing:
+        raise ValueError(f"{path}: header lacks columns {missing}")
+    file_schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    return (spark.read.schema(file_schema).option("header", "true")
+            .option("mode", "PERMISSIVE").csv(path))
+
+
 def read_sales(spark: SparkSession, path: str,
                date_format: str = "M/d/yyyy") -> DataFrame:
     """Raw daily sales CSV -> fact table in our names, sales in cents."""
-    raw = (spark.read.schema(RAW_SALES_SCHEMA)
-           .option("header", "true").option("enforceSchema", "false")
-           .option("mode", "PERMISSIVE").csv(path))
+    raw = read_csv_by_name(spark, path, RAW_SALES_SCHEMA)
     return raw.select(
         F.col("Store").alias("store"),
-        F.try_to_date(F.col("Date"), F.lit(date_format)).alias("date"),
+        F.try_to_date(F.col("Date"), date_format).alias("date"),
         F.col("Open").alias("open"),
         (F.col("Sales") * 100).cast("long").alias("sales_cents"),
         F.col("Customers").alias("customers"),
@@ -35,9 +47,7 @@ def read_sales(spark: SparkSession, path: str,
 
 def read_stores(spark: SparkSession, path: str) -> DataFrame:
     """Raw store CSV -> dimension in our names."""
-    raw = (spark.read.schema(RAW_STORE_SCHEMA)
-           .option("header", "true").option("enforceSchema", "false")
-           .csv(path))
+    raw = read_csv_by_name(spark, path, RAW_STORE_SCHEMA)
     return raw.select(
         F.col("Store").alias("store"),
         F.col("StoreType").alias("store_type"),

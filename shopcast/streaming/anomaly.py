@@ -29,8 +29,9 @@ col = F.col
 def read_sales_stream(spark: SparkSession, path: str, max_files: int = 1,
                       fmt: str = "parquet") -> DataFrame:
     """IO7: unbounded fact rows from a directory, fixed schema, ``max_files``
-    new files per trigger.  Parquet binds columns by name; CSV is read with
-    a header that must match the declared names."""
+    new files per trigger.  Parquet binds columns by name; CSV files must
+    carry the declared columns in the declared order (checked against the
+    header)."""
     r = spark.readStream.schema(SALES_SCHEMA).option("maxFilesPerTrigger", max_files)
     if fmt == "csv":
         r = r.option("header", "true").option("enforceSchema", "false")
