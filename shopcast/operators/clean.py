@@ -46,11 +46,16 @@ def median_value(df: DataFrame, column: str,
 
 def impute_median(df: DataFrame, column: str,
                   relative_error: float = 0.001) -> DataFrame:
-    """PF3: fill nulls of ``column`` with its median (a one-row broadcast)."""
-    m = median_value(df, column, relative_error)
-    return (df.crossJoin(F.broadcast(m))
-            .withColumn(column, F.coalesce(col(column), col("_median")))
-            .drop("_median").select(df.columns))
+    """PF3: fill nulls of ``column`` with its median.
+
+    The median is one scalar (a bounded sketch aggregate), applied as a
+    literal: the plan stays a projection of ``df``, so the planner's size
+    estimate of the dimension is unchanged and its join strategy is chosen
+    as for the raw table."""
+    m = median_value(df, column, relative_error).first()["_median"]
+    if m is None:
+        return df
+    return df.withColumn(column, F.coalesce(col(column), F.lit(m).cast(df.schema[column].dataType)))
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:
@@ -89,12 +94,21 @@ def year_range(years, date_col: str = "date") -> Column:
 
 def in_years(df: DataFrame, years=None, until: int | None = None,
              date_col: str = "date") -> DataFrame:
-    """PF6: one year, a list of years, or every year up to ``until``."""
+    """PF6: one year, a list of years, or every year up to ``until``.
+
+    Date-range predicates, plus a predicate on a ``year`` column when the
+    frame has one (a table written by ``sinks.write_table`` is partitioned
+    by year, so the read prunes partitions)."""
+    has_year = "year" in df.columns
     if years is not None:
         if isinstance(years, int):
             years = [years]
+        if has_year:
+            df = df.filter(col("year").isin(list(years)))
         return df.filter(year_range(years, date_col))
     if until is not None:
+        if has_year:
+            df = df.filter(col("year") <= until)
         return df.filter(col(date_col) < F.lit(f"{until + 1:04d}-01-01").cast("date"))
     return df
 

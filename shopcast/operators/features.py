@@ -86,17 +86,32 @@ def categories(df: DataFrame, cols=CATEGORICAL,
                max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """Sorted distinct non-null values (as strings) of each column.
 
-    One bounded pass checks the cardinality (HyperLogLog sketches) before the
-    exact sets are gathered, so a column that is not categorical raises
-    instead of pulling millions of values to the driver.
-    """
-    est = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    too_many = [c for c in cols if est[c] > max_categories]
+    The distinct pairs are found by a distributed aggregate
+    (``category_table``); at most ``max_categories`` per column plus one
+    reach the driver, so a column that is not categorical raises instead of
+    pulling millions of values."""
+    cap = max_categories * len(cols) + 1
+    rows = category_table(df, cols).filter(col("position") <= max_categories).limit(cap).collect()
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in sorted(rows, key=lambda r: (r["column"], r["position"])):
+        out[r["column"]].append(r["value"])
+    too_many = [c for c, v in out.items() if len(v) > max_categories]
     if too_many:
         raise ValueError(f"not categorical (over {max_categories} values): {too_many}")
-    sets = df.agg(*[F.sort_array(F.collect_set(col(c).cast("string"))).alias(c)
-                    for c in cols]).first()
-    return {c: list(sets[c]) for c in cols}
+    return out
+
+
+def category_table(df: DataFrame, cols=CATEGORICAL) -> DataFrame:
+    """A20 as a distributed table: (column, position, value), values sorted
+    as strings, nulls left out.  One pass: each row is unpivoted into
+    (column, value) pairs, de-duplicated by a partial + final aggregate."""
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value"))
+        for c in cols])).alias("p")).select("p.column", "p.value")
+    d = pairs.filter(col("value").isNotNull()).distinct()
+    w = Window.partitionBy("column").orderBy("value")
+    return d.select("column", (F.row_number().over(w) - 1).cast("long").alias("position"),
+                    "value")
 
 
 def one_hot_columns(cats: dict[str, list[str]],

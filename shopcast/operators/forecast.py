@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopcast.functions.calendar import calendar_dict, date_range, day_of_week
-from shopcast.functions.exact import dec, moment_std, round_ratio
+from shopcast.functions.exact import cents_to_units, dec, moment_std, round_ratio
 from shopcast.operators.features import LAGS, WINDOWS, by_store
 
 col = F.col
@@ -153,7 +153,8 @@ def future_rows(history: DataFrame, promo: DataFrame, start: str, end: str) -> D
     return rows.join(last_static(hist), "store", "left")
 
 
-def future_features(history: DataFrame, start: str, end: str) -> DataFrame:
+def future_features(history: DataFrame, start: str, end: str,
+                    min_history: int = MIN_HISTORY) -> DataFrame:
     """P4 + P5: lag, rolling and ratio features of every future day.
 
     Future sales = the store's median; future customers are unknown, so a
@@ -163,7 +164,7 @@ def future_features(history: DataFrame, start: str, end: str) -> DataFrame:
     or the store's median history ratio when that lag is 0.
     """
     hist = cut_history(history, start)
-    elig = eligible_stores(hist)
+    elig = eligible_stores(hist, min_history)
     hist = hist.join(elig, "store", "left_semi")
     med = median_parts(hist, col("sales_cents")).select(
         "store", (col("lo") + col("hi")).cast("long").alias("h_med"))
@@ -207,18 +208,24 @@ def future_features(history: DataFrame, start: str, end: str) -> DataFrame:
     ratio = F.when(col("customers_lag_1") != 0, col("sales_lag_1") / col("customers_lag_1"))
     r = r.withColumn("sales_per_customer", F.coalesce(ratio, col("spc_median"))).drop("spc_median")
     names = [c for c in r.columns if c not in ("store", "date", "is_future")]
-    past_feats = r.filter(col("is_future") == 0)
-    fut_feats = r.filter(col("is_future") == 1).drop("is_future")
-    return fill_from_history(fut_feats, names, past_feats)
+    fut = r.filter(col("is_future") == 1).drop("is_future")
+    if min_history >= max(max(LAGS), max(WINDOWS)):
+        # every lag and frame of a future day lands on existing rows, customer
+        # lags are coalesced and the ratio falls back to the median: no null
+        # can remain, so P5 needs no history medians (and no extra pass)
+        return fut.na.fill(0.0, subset=names)
+    return fill_from_history(fut, names, r.filter(col("is_future") == 0))
 
 
 def fill_from_history(df: DataFrame, cols: list[str],
                       history: DataFrame | None = None) -> DataFrame:
     """P5: a feature still null takes the store's history median of that
     column (exact ``median`` per store: at most one value per history day),
-    else 0."""
+    else 0.  One cheap pass over the future rows finds which columns have
+    nulls at all; medians are computed for those only."""
     if history is not None:
-        have = [c for c in cols if c in history.columns]
+        nulls = df.select([F.count(F.when(col(c).isNull(), 1)).alias(c) for c in cols]).first()
+        have = [c for c in cols if nulls[c] and c in history.columns]
         if have:
             med = history.groupBy("store").agg(
                 *[F.median(c).alias(f"_med_{c}") for c in have])
@@ -291,8 +298,8 @@ def forecast_reference(history: DataFrame, start: str, end: str) -> DataFrame:
 def forecast_detail(fc: DataFrame) -> DataFrame:
     """Date, store, promo, sales (2 digits), customers (0 digits)."""
     return fc.select("scenario", F.date_format("date", "yyyy-MM-dd").alias("date"),
-                     "store", "promo",
-                     (F.round(col("sales_cents")) / 100.0).alias("sales"), "customers")
+                     "store", "promo", cents_to_units(col("sales_cents")).alias("sales"),
+                     "customers")
 
 
 def uplift(fc: DataFrame) -> DataFrame:
@@ -312,19 +319,21 @@ def uplift(fc: DataFrame) -> DataFrame:
 def extra_staff(fc: DataFrame, per_staff: int = CUSTOMERS_PER_STAFF) -> DataFrame:
     """Extra staff per promo day = ceil(daily uplift / base basket /
     per_staff), not below 0; the store figure is the ceiling of the mean over
-    promo days (0 when there are none)."""
-    base = fc.filter(col("scenario") == "base").select(
-        "store", "date", col("sales_cents").alias("b"), col("customers").alias("bc"))
-    promo = fc.filter(col("scenario") == "promo").select(
-        "store", "date", col("sales_cents").alias("p"), col("promo"))
-    size = base.groupBy("store").agg(
-        (F.sum(dec(col("b"))).cast("double") /
-         F.when(F.sum("bc") > 0, F.sum("bc") * 100).cast("double")).alias("avg_basket"))
-    d = promo.join(base, ["store", "date"]).join(size, "store")
+    promo days (0 when there are none).  Both scenarios of a day are paired
+    by one aggregate on (store, date), the base basket by a window over each
+    store's days."""
+    is_base, is_promo = col("scenario") == "base", col("scenario") == "promo"
+    day = fc.groupBy("store", "date").agg(
+        F.sum(F.when(is_base, col("sales_cents"))).alias("b"),
+        F.sum(F.when(is_base, col("customers"))).alias("bc"),
+        F.sum(F.when(is_promo, col("sales_cents"))).alias("p"),
+        F.max(F.when(is_promo, col("promo"))).alias("promo"))
+    w = Window.partitionBy("store")
+    sb, sc = F.sum(dec(col("b"))).over(w), F.sum("bc").over(w)
+    day = day.withColumn("avg_basket", sb.cast("double") / F.when(sc > 0, sc * 100).cast("double"))
     extra = ((col("p") - col("b")).cast("double") / 100.0) / col("avg_basket")
     staff = F.greatest(F.ceil(extra / float(per_staff)), F.lit(0)).cast("long")
-    d = d.withColumn("staff", staff)
-    g = d.groupBy("store").agg(
+    g = day.filter(col("p").isNotNull()).withColumn("staff", staff).groupBy("store").agg(
         F.count(F.when(col("promo") == 1, 1)).alias("n"),
         F.sum(F.when(col("promo") == 1, col("staff"))).alias("t"))
     mean_ceil = F.when(col("n") > 0, F.call_function(
@@ -334,14 +343,16 @@ def extra_staff(fc: DataFrame, per_staff: int = CUSTOMERS_PER_STAFF) -> DataFram
 
 def forecast_kpis(fc: DataFrame) -> DataFrame:
     """Per store and scenario: total and mean sales, total customers;
-    for the promo scenario the lift and lift % over base (when base > 0)."""
+    for the promo scenario the lift and lift % over base (when base > 0).
+    The base total reaches the promo row through a window over the store's
+    (at most two) scenario rows, not a self-join."""
     g = fc.groupBy("store", "scenario").agg(
         F.count("*").alias("n"), F.sum(dec(col("sales_cents"))).alias("s"),
         F.sum("customers").alias("total_customers"))
-    base = g.filter(col("scenario") == "base").select("store", col("s").alias("bs"))
-    j = g.join(base, "store", "left")
+    g = g.withColumn("bs", F.max(F.when(col("scenario") == "base", col("s")))
+                     .over(Window.partitionBy("store")))
     promo_row = (col("scenario") == "promo") & (col("bs") > 0)
-    return j.select(
+    return g.select(
         "store", "scenario", (col("s").cast("double") / 100.0).alias("total_sales"),
         (round_ratio(col("s"), col("n")).cast("double") / 100.0).alias("avg_sales"),
         "total_customers",

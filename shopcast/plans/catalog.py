@@ -71,23 +71,41 @@ def _forecast(spark, d):
 
 def _split(spark, d):
     feats = FE.build_features(_clean(spark, d))
-    return TR.split_counts(*TR.chronological_split(feats, 0.8))
+    return TR.split_counts(feats, 0.8)
+
+
+def _until(year):
+    return f"{year + 1:04d}-01-01"
+
+
+def _year_sales(spark, d, year):
+    """The fact rows of one year, the range pushed to the scan."""
+    return in_years(daily_sales(spark, d, f"{year:04d}-01-01", _until(year)), year)
 
 
 def _baseline(spark, d):
-    return SC.store_baseline(daily_sales(spark, d), BASELINE_UNTIL)
+    hist = daily_sales(spark, d, date_to=_until(BASELINE_UNTIL))
+    return SC.store_baseline(hist, BASELINE_UNTIL)
 
 
 def _anoms(spark, d):
-    return SC.anomalies(SC.score(in_years(daily_sales(spark, d), STREAM_YEAR),
-                                 _baseline(spark, d)))
+    return SC.anomalies(SC.score(_year_sales(spark, d, STREAM_YEAR), _baseline(spark, d)))
+
+
+def _stream_out(spark, d):
+    from shopcast.streaming.anomaly import run_anomaly_stream
+    facts = _year_sales(spark, d, STREAM_YEAR)
+    return run_anomaly_stream(spark, facts, _baseline(spark, d), n_files=6)
 
 
 def _stream_scored(spark, d):
-    from shopcast.streaming.anomaly import read_scored, run_anomaly_stream
-    facts = in_years(daily_sales(spark, d), STREAM_YEAR)
-    out = run_anomaly_stream(spark, facts, _baseline(spark, d), n_files=6)
-    return read_scored(spark, out)
+    from shopcast.streaming.anomaly import read_scored
+    return read_scored(spark, _stream_out(spark, d))
+
+
+def _stream_anomalies(spark, d):
+    from shopcast.streaming.anomaly import read_anomalies
+    return read_anomalies(spark, _stream_out(spark, d))
 
 
 def _run(spark, d):
@@ -131,7 +149,9 @@ def queries() -> dict[str, Query]:
         "report_weekday": _sales(R.report_weekday),
         "report_competition": _both(R.report_competition),
         "report_cumulative": _sales(lambda s: R.report_cumulative(s, 5)),
-        "report_quarter": _both(lambda s, st: R.report_quarter(s, st, QUARTER_YEARS)),
+        "report_quarter": lambda spark, d: R.report_quarter(
+            daily_sales(spark, d, f"{min(QUARTER_YEARS):04d}-01-01", _until(max(QUARTER_YEARS))),
+            stores(spark, d), QUARTER_YEARS),
         "report_quartiles": _sales(R.report_quartiles),
         "report_closures": _both(R.report_closures),
         "network_kpis": _sales(lambda s: R.network_kpis(s, KPI_FROM, KPI_TO)),
@@ -160,12 +180,19 @@ def queries() -> dict[str, Query]:
             "store", "date", *FE.rolling_columns().keys())),
         "store_baseline": lambda spark, d: _baseline(spark, d).select(
             "store", "base_mean", "base_std", "base_count"),
-        "scored": lambda spark, d: SC.scored_year(daily_sales(spark, d),
+        "scored": lambda spark, d: SC.scored_year(_year_sales(spark, d, STREAM_YEAR),
                                                   _baseline(spark, d), STREAM_YEAR),
         "anomalies": _anoms,
         "top_anomalies": lambda spark, d: SC.top_anomalies(_anoms(spark, d), 15),
         "anomaly_summary": lambda spark, d: SC.anomaly_summary(_anoms(spark, d)),
         "stream_scored": _stream_scored,
+        "stream_anomalies": _stream_anomalies,
+        "correlation_matrix": lambda spark, d: PR.correlations(
+            _clean(spark, d), CORR_COLS + ["sales_cents"]),
+        "categories": lambda spark, d: FE.category_table(
+            FE.add_calendar(_clean(spark, d)), ("day_of_week",) + FE.CATEGORICAL),
+        "eligible_stores": lambda spark, d: FC.eligible_stores(_hist(spark, d)),
+        "forecast_detail": lambda spark, d: FC.forecast_detail(_forecast(spark, d)),
         "promo_streaks": lambda spark, d: FC.promo_streaks(_hist(spark, d)),
         "suggest_cycle": _cycle,
         "promo_pattern": _pattern,

@@ -604,9 +604,51 @@ GROUP BY split""", ("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN)),
 }
 
 
+def _corr_matrix_sql() -> str:
+    cols = list(CORR_COLS) + ["sales_cents"]
+
+    def x(c):
+        return f"CAST({c} AS HUGEINT)" if c in INTEGRAL else f"CAST({c} AS DOUBLE)"
+    aggs = ["COUNT(*) AS n"]
+    for c in cols:
+        aggs += [f"SUM({x(c)}) AS {c}_s", f"SUM({x(c)} * {c}) AS {c}_q"]
+    rows = []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            aggs.append(f"SUM({x(a)} * {x(b)}) AS {a}__{b}")
+            va = f"CAST(n * {a}_q - {a}_s * {a}_s AS DOUBLE)"
+            vb = f"CAST(n * {b}_q - {b}_s * {b}_s AS DOUBLE)"
+            cov = f"CAST(n * {a}__{b} - {a}_s * {b}_s AS DOUBLE)"
+            r = f"(CASE WHEN {va} > 0 AND {vb} > 0 THEN {cov} / sqrt({va} * {vb}) ELSE 0.0 END)"
+            rows.append(f"SELECT '{a}' AS column_a, '{b}' AS column_b, {rnd(r, 4)} AS r FROM m")
+    return with_base(" UNION ALL ".join(rows),
+                     ("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN),
+                     ("data", f"SELECT {', '.join(cols)} FROM clean WHERE " +
+                      " AND ".join(f"{c} IS NOT NULL" for c in cols)),
+                     ("m", f"SELECT {', '.join(aggs)} FROM data"))
+
+
+EXTRA = {
+    "stream_anomalies": with_base(ANOMS, *_SC),
+    "correlation_matrix": _corr_matrix_sql(),
+    "categories": with_base("""
+SELECT "column", CAST(ROW_NUMBER() OVER (PARTITION BY "column" ORDER BY value) - 1 AS BIGINT) AS position, value
+FROM (SELECT DISTINCT 'day_of_week' AS "column", CAST(isodow(date) AS VARCHAR) AS value FROM clean
+      UNION SELECT DISTINCT 'state_holiday', state_holiday FROM clean WHERE state_holiday IS NOT NULL
+      UNION SELECT DISTINCT 'store_type', store_type FROM clean WHERE store_type IS NOT NULL
+      UNION SELECT DISTINCT 'assortment', assortment FROM clean WHERE assortment IS NOT NULL) d""",
+                            ("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN)),
+    "eligible_stores": with_base("SELECT * FROM elig", *FC_BASE),
+    "forecast_detail": with_base("""
+SELECT scenario, strftime(date, '%Y-%m-%d') AS date, store, promo,
+       CAST(sales_cents AS DOUBLE) / CAST(100 AS DOUBLE) AS sales, customers FROM fc""", *FC),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(REPORTS)
     out.update(CLEANING)
     out.update(SCORING)
     out.update(FORECASTING)
+    out.update(EXTRA)
     return out

@@ -28,12 +28,6 @@ def _euro_mean(s, n):
     return cents_to_units(round_ratio(s, n))
 
 
-def _order_value(s, n):
-    """Exact-input double of s/n, used only for ordering."""
-    return col(s).cast("double") / col(n).cast("double") if isinstance(s, str) \
-        else s.cast("double") / n.cast("double")
-
-
 def _per_store(df: DataFrame, *keys) -> DataFrame:
     return df.groupBy("store", *keys).agg(
         F.count("*").alias("n"),
@@ -125,10 +119,10 @@ def report_below_mean(sales: DataFrame, stores: DataFrame, n: int = 20) -> DataF
     """Stores whose mean is below the mean over all open rows (a mean
     over rows, not over stores); the worst ``n``.  The system mean is a
     one-row aggregate, joined by a broadcast of that single row."""
-    od = open_days(sales)
-    system = od.agg(F.count("*").alias("sn"),
-                    F.sum(dec(col("sales_cents"))).alias("ss"))
-    ps = _with_type(_per_store(od), stores).crossJoin(F.broadcast(system))
+    per_store = _per_store(open_days(sales))
+    # the system totals are sums of the per-store partials: no second scan
+    system = per_store.agg(F.sum("n").alias("sn"), F.sum("s").alias("ss"))
+    ps = _with_type(per_store, stores).crossJoin(F.broadcast(system))
     below = ps.filter(col("s") * col("sn") < col("ss") * col("n"))
     return (below.select(
         "store", "store_type",

@@ -250,6 +250,8 @@ def test_split_exact_with_boundary_date(spark):
             for s in range(100)]
     df = spark.createDataFrame(rows, "store long, date date, open long")
     tr, te = TR.chronological_split(df, 0.8)
+    cnt = {r.split: r.n_rows for r in TR.split_counts(df, 0.8).collect()}
+    assert cnt == {"train": 80, "test": 20}
     trs, tes = tr.collect(), te.collect()
     assert len(trs) == 80 and len(tes) == 20
     last = max((r.date, r.store) for r in trs)
@@ -302,3 +304,10 @@ def test_union_history_and_future(spark):
     f = spark.createDataFrame([(1, day(1), 1)], "store long, date date, promo int")
     u = h.unionByName(f, allowMissingColumns=True)
     assert u.count() == 2 and u.filter("sales_cents is null").count() == 1
+
+
+def test_fill_from_history_uses_store_median(spark):
+    fut = spark.createDataFrame([(1, None), (2, None), (3, 5.0)], "store long, f double")
+    hist = spark.createDataFrame([(1, 1.0), (1, 3.0), (1, 10.0), (3, 7.0)], "store long, f double")
+    got = {r.store: r.f for r in FC.fill_from_history(fut, ["f"], hist).collect()}
+    assert got == {1: 3.0, 2: 0.0, 3: 5.0}
