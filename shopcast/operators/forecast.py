@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shopcast.functions.calendar import calendar_dict, date_range, day_of_week
 from shopcast.functions.exact import cents_to_units, dec, moment_std, round_ratio
 from shopcast.operators.features import LAGS, WINDOWS, by_store
+from shopcast.operators.joins import lookup_with_default
 
 col = F.col
 
@@ -280,8 +281,8 @@ def finish_forecast(pred: DataFrame, history: DataFrame, start: str) -> DataFram
     """P6 + J6: sales clipped at 0; customers = int(sales / basket) for the
     (weekday, promo) basket of the store, 10 when unknown."""
     b = basket(cut_history(history, start))
-    p = pred.join(b, ["store", "day_of_week", "promo"], "left").withColumn(
-        "basket", F.coalesce(col("basket"), F.lit(DEFAULT_BASKET)))
+    p = lookup_with_default(pred, b, ["store", "day_of_week", "promo"], "basket",
+                            DEFAULT_BASKET)
     cents = F.greatest(col("pred_cents"), F.lit(0))
     sales = cents.cast("double") / 100.0
     cust = F.when(cents > 0, F.floor(sales / col("basket"))).otherwise(0).cast("long")
