@@ -116,7 +116,7 @@ def _run(spark, d):
 def _feature_report(spark, d):
     from shopcast.operators.select import feature_report
     r = _run(spark, d)
-    return feature_report(r["train"], r["candidates"], r["selected"])
+    return feature_report(r["features"], r["candidates"], r["selected"])
 
 
 def _model_comparison(spark, d):

@@ -26,7 +26,9 @@ def run_training(clean: DataFrame, key: str | None = None, label: str = "sales",
     train, test = TR.chronological_split(feats, 0.8)
     train, test = train.persist(), test.persist()
     cands = SE.candidates(feats)
-    selected = SE.select_features(train, cands, label)
+    # selection runs over the whole feature table, as the original pipeline
+    # does (it selects before it splits)
+    selected = SE.select_features(feats, cands, label)
     sample = TR.tuning_sample(train).persist()
     rf = TR.tune_forest(sample, selected, label, parallelism)
     gbt = TR.tune_boosted(sample, selected, label, parallelism)
