@@ -74,7 +74,8 @@ def start_anomaly_query(stream_df: DataFrame, baseline: DataFrame, out_dir: str,
                         k: float = Z_THRESHOLD) -> StreamingQuery:
     """ST5: start with a trigger (``None`` = availableNow), a checkpoint and
     a query name."""
-    w = (stream_df.writeStream.foreachBatch(make_batch_writer(baseline, out_dir, k))
+    counted = stream_df.observe("stream_counts", F.count(F.lit(1)).alias("records"))
+    w = (counted.writeStream.foreachBatch(make_batch_writer(baseline, out_dir, k))
          .option("checkpointLocation", checkpoint).queryName(name))
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
     return w.start()
@@ -86,12 +87,23 @@ def drain(query: StreamingQuery) -> None:
     query.stop()
 
 
-def stream_stats(query: StreamingQuery) -> dict:
-    """ST6: batches and input records from the query progress."""
-    prog = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0] \
-        if isinstance(query.recentProgress, list) else []
-    return {"batches": len(prog),
-            "records": int(sum(p.get("numInputRows", 0) for p in prog))}
+def stream_stats(query: StreamingQuery, out_dir: str | None = None,
+                 spark: SparkSession | None = None) -> dict:
+    """ST6: batches and records from the query progress (records are the
+    observed row count of each micro-batch); anomalies from the sink."""
+    prog = [p for p in query.recentProgress if p.numInputRows > 0]
+    records = 0
+    for p in prog:
+        m = (p.observedMetrics or {}).get("stream_counts")
+        records += int(m["records"]) if m is not None else int(p.numInputRows)
+    out = {"batches": len(prog), "records": records}
+    if out_dir is not None:
+        spark = spark or SparkSession.getActiveSession()
+        try:
+            out["anomalies"] = read_anomalies(spark, out_dir).count()
+        except Exception:      # no anomaly written yet
+            out["anomalies"] = 0
+    return out
 
 
 def read_scored(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -104,18 +116,24 @@ def read_anomalies(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def run_anomaly_stream(spark: SparkSession, facts: DataFrame, baseline: DataFrame,
-                       n_files: int = 6, max_files: int = 1) -> str:
+                       n_files: int = 6, max_files: int = 1, fmt: str = "parquet",
+                       with_stats: bool = False):
     """Drive the stream end to end over ``facts``: write them as ``n_files``
     date-ordered Parquet files into the shared folder, run the query with an
     availableNow trigger (one file per micro-batch), return the output
     folder.  Used by tests and the query catalogue."""
     base = run_dir(spark, "stream")
     inbox = f"{base}/input"
-    (facts.repartitionByRange(n_files, "date", "store")
-     .select([f.name for f in SALES_SCHEMA.fields])
-     .write.mode("overwrite").parquet(inbox))
+    files = (facts.repartitionByRange(n_files, "date", "store")
+             .select([f.name for f in SALES_SCHEMA.fields]).write.mode("overwrite"))
+    if fmt == "csv":
+        files.option("header", "true").csv(inbox)
+    else:
+        files.parquet(inbox)
     b = prepare_baseline(baseline)
-    q = start_anomaly_query(read_sales_stream(spark, inbox, max_files), b,
+    q = start_anomaly_query(read_sales_stream(spark, inbox, max_files, fmt), b,
                             f"{base}/out", f"{base}/checkpoint", trigger=None)
     q.awaitTermination()
+    if with_stats:
+        return f"{base}/out", stream_stats(q, f"{base}/out", spark)
     return f"{base}/out"

@@ -30,3 +30,17 @@ def test_stream_equals_batch_and_is_idempotent(spark, tmp_dir):
     writer(replay, 0)
     assert spark.read.parquet(f"{out}/scored").filter("batch_id = 0").count() == n0
     assert ST.read_scored(spark, out).count() == 454
+
+
+def test_csv_stream_and_counters(spark):
+    sales = daily_sales(spark, SF_SMALL)
+    base = SC.store_baseline(sales, 2000)
+    facts = in_years(sales, 2001)
+    out, stats = ST.run_anomaly_stream(spark, facts, base, n_files=2, fmt="csv", with_stats=True)
+    n_open = facts.filter("open = 1 AND sales_cents > 0").count()
+    assert stats["batches"] == 2
+    assert stats["records"] == n_open
+    assert stats["anomalies"] == 5
+    exp = SC.scored_year(sales, base, 2001)
+    got = ST.read_scored(spark, out)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
