@@ -82,36 +82,40 @@ def add_rolling(df: DataFrame, windows=WINDOWS, full: bool = False) -> DataFrame
     return df.withColumns(rolling_columns("sales_cents", windows, full))
 
 
+def _category_pairs(df: DataFrame, cols) -> DataFrame:
+    """Distinct non-null (column, value) pairs: each row is unpivoted and
+    the pairs are de-duplicated by a partial + final aggregate."""
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value"))
+        for c in cols])).alias("p")).select("p.column", "p.value")
+    return pairs.filter(col("value").isNotNull()).distinct()
+
+
 def categories(df: DataFrame, cols=CATEGORICAL,
                max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """Sorted distinct non-null values (as strings) of each column.
 
-    The distinct pairs are found by a distributed aggregate
-    (``category_table``); at most ``max_categories`` per column plus one
-    reach the driver, so a column that is not categorical raises instead of
-    pulling millions of values."""
+    The distinct pairs are found by a distributed aggregate; at most
+    ``max_categories * len(cols) + 1`` of them reach the driver.  Receiving
+    that many means (pigeonhole) that some column is over the limit: it is
+    not categorical, and we raise instead of pulling its values."""
     cap = max_categories * len(cols) + 1
-    rows = category_table(df, cols).filter(col("position") <= max_categories).limit(cap).collect()
+    rows = _category_pairs(df, cols).limit(cap).collect()
+    if len(rows) >= cap:
+        raise ValueError(f"a column of {list(cols)} has over {max_categories} values")
     out: dict[str, list[str]] = {c: [] for c in cols}
-    for r in sorted(rows, key=lambda r: (r["column"], r["position"])):
+    for r in rows:
         out[r["column"]].append(r["value"])
-    too_many = [c for c, v in out.items() if len(v) > max_categories]
-    if too_many:
-        raise ValueError(f"not categorical (over {max_categories} values): {too_many}")
-    return out
+    return {c: sorted(v) for c, v in out.items()}
 
 
 def category_table(df: DataFrame, cols=CATEGORICAL) -> DataFrame:
-    """A20 as a distributed table: (column, position, value), values sorted
-    as strings, nulls left out.  One pass: each row is unpivoted into
-    (column, value) pairs, de-duplicated by a partial + final aggregate."""
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value"))
-        for c in cols])).alias("p")).select("p.column", "p.value")
-    d = pairs.filter(col("value").isNotNull()).distinct()
+    """A20 as a table: (column, position, value), values sorted as strings.
+    For categorical columns (the numbering window holds one column's
+    distinct values)."""
     w = Window.partitionBy("column").orderBy("value")
-    return d.select("column", (F.row_number().over(w) - 1).cast("long").alias("position"),
-                    "value")
+    return _category_pairs(df, cols).select(
+        "column", (F.row_number().over(w) - 1).cast("long").alias("position"), "value")
 
 
 def one_hot_columns(cats: dict[str, list[str]],

@@ -311,3 +311,12 @@ def test_fill_from_history_uses_store_median(spark):
     hist = spark.createDataFrame([(1, 1.0), (1, 3.0), (1, 10.0), (3, 7.0)], "store long, f double")
     got = {r.store: r.f for r in FC.fill_from_history(fut, ["f"], hist).collect()}
     assert got == {1: 3.0, 2: 0.0, 3: 5.0}
+
+
+def test_categories_sorted_and_bounded(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 2), (None, 3), ("b", 4)], "c string, k long")
+    assert FE.categories(df, ["c"]) == {"c": ["a", "b"]}
+    with pytest.raises(ValueError):
+        FE.categories(df, ["k"], max_categories=3)
+    tab = FE.category_table(df, ["c"]).orderBy("position").collect()
+    assert [(r.position, r.value) for r in tab] == [(0, "a"), (1, "b")]
