@@ -24,12 +24,12 @@ def run_training(clean: DataFrame, key: str | None = None, label: str = "sales",
     cats = FE.feature_categories(clean)
     feats = FE.build_features(clean, cats).persist()
     train, test = TR.chronological_split(feats, 0.8)
-    train, test = train.persist(), test.persist()
+    train, test = TR.right_size(train), TR.right_size(test)
     cands = SE.candidates(feats)
     # selection runs over the whole feature table, as the original pipeline
     # does (it selects before it splits)
     selected = SE.select_features(feats, cands, label)
-    sample = TR.tuning_sample(train).persist()
+    sample = TR.right_size(TR.tuning_sample(train))
     rf = TR.tune_forest(sample, selected, label, parallelism)
     gbt = TR.tune_boosted(sample, selected, label, parallelism)
     models, metrics = TR.train_all(train, test, selected, rf, gbt, label)
