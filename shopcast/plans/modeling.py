@@ -39,3 +39,26 @@ def run_training(clean: DataFrame, key: str | None = None, label: str = "sales",
     if key is not None:
         _RUNS[key] = run
     return run
+
+
+def save_run(spark, run: dict, out_dir: str) -> None:
+    """IO5 + IO6: keep what scoring needs next to the best model: the chosen
+    feature list, the one-hot category table, the model comparison (which
+    names the best model) and the best fitted pipeline."""
+    from shopcast import sinks
+    sinks.write_features(spark, run["selected"], f"{out_dir}/features")
+    sinks.write_categories(spark, run["cats"], f"{out_dir}/categories")
+    TR.model_comparison(spark, run["metrics"]).coalesce(1).write.mode("overwrite").parquet(
+        f"{out_dir}/comparison")
+    sinks.save_model(run["models"][run["best"]], f"{out_dir}/models/{run['best']}")
+
+
+def load_best(spark, out_dir: str) -> dict:
+    """Load the best model by the stored comparison, not by a fixed path."""
+    from shopcast import sinks
+    best = (spark.read.parquet(f"{out_dir}/comparison").filter("best")
+            .select("model").first()["model"])
+    return {"best": best,
+            "model": sinks.load_model(f"{out_dir}/models/{best}"),
+            "features": sinks.read_features(spark, f"{out_dir}/features"),
+            "cats": sinks.read_categories(spark, f"{out_dir}/categories")}

@@ -55,3 +55,19 @@ def test_forecast_export_names_the_run(spark, tmp_dir):
     one = sinks.forecast_tags(fc.filter("store = 3")).first()
     assert one.store_tag == "S3"
     assert back.first().date == "2001-11-05" or len(back.first().date) == 10
+
+
+def test_save_run_and_load_best_by_metadata(spark, tmp_dir):
+    from shopcast.plans.modeling import load_best, save_run
+    df = spark.createDataFrame([(float(x), 2.0 * x + 1.0) for x in range(30)], "x double, sales double")
+    fit = Pipeline(stages=TR.feature_stages(["x"]) + [LinearRegression(
+        featuresCol="features_scaled", labelCol="sales")]).fit(df)
+    metrics = {"LinearRegression": TR.evaluate(fit, df),
+               "Other": {"rmse": 99.0, "mae": 9.0, "r2": 0.1}}
+    run = {"selected": ["x"], "cats": {"store_type": ["t1"]}, "metrics": metrics,
+           "models": {"LinearRegression": fit}, "best": TR.best_model(metrics)}
+    save_run(spark, run, f"{tmp_dir}/run")
+    got = load_best(spark, f"{tmp_dir}/run")
+    assert got["best"] == "LinearRegression" and got["features"] == ["x"]
+    assert got["cats"] == {"store_type": ["t1"]}
+    assert got["model"].transform(df).count() == 30
