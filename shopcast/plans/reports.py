@@ -18,6 +18,7 @@ from shopcast.functions.bands import distance_band
 from shopcast.functions.calendar import day_of_week
 from shopcast.functions.exact import cents_to_units, dec, ratio_to_units, round_ratio
 from shopcast.operators.clean import in_years, open_days
+from shopcast.operators.joins import semi_join_top, with_scalar
 from shopcast.plans.ordering import ntile
 
 col = F.col
@@ -122,7 +123,7 @@ def report_below_mean(sales: DataFrame, stores: DataFrame, n: int = 20) -> DataF
     per_store = _per_store(open_days(sales))
     # the system totals are sums of the per-store partials: no second scan
     system = per_store.agg(F.sum("n").alias("sn"), F.sum("s").alias("ss"))
-    ps = _with_type(per_store, stores).crossJoin(F.broadcast(system))
+    ps = with_scalar(_with_type(per_store, stores), system)
     below = ps.filter(col("s") * col("sn") < col("ss") * col("n"))
     return (below.select(
         "store", "store_type",
@@ -172,7 +173,7 @@ def report_cumulative(sales: DataFrame, n: int = 5) -> DataFrame:
     The top-n frame has at most n rows, so it is broadcast to the semi join;
     each running window holds one store's days."""
     top = top_stores_by_sales(sales, n)
-    rows = sales.filter(col("open") == 1).join(F.broadcast(top), "store", "left_semi")
+    rows = semi_join_top(sales.filter(col("open") == 1), top, "store")
     w = Window.partitionBy("store").orderBy("date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (rows.select("store", "date",
