@@ -53,8 +53,16 @@ BASELINE_UNTIL, STREAM_YEAR = 2000, 2001
 H_START, H_END = "2001-11-05", "2001-12-04"
 
 
+def _clean_table(spark, d):
+    """The cleaned history written once to the shared folder (as the
+    pipeline's cleaning step does), so the many references of a forecast
+    plan read one Parquet table instead of re-aggregating line items."""
+    from shopcast.session import materialize
+    return materialize(_clean(spark, d), "clean")
+
+
 def _hist(spark, d):
-    return FC.cut_history(_clean(spark, d), H_START)
+    return FC.cut_history(_clean_table(spark, d), H_START)
 
 
 def _cycle(spark, d):
@@ -66,7 +74,7 @@ def _pattern(spark, d):
 
 
 def _forecast(spark, d):
-    return FC.forecast_reference(_clean(spark, d), H_START, H_END)
+    return FC.forecast_reference(_clean_table(spark, d), H_START, H_END)
 
 
 def _split(spark, d):
@@ -198,9 +206,11 @@ def queries() -> dict[str, Query]:
         "promo_pattern": _pattern,
         "customers_by_weekday": lambda spark, d: FC.customers_by_weekday(_hist(spark, d)),
         "basket": lambda spark, d: FC.basket(_hist(spark, d)),
-        "future_rows": lambda spark, d: FC.future_rows(
-            _clean(spark, d), _pattern(spark, d), H_START, H_END),
-        "future_features": lambda spark, d: FC.future_features(_clean(spark, d), H_START, H_END),
+        "future_rows": lambda spark, d: (lambda c: FC.future_rows(
+            c, FC.promo_pattern(FC.suggest_cycle(FC.promo_streaks(FC.cut_history(c, H_START))),
+                                H_START, H_END), H_START, H_END))(_clean_table(spark, d)),
+        "future_features": lambda spark, d: FC.future_features(
+            _clean_table(spark, d), H_START, H_END),
         "forecast": lambda spark, d: _forecast(spark, d).drop("sales_cents"),
         "uplift": lambda spark, d: FC.uplift(_forecast(spark, d)),
         "extra_staff": lambda spark, d: FC.extra_staff(_forecast(spark, d)),
