@@ -78,7 +78,7 @@ def _forecast(spark, d):
 
 
 def _split(spark, d):
-    feats = FE.build_features(_clean(spark, d))
+    feats = FE.build_features(_clean_table(spark, d))
     return TR.split_counts(feats, 0.8)
 
 
@@ -118,7 +118,7 @@ def _stream_anomalies(spark, d):
 
 def _run(spark, d):
     from shopcast.plans.modeling import run_training
-    return run_training(_clean(spark, d), key=f"{id(spark)}:{d}")
+    return run_training(_clean_table(spark, d), key=f"{id(spark)}:{d}")
 
 
 def _feature_report(spark, d):
@@ -142,7 +142,7 @@ def _importance(spark, d):
 
 def _forecast_model(spark, d):
     r = _run(spark, d)
-    return FC.forecast_with_model(_clean(spark, d), r["models"][r["best"]], r["cats"],
+    return FC.forecast_with_model(_clean_table(spark, d), r["models"][r["best"]], r["cats"],
                                   H_START, H_END).drop("sales_cents")
 
 
