@@ -15,8 +15,10 @@ values of its shingle set.  Steps:
    class whose sketch has the most frequent values.  Pairs pass an estimate
    from the sketch of the union, then exact Jaccard of the full sets.
    A group of near copies is joined here with as many pairs as members.
-4. Cross pass: pairs of one list that the star pass has not yet put into
-   one component, filtered and verified in the same way.
+4. Cross pass: classes of lists that the star pass has not put into one
+   component are listed anew by their full sets, where the bounds are exact
+   and sharp, and pairs of different components are filtered and verified in
+   the same way.
 5. Components of all verified links and of the classes' members.
 
 Pairs that are already connected need no check of their own for the
@@ -116,18 +118,62 @@ def _need():
     return F.when(F.col("n") <= SKETCH * 3 // 4, whole).otherwise(F.lit(SHARED)).cast("int")
 
 
-def postings(classes: DataFrame) -> DataFrame:
-    """(value, id, n, weight): the listed values of each class that another
-    class lists or at least retains; ``weight`` is the centrality."""
-    each = classes.select("id", "n", F.size("sketch").alias("m"), _need().alias("need"),
-                          F.explode("sketch").alias("value"))
+def _listed(sized: DataFrame, values: str) -> DataFrame:
+    """(value, id, n, m, place, weight): the values of each row of (id, n, m,
+    need, values) that it must be listed under, rare values first.
+
+    Two rows that share ``need`` of their ``m`` values share one of their
+    first ``m - need + 1`` in any common order.  ``place`` counts from 1;
+    values that no other row has come first and need no list.  ``weight``
+    is the centrality, the sum of the frequencies of all shared values.
+    """
+    each = sized.select("id", "n", "m", "need", F.explode(values).alias("value"))
     each = each.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("value")))
-    shared = each.filter("df > 1")
     mine = Window.partitionBy("id")
-    ranked = (shared.withColumn("single", F.col("m") - F.count(F.lit(1)).over(mine))
+    ranked = (each.filter("df > 1").withColumn("single", F.col("m") - F.count(F.lit(1)).over(mine))
               .withColumn("weight", F.sum("df").over(mine))
               .withColumn("place", F.col("single") + F.row_number().over(mine.orderBy("df", "value"))))
-    return ranked.filter("place <= m - need + 1").select("value", "id", "n", "weight")
+    return ranked.filter("place <= m - need + 1").select("value", "id", "n", "m", "place", "weight")
+
+
+def postings(classes: DataFrame) -> DataFrame:
+    """Inverted lists of the retained values."""
+    return _listed(classes.select("id", "n", F.size("sketch").alias("m"), _need().alias("need"), "sketch"),
+                   "sketch").select("value", "id", "n", "weight")
+
+
+def cross_pairs(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that may be similar though their components differ.
+
+    ``placed`` are the lists with components.  Only members of lists with
+    several components are unsettled; for these the prefix bound is taken on
+    the full sets, where it is exact: a class is listed under its first
+    ``n - 0.75 n + 1`` shingles, and a value at place i can be the first
+    common one only for partners of at most ``most`` shingles, as too few
+    values follow.  So classes that share much but not enough, such as
+    copies with many edits, leave the lists before any pair is formed.
+    """
+    mixed = placed.groupBy("value").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
+    loose = table(placed.join(mixed, "value", "left_semi").select("id", "comp").distinct(), "unsettled")
+    sized = sets.join(loose, "id").withColumn("n", F.size("shingles"))
+    need = F.ceil(F.col("n") * SIMILARITY_PERCENT / 100)
+    lists = _listed(sized.select("id", "n", F.col("n").alias("m"), need.alias("need"), "shingles"), "shingles")
+    # overlap * (1 + t) >= t * (n + partner), at most n - place + 1 can follow
+    most = F.floor((F.col("n") - F.col("place") + 1) * (100 + SIMILARITY_PERCENT) / SIMILARITY_PERCENT) - F.col("n")
+    lists = table(lists.select("value", "id", "n", most.alias("most")).join(loose, "id"), "fulllists")
+    bounds = lists.groupBy("value").agg(F.min("n").alias("least"), F.min("comp").alias("x"),
+                                        F.max("comp").alias("y")).filter("x < y")
+    lists = table(lists.join(bounds.select("value", "least"), "value").filter("most >= least").drop("least"), "open")
+    blocks = lists.groupBy("value", "comp").agg(F.min("n").alias("n"), F.max("most").alias("most"))
+    x, y = blocks.alias("x"), blocks.alias("y")
+    cross = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.comp") < F.col("y.comp"))
+                   & (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most"))).select(
+        F.col("x.value").alias("value"), F.col("x.comp").alias("ca"), F.col("y.comp").alias("cb"))
+    one, two = (lists.select("value", *(F.col(c).alias(n + s) for c, n in (
+        ("comp", "c"), ("id", "i"), ("n", "n"), ("most", "m")))) for s in "ab")
+    return (cross.join(one, ["value", "ca"]).join(two, ["value", "cb"])
+            .filter("na <= mb and nb <= ma")
+            .select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).distinct())
 
 
 def _similar_sizes(a: str, b: str):
@@ -178,17 +224,7 @@ def links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     comp = components(first)
     placed = table(lists.join(comp.withColumnRenamed("node", "id"), "id", "left").select(
         "value", "id", "n", F.coalesce("comp", "id").alias("comp")), "placed")
-    blocks = placed.groupBy("value", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    x, y = blocks.alias("x"), blocks.alias("y")
-    cross = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.comp") < F.col("y.comp"))
-                   & (F.col("x.hi") * 100 >= F.col("y.lo") * SIMILARITY_PERCENT)
-                   & (F.col("y.hi") * 100 >= F.col("x.lo") * SIMILARITY_PERCENT)).select(
-        F.col("x.value").alias("value"), F.col("x.comp").alias("ca"), F.col("y.comp").alias("cb"))
-    one = placed.select("value", F.col("comp").alias("ca"), F.col("id").alias("ia"), F.col("n").alias("na"))
-    two = placed.select("value", F.col("comp").alias("cb"), F.col("id").alias("ib"), F.col("n").alias("nb"))
-    pairs = (cross.join(one, ["value", "ca"]).join(two, ["value", "cb"])
-             .filter(_similar_sizes("na", "nb"))
-             .select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).distinct())
+    pairs = cross_pairs(placed, sets)
     second = verified(likely(pairs, classes), sets)
     return table(members.unionByName(first).unionByName(second), "links")
 
