@@ -47,6 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shopcast.llm.common import map_arrow, table, workers_ready
 from shopcast.llm.words import U64, buffers, groups, mix, prefix_hash
@@ -316,17 +317,15 @@ def repeats(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:
         F.struct("lo", "hi", "ah", "sh", "n", is_hot.alias("hot"))).alias("parts"))
     cut = _cut_out(docs.join(parts, F.col("id").eqNullSafe(F.col("pid")) & (F.col("th") == F.col("pth")))
                    .select("id", "th", "t", "parts"), width)
-    if n_hot:
-        cut = table(cut, "cut")
     n_buckets = max(1, -(-n_spans // BUCKET_SPANS))
     dealt = cut.filter("not hot").withColumn("bucket", F.pmod(F.xxhash64("ah"), F.lit(n_buckets)))
     merged = workers_ready(dealt).groupBy("bucket").applyInArrow(
         _merge_bucket(width, SHARD_SPANS), f"id {kind}, th bigint, b bigint, e bigint")
     found = whole.unionByName(merged)
     if n_hot:
-        windows = table(_windows(cut.filter("hot"), width), "windows")
-        twice = windows.groupBy("ah", "wh").agg(F.sum("n").alias("many")).filter("many > 1")
-        found = found.unionByName(windows.join(twice, ["ah", "wh"]).select(
+        many = F.sum("n").over(Window.partitionBy("ah", "wh"))
+        windows = _windows(cut.filter("hot"), width).withColumn("many", many).filter("many > 1")
+        found = found.unionByName(windows.select(
             "id", "th", F.col("at").alias("b"), (F.col("at") + width).alias("e")))
     return found
 
