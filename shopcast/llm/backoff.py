@@ -55,6 +55,18 @@ def _binary(values: list) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers by byte planes: the planes of the high bytes, mostly zero,
+    take next to nothing once the shuffle compresses them."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(data, np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _request(order: int, bits: int):
     edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
 
@@ -66,7 +78,8 @@ def _request(order: int, bits: int):
             cut = np.append(np.searchsorted(found, edges), len(found))
             for b in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
                 part = slice(cut[b], cut[b + 1])
-                for r, v in zip(rows, (k, b, found[part].tobytes(), counts[part].astype(np.uint32).tobytes())):
+                steps = np.diff(found[part], prepend=np.uint64(0))  # ascending hashes by their steps
+                for r, v in zip(rows, (k, b, _pack(steps), _pack(counts[part].astype(np.uint32)))):
                     r.append(v)
         return pa.table([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int32()),
                          pa.array([key[0].as_py()] * len(rows[0]), pa.int64()),
@@ -78,8 +91,8 @@ def _request(order: int, bits: int):
 
 def _count(rows: pa.Table) -> pa.Table:
     """Sums of one partition of the count table, sent back to each group."""
-    hashes = [np.frombuffer(x, np.uint64) for x in rows.column("hashes").to_pylist()]
-    counts = [np.frombuffer(x, np.uint32) for x in rows.column("counts").to_pylist()]
+    hashes = [np.cumsum(_unpack(x, np.uint64)) for x in rows.column("hashes").to_pylist()]
+    counts = [_unpack(x, np.uint32) for x in rows.column("counts").to_pylist()]
     every = np.concatenate(hashes)
     order = np.argsort(every)
     new = np.ones(len(every), bool)
@@ -89,7 +102,7 @@ def _count(rows: pa.Table) -> pa.Table:
     total = np.bincount(which, weights=np.concatenate(counts)).astype(np.uint64)[which]
     cut = np.cumsum([len(h) for h in hashes])[:-1]
     return rows.drop_columns(["hashes", "counts"]).append_column(
-        "counts", _binary([x.tobytes() for x in np.split(total, cut)]))
+        "counts", _binary([_pack(x) for x in np.split(total, cut)]))
 
 
 def _score(order: int, backoff: float, min_count: int, kind: pa.DataType):
@@ -103,9 +116,10 @@ def _score(order: int, backoff: float, min_count: int, kind: pa.DataType):
         for k in range(1, order + 1):
             grams, ends = _grams(w, k)
             _, inverse = np.unique(grams, return_inverse=True)
-            known = b"".join(blobs[i] for i in np.flatnonzero(of == k))
+            known = [_unpack(blobs[i], np.uint64) for i in np.flatnonzero(of == k)]
             c = np.zeros(len(w.start))
-            c[ends] = np.frombuffer(known, np.uint64)[inverse]
+            if known:
+                c[ends] = np.concatenate(known)[inverse]
             counts.append(c)
         level = np.minimum(place, order - 1)  # words of context there are
         logs = np.zeros(len(w.start))
