@@ -72,7 +72,7 @@ def base_spans(text: str) -> list[Span]:
 
 def high_entropy(string: str, window: int, limit: float) -> Iterator[tuple[int, int]]:
     """Joined windows of ``string`` with ``limit`` bits or more."""
-    c_log = [0.0] + [c * log2(c) for c in range(1, window + 1)]
+    c_log = [0.0] + [c * log2(c) for c in range(1, window + 2)]
     counts: dict[str, int] = {}
     total, full = 0.0, log2(window)  # total: sum of c * log2(c)
     begin = end = -1
