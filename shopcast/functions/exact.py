@@ -62,7 +62,7 @@ def moment_std(n, s1, s2) -> Column:
     With exact sums the variance numerator ``n*s2 - s1^2`` is exact; the
     square root is taken once in double.  Null under two rows.
     """
-    n, s1, s2 = _c(n), _c(s1), _c(s2)
+    n, s1, s2 = dec(n), dec(s1), dec(s2)
     num = (n * s2 - s1 * s1).cast("double")
     den = (n * (n - 1)).cast("double")
     return F.when(n >= 2, F.sqrt(F.greatest(num, F.lit(0.0)) / den))

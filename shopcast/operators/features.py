@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopcast.functions.calendar import calendar_dict
-from shopcast.functions.exact import cents_to_units, moment_std
+from shopcast.functions.exact import cents_to_units, dec, moment_std
 
 col = F.col
 
@@ -20,7 +20,6 @@ col = F.col
 LAGS = (1, 3, 7, 14)
 WINDOWS = (7, 14)
 CATEGORICAL = ("state_holiday", "store_type", "assortment")
-MAX_CATEGORIES = 1000
 
 
 def by_store(frame=None):
@@ -65,16 +64,17 @@ def rolling_columns(value: str = "sales_cents", windows=WINDOWS,
     under two rows.  Moments are integer sums, so results do not depend on
     evaluation order."""
     out = {}
+    value_col = col(value).cast("long")
     for w in windows:
         frame = by_store((-w, -1))
-        v = col(value).cast("long")
+        v = dec(value_col)
         n = F.count(v).over(frame)
         s1 = F.sum(v).over(frame)
         s2 = F.sum(v * v).over(frame)
         ok = (n == w) if full else (n > 0)
         out[f"sales_roll_mean_{w}"] = F.when(ok, s1.cast("double") / (n * 100).cast("double"))
         out[f"sales_roll_std_{w}"] = F.when(ok, moment_std(n, s1, s2) / 100.0)
-        out[f"sales_roll_max_{w}"] = F.when(ok, cents_to_units(F.max(v).over(frame)))
+        out[f"sales_roll_max_{w}"] = F.when(ok, cents_to_units(F.max(value_col).over(frame)))
     return out
 
 
@@ -83,26 +83,23 @@ def add_rolling(df: DataFrame, windows=WINDOWS, full: bool = False) -> DataFrame
 
 
 def _category_pairs(df: DataFrame, cols) -> DataFrame:
-    """Distinct non-null (column, value) pairs: each row is unpivoted and
-    the pairs are de-duplicated by a partial + final aggregate."""
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value"))
+    """Distinct non-null (column, value) pairs: rows are first reduced to
+    the distinct combinations, which are then unpivoted."""
+    combos = df.select(*[col(c).cast("string").alias(c) for c in cols]).distinct()
+    pairs = combos.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), col(c).alias("value"))
         for c in cols])).alias("p")).select("p.column", "p.value")
     return pairs.filter(col("value").isNotNull()).distinct()
 
 
-def categories(df: DataFrame, cols=CATEGORICAL,
-               max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+def categories(df: DataFrame, cols=CATEGORICAL) -> dict[str, list[str]]:
     """Sorted distinct non-null values (as strings) of each column.
 
-    The distinct pairs are found by a distributed aggregate; at most
-    ``max_categories * len(cols) + 1`` of them reach the driver.  Receiving
-    that many means (pigeonhole) that some column is over the limit: it is
-    not categorical, and we raise instead of pulling its values."""
-    cap = max_categories * len(cols) + 1
-    rows = _category_pairs(df, cols).limit(cap).collect()
-    if len(rows) >= cap:
-        raise ValueError(f"a column of {list(cols)} has over {max_categories} values")
+    The distinct pairs are found by a distributed aggregate.  The values
+    become column names of the one-hot table, so they are part of the plan
+    and known to the driver like any other schema; ``category_table`` keeps
+    them as a table."""
+    rows = _category_pairs(df, cols).collect()
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         out[r["column"]].append(r["value"])

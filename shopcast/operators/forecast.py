@@ -171,22 +171,24 @@ def future_features(history: DataFrame, start: str, end: str,
         "store", (col("lo") + col("hi")).cast("long").alias("h_med"))
     fut = future_calendar(elig, start, end).join(med, "store").select(
         "store", "date", col("h_med").alias("h"), F.lit(None).cast("long").alias("customers"),
-        F.lit(1).alias("is_future"))
-    past = hist.select("store", "date", (col("sales_cents") * 2).alias("h"), "customers",
+        F.lit(1).alias("open"), F.lit(1).alias("is_future"))
+    past = hist.select("store", "date", (col("sales_cents") * 2).alias("h"), "customers", "open",
                        F.lit(0).alias("is_future"))
     u = past.unionByName(fut)
     w = by_store()
-    feats = {}
+    feats, rolled = {}, {}
     for k in LAGS:
         feats[f"_hl{k}"] = F.lag("h", k).over(w)
         feats[f"_cl{k}"] = F.lag("customers", k).over(w)
     for wd in WINDOWS:
         fr = by_store((-wd, -1))
-        feats[f"_n{wd}"] = F.count("h").over(fr)
-        feats[f"_s{wd}"] = F.sum("h").over(fr)
-        feats[f"_q{wd}"] = F.sum(col("h") * col("h")).over(fr)
-        feats[f"_m{wd}"] = F.max("h").over(fr)
-    u = u.withColumns(feats)
+        rolled[f"_n{wd}"] = F.count("h").over(fr)
+        rolled[f"_s{wd}"] = F.sum(dec("h")).over(fr)
+        rolled[f"_q{wd}"] = F.sum(dec("h") * dec("h")).over(fr)
+        rolled[f"_m{wd}"] = F.max("h").over(fr)
+    # as in training: lags over all days, rolling frames over open days
+    moments = u.filter("open = 1").select("store", "date", *(c.alias(n) for n, c in rolled.items()))
+    u = u.withColumns(feats).join(moments, ["store", "date"])
     cdow = customers_by_weekday(hist)
     spc = median_parts(hist, F.when(col("customers") == 0, F.lit(0.0)).otherwise(
         col("sales_cents").cast("double") / (col("customers") * 100).cast("double"))).select(
@@ -210,11 +212,6 @@ def future_features(history: DataFrame, start: str, end: str,
     r = r.withColumn("sales_per_customer", F.coalesce(ratio, col("spc_median"))).drop("spc_median")
     names = [c for c in r.columns if c not in ("store", "date", "is_future")]
     fut = r.filter(col("is_future") == 1).drop("is_future")
-    if min_history >= max(max(LAGS), max(WINDOWS)):
-        # every lag and frame of a future day lands on existing rows, customer
-        # lags are coalesced and the ratio falls back to the median: no null
-        # can remain, so P5 needs no history medians (and no extra pass)
-        return fut.na.fill(0.0, subset=names)
     return fill_from_history(fut, names, r.filter(col("is_future") == 0))
 
 
@@ -285,7 +282,8 @@ def finish_forecast(pred: DataFrame, history: DataFrame, start: str) -> DataFram
                             DEFAULT_BASKET)
     cents = F.greatest(col("pred_cents"), F.lit(0))
     sales = cents.cast("double") / 100.0
-    cust = F.when(cents > 0, F.floor(sales / col("basket"))).otherwise(0).cast("long")
+    size = F.when(col("basket") > 0, col("basket")).otherwise(F.lit(float(DEFAULT_BASKET)))
+    cust = F.when(cents > 0, F.floor(sales / size)).otherwise(0).cast("long")
     return p.select("scenario", "store", "date", "promo", cents.alias("sales_cents"),
                     sales.alias("sales"), cust.alias("customers"))
 

@@ -1,24 +1,10 @@
-"""Join helpers with explicit size rules."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count is known to be at most this.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def sized_broadcast(small: DataFrame, rows: int | None = None,
-                    max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``small`` marked for broadcast if its (counted) size is within
-    ``max_rows``, else unchanged so the planner falls back to a shuffle join.
-    Pass ``rows`` when the count is already known (e.g. after a checkpoint).
-    """
-    n = small.count() if rows is None else rows
-    return F.broadcast(small) if n <= max_rows else small
-
-
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach a one-row aggregate to every row (a 1-row broadcast)."""
     return df.crossJoin(F.broadcast(one_row))

@@ -42,8 +42,7 @@ def store_baseline(df: DataFrame, until: int = 2000) -> DataFrame:
 def score(df: DataFrame, baseline: DataFrame) -> DataFrame:
     """ST1: z-score (2 digits) and deviation % (1 digit) of each open day
     against its store's baseline.  Stores without a baseline drop out.
-    ``baseline`` should already be marked for broadcast by the caller when
-    its size is known to be small (``joins.sized_broadcast``)."""
+    How ``baseline`` is joined is left to the planner and its size statistics."""
     j = open_days(df).join(baseline, "store")
     diff = col("sales_cents") - col("base_mean_cents")
     zh = round_ratio(diff * 100, col("base_std_cents"))

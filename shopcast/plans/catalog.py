@@ -26,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed values chosen for the driver tables (history runs 1995-01-02 to
 # 2001-11-04): the quarter report compares 2000 and 2001.
 QUARTER_YEARS = (2000, 2001)
-KPI_FROM, KPI_TO = "1995-01-01", "2001-12-31"
+KPI_FROM, KPI_TO = "1997-03-01", "2000-10-31"
 PROFILE_COLS = ["sales_cents", "customers", "open", "promo", "school_holiday"]
 CORR_COLS = ["store", "open", "customers", "promo", "school_holiday",
              "competition_distance"]
@@ -62,7 +62,7 @@ def _clean_table(spark, d):
 
 
 def _hist(spark, d):
-    return FC.cut_history(_clean(spark, d), H_START)
+    return FC.cut_history(daily_sales(spark, d), H_START)
 
 
 def _cycle(spark, d):
@@ -164,6 +164,7 @@ def queries() -> dict[str, Query]:
         "report_closures": _both(R.report_closures),
         "network_kpis": _sales(lambda s: R.network_kpis(s, KPI_FROM, KPI_TO)),
         "null_counts": lambda spark, d: C.null_counts(stores(spark, d)),
+        "null_counts_sales": lambda spark, d: C.null_counts(daily_sales(spark, d)),
         "impute_distance": _impute,
         "fill_defaults": lambda spark, d: C.clean_stores(stores(spark, d)),
         "clean_join": _clean,

@@ -18,18 +18,18 @@ _RUNS: dict[str, dict] = {}
 
 
 def run_training(clean: DataFrame, key: str | None = None, label: str = "sales",
-                 parallelism: int = 4) -> dict:
+                 parallelism: int = 4, partitions: int | None = None) -> dict:
     if key is not None and key in _RUNS:
         return _RUNS[key]
     cats = FE.feature_categories(clean)
     feats = FE.build_features(clean, cats).persist()
     train, test = TR.chronological_split(feats, 0.8)
-    train, test = TR.right_size(train), TR.right_size(test)
+    train, test = TR.fit_input(train, partitions), TR.fit_input(test, partitions)
     cands = SE.candidates(feats)
     # selection runs over the whole feature table, as the original pipeline
     # does (it selects before it splits)
     selected = SE.select_features(feats, cands, label)
-    sample = TR.right_size(TR.tuning_sample(train))
+    sample = TR.fit_input(TR.tuning_sample(train), partitions)
     rf = TR.tune_forest(sample, selected, label, parallelism)
     gbt = TR.tune_boosted(sample, selected, label, parallelism)
     models, metrics = TR.train_all(train, test, selected, rf, gbt, label)

@@ -186,8 +186,8 @@ GROUP BY s.store_type"""),
 
     "network_kpis": with_base(f"""
 SELECT COUNT(DISTINCT store) AS n_stores,
-       {euro_mean("SUM(CASE WHEN date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' THEN sales_cents END)", "NULLIF(COUNT(CASE WHEN date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' THEN 1 END), 0)")} AS avg_sales,
-       {ratio_units("SUM(CASE WHEN date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' THEN customers END)", "NULLIF(COUNT(CASE WHEN date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' THEN 1 END), 0)")} AS avg_customers
+       {euro_mean("SUM(CASE WHEN date BETWEEN DATE '1997-03-01' AND DATE '2000-10-31' THEN sales_cents END)", "NULLIF(COUNT(CASE WHEN date BETWEEN DATE '1997-03-01' AND DATE '2000-10-31' THEN 1 END), 0)")} AS avg_sales,
+       {ratio_units("SUM(CASE WHEN date BETWEEN DATE '1997-03-01' AND DATE '2000-10-31' THEN customers END)", "NULLIF(COUNT(CASE WHEN date BETWEEN DATE '1997-03-01' AND DATE '2000-10-31' THEN 1 END), 0)")} AS avg_customers
 FROM daily_sales"""),
 }
 
@@ -329,6 +329,10 @@ ONE_HOT_SQL = with_base(
     + " FROM clean", ("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN))
 
 CLEANING = {
+    "null_counts_sales": with_base("SELECT " + ", ".join(
+        f"COUNT(CASE WHEN {c} IS NULL THEN 1 END) AS {c}" for c in (
+            "store", "date", "open", "sales_cents", "customers", "promo", "state_holiday", "school_holiday"))
+        + " FROM daily_sales"),
     "null_counts": with_base("""
 SELECT COUNT(CASE WHEN store IS NULL THEN 1 END) AS store,
        COUNT(CASE WHEN store_type IS NULL THEN 1 END) AS store_type,
@@ -500,14 +504,17 @@ def _future_features_sql() -> str:
 SELECT store, date, {', '.join(c.split(' AS ')[-1] for c in out)},
        COALESCE(CASE WHEN customers_lag_1 <> 0 THEN sales_lag_1 / customers_lag_1 END, spc_median) AS sales_per_customer
 FROM (SELECT w.store, w.date, {', '.join(out)}, sp.spc_median
-      FROM (SELECT store, date, is_future, {', '.join(lags + rolls)} FROM u) w
+      FROM (SELECT l.*, {', '.join('r.' + c.split(' AS ')[-1] for c in rolls)}
+            FROM (SELECT store, date, is_future, {', '.join(lags)} FROM u) l
+            JOIN (SELECT store, date, {', '.join(rolls)} FROM u WHERE open = 1) r
+                 ON r.store = l.store AND r.date = l.date) w
       LEFT JOIN cdow cd ON cd.store = w.store AND cd.day_of_week = isodow(w.date)
       LEFT JOIN spc sp ON sp.store = w.store
       WHERE w.is_future = 1) f"""
     u = f"""
-SELECT store, date, 2 * sales_cents AS h, customers, 0 AS is_future FROM h2
+SELECT store, date, 2 * sales_cents AS h, customers, open, 0 AS is_future FROM h2
 UNION ALL
-SELECT e.store, d.date, m.h_med AS h, CAST(NULL AS BIGINT) AS customers, 1 AS is_future
+SELECT e.store, d.date, m.h_med AS h, CAST(NULL AS BIGINT) AS customers, 1 AS open, 1 AS is_future
 FROM elig e CROSS JOIN dates d JOIN med m ON m.store = e.store"""
     return with_base(body, *FC_BASE, ("med", MED_SALES), ("u", u), ("cdow", CDOW), ("spc", SPC))
 

@@ -8,12 +8,12 @@ partition).  Per-partition counts are a table of at most
 broadcast with a proven size bound.  The order must be total (add a unique
 key as the last column).
 
-The input is first written as a table in the shared ``spark.checkpoint.dir``:
-the range partitioner samples its input to pick boundaries, and rows coming
-out of a shuffle arrive in a nondeterministic order, so without a fixed
-input the pass that counts rows per partition and the pass that numbers
-them could disagree on the boundaries.  The written table also cuts lineage,
-so a lost executor re-reads the written table instead of recomputing.
+The numbered rows are written once, with partition and local number, as a
+table in the shared folder, and both the counts and the join read that
+table.  The range partitioner samples its input to pick boundaries, so two
+passes that each partition anew (one of them on fewer columns) would get
+different boundaries; reading one table, they cannot.  The written table
+also cuts lineage: a lost executor re-reads it instead of recomputing.
 """
 
 from __future__ import annotations
@@ -32,12 +32,12 @@ def global_row_number(df: DataFrame, order: list[Column | str],
     """Add ``name`` = 1..N along ``order``."""
     spark = df.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = materialize(df, "ordered-input")
     ranged = (df.repartitionByRange(p, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright("_mid", _SHIFT)))
     ranged = ranged.withColumn(
-        "_local", F.col("_mid") - F.shiftleft("_pid", _SHIFT) + 1)
+        "_local", F.col("_mid") - F.shiftleft("_pid", _SHIFT) + 1).drop("_mid")
+    ranged = materialize(ranged, "numbered")
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -45,7 +45,7 @@ def global_row_number(df: DataFrame, order: list[Column | str],
         .alias("_offset"))
     out = ranged.join(F.broadcast(offsets), "_pid")
     return out.withColumn(name, F.col("_local") + F.col("_offset")).drop(
-        "_mid", "_pid", "_local", "_offset")
+        "_pid", "_local", "_offset")
 
 
 def ntile(df: DataFrame, order: list[Column | str], k: int,

@@ -7,7 +7,6 @@ helpers exist for tests, the benchmark and command-line use.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,18 +38,14 @@ def get_session(master: str | None = None, app: str = "shopcast",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The folder for intermediate tables that all executors reach.
 
-    On a cluster this setting points at storage every executor can reach.
-    Only when it is unset (local tests) do we pick a folder of our own and
-    register it, so that ``DataFrame.checkpoint()`` works as well.
+    ``spark.checkpoint.dir`` of the session; where that is unset, a folder
+    in the session's warehouse.  Never a temporary folder of one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="shopcast-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return base.rstrip("/")
 
 

@@ -2,8 +2,8 @@
 
 CSV columns are bound by header name, not by position: the header line is
 read first, the declared types are laid out in the file's own column order,
-and a file lacking a declared column raises instead of silently shifting
-columns.  Dates arrive as ``M/d/yyyy``
+a file lacking a declared column raises, and so does a file of the same
+folder whose header differs from the first one's.  Dates arrive as ``M/d/yyyy``
 text; rows whose date does not parse are kept with a null date and can be
 counted with ``clean.count_rejects``.
 """
@@ -26,7 +26,7 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType) -> Da
         raise ValueError(f"{path}: header lacks columns {missing}")
     file_schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
     return (spark.read.schema(file_schema).option("header", "true")
-            .option("mode", "PERMISSIVE").csv(path))
+            .option("mode", "PERMISSIVE").option("enforceSchema", "false").csv(path))
 
 
 def read_sales(spark: SparkSession, path: str,

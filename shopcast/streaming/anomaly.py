@@ -7,8 +7,9 @@ Writes are idempotent per micro-batch: each batch overwrites only its own
 ``batch_id=<n>`` partition (dynamic partition overwrite), so a batch that is
 retried after an executor or driver loss replaces its earlier output
 instead of appending duplicates.  The baseline is written once as a table in
-the shared checkpoint folder (lineage cut, survives executor loss) and is
-broadcast only when its counted size is under the broadcast limit.
+the shared checkpoint folder (lineage cut, survives executor loss).  Counts
+are kept by batch in the same way, so they do not depend on how much
+progress the query remembers.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shopcast.operators.joins import sized_broadcast
 from shopcast.operators.scoring import (SCORED_COLUMNS, anomalies, score,
                                         Z_THRESHOLD)
 from shopcast.session import materialize, run_dir
@@ -25,6 +25,9 @@ from shopcast.sources.schemas import SALES_SCHEMA
 
 col = F.col
 
+ANOMALY_SCHEMA = ("store long, date date, sales double, base_mean double, base_std double, "
+                  "deviation_pct double, z_score double, direction string")
+
 
 def read_sales_stream(spark: SparkSession, path: str, max_files: int = 1,
                       fmt: str = "parquet") -> DataFrame:
@@ -54,18 +57,16 @@ def make_batch_writer(baseline: DataFrame, out_dir: str, k: float = Z_THRESHOLD)
         try:
             _write_partition(scored.select(SCORED_COLUMNS), f"{out_dir}/scored", batch_id)
             _write_partition(anomalies(scored, k), f"{out_dir}/anomalies", batch_id)
+            _write_partition(batch_df.agg(F.count(F.lit(1)).alias("records")), f"{out_dir}/counts", batch_id)
         finally:
             scored.unpersist()
     return process
 
 
-def prepare_baseline(baseline: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Write the baseline once into the shared folder (lineage cut), then
-    broadcast it only if its counted row number is within the limit."""
-    cp = materialize(baseline, "baseline")
-    n = cp.count()
-    return sized_broadcast(cp, rows=n) if max_rows is None else \
-        sized_broadcast(cp, rows=n, max_rows=max_rows)
+def prepare_baseline(baseline: DataFrame) -> DataFrame:
+    """Write the baseline once into the shared folder: lineage is cut, and
+    the planner knows its size when it picks the join of each batch."""
+    return materialize(baseline, "baseline")
 
 
 def start_anomaly_query(stream_df: DataFrame, baseline: DataFrame, out_dir: str,
@@ -74,8 +75,7 @@ def start_anomaly_query(stream_df: DataFrame, baseline: DataFrame, out_dir: str,
                         k: float = Z_THRESHOLD) -> StreamingQuery:
     """ST5: start with a trigger (``None`` = availableNow), a checkpoint and
     a query name."""
-    counted = stream_df.observe("stream_counts", F.count(F.lit(1)).alias("records"))
-    w = (counted.writeStream.foreachBatch(make_batch_writer(baseline, out_dir, k))
+    w = (stream_df.writeStream.foreachBatch(make_batch_writer(baseline, out_dir, k))
          .option("checkpointLocation", checkpoint).queryName(name))
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
     return w.start()
@@ -87,23 +87,11 @@ def drain(query: StreamingQuery) -> None:
     query.stop()
 
 
-def stream_stats(query: StreamingQuery, out_dir: str | None = None,
-                 spark: SparkSession | None = None) -> dict:
-    """ST6: batches and records from the query progress (records are the
-    observed row count of each micro-batch); anomalies from the sink."""
-    prog = [p for p in query.recentProgress if p.numInputRows > 0]
-    records = 0
-    for p in prog:
-        m = (p.observedMetrics or {}).get("stream_counts")
-        records += int(m["records"]) if m is not None else int(p.numInputRows)
-    out = {"batches": len(prog), "records": records}
-    if out_dir is not None:
-        spark = spark or SparkSession.getActiveSession()
-        try:
-            out["anomalies"] = read_anomalies(spark, out_dir).count()
-        except Exception:      # no anomaly written yet
-            out["anomalies"] = 0
-    return out
+def stream_stats(spark: SparkSession, out_dir: str) -> dict:
+    """ST6: batches with rows, their records and the anomalies so far."""
+    counts = spark.read.schema("records long, batch_id long").parquet(f"{out_dir}/counts")
+    n = counts.filter("records > 0").agg(F.count(F.lit(1)).alias("b"), F.sum("records").alias("r")).first()
+    return {"batches": n["b"], "records": n["r"] or 0, "anomalies": read_anomalies(spark, out_dir).count()}
 
 
 def read_scored(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -112,7 +100,7 @@ def read_scored(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def read_anomalies(spark: SparkSession, out_dir: str) -> DataFrame:
     """IO9: all anomalies written so far (batch id dropped)."""
-    return spark.read.parquet(f"{out_dir}/anomalies").drop("batch_id")
+    return spark.read.schema(ANOMALY_SCHEMA).parquet(f"{out_dir}/anomalies")
 
 
 def run_anomaly_stream(spark: SparkSession, facts: DataFrame, baseline: DataFrame,
@@ -135,5 +123,5 @@ def run_anomaly_stream(spark: SparkSession, facts: DataFrame, baseline: DataFram
                             f"{base}/out", f"{base}/checkpoint", trigger=None)
     q.awaitTermination()
     if with_stats:
-        return f"{base}/out", stream_stats(q, f"{base}/out", spark)
+        return f"{base}/out", stream_stats(spark, f"{base}/out")
     return f"{base}/out"

@@ -44,3 +44,17 @@ def test_csv_stream_and_counters(spark):
     exp = SC.scored_year(sales, base, 2001)
     got = ST.read_scored(spark, out)
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_calm_stream_has_no_anomalies(spark, tmp_dir):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    sales = daily_sales(spark, SF_SMALL)
+    base = SC.store_baseline(sales, 2000)
+    facts = in_years(sales, 2001).filter(F.col("date") < dt.date(2001, 1, 8))
+    writer = ST.make_batch_writer(ST.prepare_baseline(base), tmp_dir, k=1000.0)
+    for batch in range(3):
+        writer(facts, batch)
+    assert ST.read_anomalies(spark, tmp_dir).count() == 0
+    stats = ST.stream_stats(spark, tmp_dir)
+    assert stats["batches"] == 3 and stats["records"] == 3 * facts.count()

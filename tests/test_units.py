@@ -313,10 +313,60 @@ def test_fill_from_history_uses_store_median(spark):
     assert got == {1: 3.0, 2: 0.0, 3: 5.0}
 
 
-def test_categories_sorted_and_bounded(spark):
-    df = spark.createDataFrame([("b", 1), ("a", 2), (None, 3), ("b", 4)], "c string, k long")
+def test_categories_sorted_and_not_capped(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("a",)], "c string")
     assert FE.categories(df, ["c"]) == {"c": ["a", "b"]}
-    with pytest.raises(ValueError):
-        FE.categories(df, ["k"], max_categories=3)
-    tab = FE.category_table(df, ["c"]).orderBy("position").collect()
-    assert [(r.position, r.value) for r in tab] == [(0, "a"), (1, "b")]
+    many = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    assert len(FE.categories(many, ["k"])["k"]) == 5000
+
+
+@pytest.mark.parametrize("rows,partitions", [(5_000, 8), (20_000, 200), (200_000, 8)])
+def test_numbering_with_payload_equals_plain_window(spark, rows, partitions):
+    df = spark.range(rows).select(F.xxhash64("id").alias("k"), "id",
+                                  F.concat(F.lit("payload-"), F.col("id")).alias("pay"))
+    order = [F.col("k"), F.col("id")]
+    got = global_row_number(df, order, "rn", partitions=partitions)
+    plain = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "id")).cast("long"))
+    assert got.select(plain.columns).exceptAll(plain).count() == 0 and got.count() == rows
+    tiles = ntile(df, order, 4, "q")
+    assert {r["count"] for r in tiles.groupBy("q").count().collect()} == {rows // 4}
+
+
+def test_rolling_moments_of_very_large_sales(spark):
+    import datetime as dt
+    rows = [(1, dt.date(2001, 1, 1) + dt.timedelta(days=i), 10 ** 12 + i) for i in range(30)]
+    df = FE.add_rolling(spark.createDataFrame(rows, "store long, date date, sales_cents long"))
+    last = df.orderBy(F.col("date").desc()).first()
+    assert last.sales_roll_mean_7 == pytest.approx((10 ** 12 + 25) / 100)
+    assert last.sales_roll_std_7 == pytest.approx(0.0216024689946929)
+
+
+def test_two_character_status_is_kept(spark, tmp_dir):
+    import datetime as dt
+    row = (1, 1, 10.0, 0.0, 0.0, "N", "ab", dt.datetime(2001, 1, 1))
+    spark.createDataFrame([row], "l_orderkey long, l_suppkey long, l_extendedprice double, l_discount double, "
+                          "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+                          ).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    from shopcast.sources.tables import daily_sales
+    assert daily_sales(spark, tmp_dir).first().state_holiday == "ab"
+
+
+def test_csv_folder_with_differing_headers_raises(spark, tmp_dir):
+    from shopcast.sources import files
+    head = ["Store", "DayOfWeek", "Date", "Sales", "Customers", "Open", "Promo", "StateHoliday", "SchoolHoliday"]
+    swap = [{"Sales": "Customers", "Customers": "Sales"}.get(c, c) for c in head]
+    for name, cols in (("a", head), ("b", swap)):
+        with open(f"{tmp_dir}/{name}.csv", "w") as f:
+            f.write(",".join(cols) + "\n1,1,1/2/2001,200,10,1,0,0,0\n")
+    with pytest.raises(Exception):
+        files.read_sales(spark, tmp_dir).collect()
+
+
+def test_zero_basket_takes_the_default(spark):
+    from shopcast.operators import forecast as FC
+    import datetime as dt
+    hist = spark.createDataFrame([(1, dt.date(2001, 1, 1), 1, 0, 5, 0)],
+                                 "store long, date date, open int, sales_cents long, customers long, promo int")
+    pred = spark.createDataFrame([("base", 1, dt.date(2001, 1, 8), 0, 1, 10_000)],
+                                 "scenario string, store long, date date, promo int, day_of_week long, pred_cents long")
+    assert FC.finish_forecast(pred, hist, "2001-01-05").first().customers == 100 // FC.DEFAULT_BASKET
