@@ -183,8 +183,8 @@ def future_features(history: DataFrame, start: str, end: str,
     for wd in WINDOWS:
         fr = by_store((-wd, -1))
         rolled[f"_n{wd}"] = F.count("h").over(fr)
-        rolled[f"_s{wd}"] = F.sum(dec("h")).over(fr)
-        rolled[f"_q{wd}"] = F.sum(dec("h") * dec("h")).over(fr)
+        rolled[f"_s{wd}"] = F.sum(dec(col("h"))).over(fr)
+        rolled[f"_q{wd}"] = F.sum(dec(col("h")) * dec(col("h"))).over(fr)
         rolled[f"_m{wd}"] = F.max("h").over(fr)
     # as in training: lags over all days, rolling frames over open days
     moments = u.filter("open = 1").select("store", "date", *(c.alias(n) for n, c in rolled.items()))

@@ -100,7 +100,7 @@ def read_scored(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def read_anomalies(spark: SparkSession, out_dir: str) -> DataFrame:
     """IO9: all anomalies written so far (batch id dropped)."""
-    return spark.read.schema(ANOMALY_SCHEMA).parquet(f"{out_dir}/anomalies")
+    return spark.read.schema(ANOMALY_SCHEMA).parquet(f"{out_dir}/anomalies").drop("batch_id")
 
 
 def run_anomaly_stream(spark: SparkSession, facts: DataFrame, baseline: DataFrame,
