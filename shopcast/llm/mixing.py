@@ -129,10 +129,10 @@ def draws(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
             .groupBy("sid", "whole", "block", "left", "sub").agg(F.sum("n_tokens").alias("part_tokens")))
     subs = (_prefix(subs, "sub", mix.seed + 1).filter(F.col("before") + F.col("part_tokens") <= F.col("left"))
             .select("sid", "block", "sub"))
-    edge = blocks.filter("all_in").select("sid", "block", F.explode(F.sequence(
-        F.lit(0), F.lit(BLOCKS - 1))).alias("sub")).unionByName(subs).withColumn("more", F.lit(1))
-    chosen = rows.join(edge, ["sid", "block", "sub"], "left")
-    last = F.col("whole") + F.coalesce("more", F.lit(0)) - 1
+    chosen = (rows.join(blocks.filter("all_in").select("sid", "block", "all_in"), ["sid", "block"], "left")
+              .join(subs.withColumn("part_in", F.lit(True)), ["sid", "block", "sub"], "left"))
+    more = F.coalesce("all_in", "part_in", F.lit(False)).cast("int")
+    last = F.col("whole") + more - 1
     each = chosen.filter(last >= 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), last)))
     place = F.xxhash64(F.lit(mix.seed), F.col("epoch"), F.col("block"))
     return each.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "n_tokens", "weight",
