@@ -17,8 +17,8 @@ values of its shingle set.  Steps:
    A group of near copies is joined here with as many pairs as members.
 4. Cross pass: classes of lists that the star pass has not put into one
    component are listed anew by their full sets, where the bounds are exact
-   and sharp, and pairs of different components are filtered and verified in
-   the same way.
+   and sharp.  These lists get a star pass of their own; then pairs that
+   still are in different components are filtered and verified as well.
 5. Components of all verified links and of the classes' members.
 
 Pairs that are already connected need no check of their own for the
@@ -142,15 +142,16 @@ def postings(classes: DataFrame) -> DataFrame:
                    "sketch").select("value", "id", "n", "weight")
 
 
-def cross_pairs(placed: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) that may be similar though their components differ.
+def open_lists(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """(value, id, n, most, weight): lists of classes that may still be
+    similar to one of another component.
 
-    ``placed`` are the lists with components.  Only members of lists with
-    several components are unsettled; for these the prefix bound is taken on
-    the full sets, where it is exact: a class is listed under its first
-    ``n - 0.75 n + 1`` shingles, and a value at place i can be the first
-    common one only for partners of at most ``most`` shingles, as too few
-    values follow.  So classes that share much but not enough, such as
+    ``placed`` are the sketch lists with components.  Only members of lists
+    with several components are unsettled; for these the prefix bound is
+    taken on the full sets, where it is exact: a class is listed under its
+    first ``n - 0.75 n + 1`` shingles, and a value at place i can be the
+    first common one only for partners of at most ``most`` shingles, as too
+    few values follow.  So classes that share much but not enough, such as
     copies with many edits, leave the lists before any pair is formed.
     """
     mixed = placed.groupBy("value").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
@@ -160,10 +161,27 @@ def cross_pairs(placed: DataFrame, sets: DataFrame) -> DataFrame:
     lists = _listed(sized.select("id", "n", F.col("n").alias("m"), need.alias("need"), "shingles"), "shingles")
     # overlap * (1 + t) >= t * (n + partner), at most n - place + 1 can follow
     most = F.floor((F.col("n") - F.col("place") + 1) * (100 + SIMILARITY_PERCENT) / SIMILARITY_PERCENT) - F.col("n")
-    lists = table(lists.select("value", "id", "n", most.alias("most")).join(loose, "id"), "fulllists")
+    lists = table(lists.select("value", "id", "n", most.alias("most"), "weight").join(loose, "id"), "fulllists")
     bounds = lists.groupBy("value").agg(F.min("n").alias("least"), F.min("comp").alias("x"),
                                         F.max("comp").alias("y")).filter("x < y")
-    lists = table(lists.join(bounds.select("value", "least"), "value").filter("most >= least").drop("least"), "open")
+    return table(lists.join(bounds.select("value", "least"), "value").filter("most >= least").drop("least", "comp"),
+                 "open")
+
+
+def star_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each list's members with its most central one."""
+    centre = lists.groupBy("value").agg(F.max(F.struct("weight", F.col("id"), F.col("n"))).alias("c"))
+    return (lists.join(centre, "value").filter(F.col("id") != F.col("c.id")).filter(_similar_sizes("n", "c.n"))
+            .select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct())
+
+
+def in_components(lists: DataFrame, links_: DataFrame) -> DataFrame:
+    comp = components(links_).withColumnRenamed("node", "id")
+    return lists.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def cross_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components in open lists with ``comp``."""
     blocks = lists.groupBy("value", "comp").agg(F.min("n").alias("n"), F.max("most").alias("most"))
     x, y = blocks.alias("x"), blocks.alias("y")
     cross = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.comp") < F.col("y.comp"))
@@ -215,18 +233,14 @@ def links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     wanted = lists.select("id").distinct()
     sets = table(full_sets(docs.join(wanted, "id", "left_semi")), "sets")
 
-    centre = lists.groupBy("value").agg(F.max(F.struct("weight", F.col("id"), F.col("n"))).alias("c"))
-    star = (lists.join(centre, "value").filter(F.col("id") != F.col("c.id"))
-            .filter(_similar_sizes("n", "c.n"))
-            .select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct())
-    first = table(verified(likely(star, classes), sets), "starlinks")
-
-    comp = components(first)
-    placed = table(lists.join(comp.withColumnRenamed("node", "id"), "id", "left").select(
-        "value", "id", "n", F.coalesce("comp", "id").alias("comp")), "placed")
-    pairs = cross_pairs(placed, sets)
-    second = verified(likely(pairs, classes), sets)
-    return table(members.unionByName(first).unionByName(second), "links")
+    first = table(verified(likely(star_pairs(lists), classes), sets), "starlinks")
+    left = open_lists(table(in_components(lists, first), "placed"), sets)
+    done = first.select("a", "b")
+    again = star_pairs(left).join(done, ["a", "b"], "left_anti")
+    second = table(verified(likely(again, classes), sets), "openlinks")
+    placed = table(in_components(left, first.unionByName(second)), "openplaced")
+    third = verified(likely(cross_pairs(placed), classes), sets)
+    return table(members.unionByName(first).unionByName(second).unionByName(third), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
