@@ -20,7 +20,7 @@ def plan(df) -> str:
 
 def test_base_table_is_aggregated_and_pruned(spark):
     p = plan(daily_sales(spark, SF_SMALL))
-    assert "HashAggregate" in p
+    assert "partial_min(l_linestatus" in p and "partial_sum(" in p  # a string MIN is sort-based
     assert "l_partkey" not in p.split("ReadSchema")[1].splitlines()[0]
 
 
