@@ -180,18 +180,42 @@ def in_components(lists: DataFrame, links_: DataFrame) -> DataFrame:
     return lists.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
 
 
+def _with_partners(lists: DataFrame) -> DataFrame:
+    """Rows of open lists with ``comp`` that their list offers a partner:
+    some other component has a class small enough for the row, and some
+    other one may reach its size.  Two ends of each kind, of different
+    components, decide this without looking at pairs."""
+    per = lists.groupBy("value", "comp").agg(F.min("n").alias("lo"), F.max("most").alias("hi"))
+    ends = per.groupBy("value").agg(F.min(F.struct("lo", "comp")).alias("low"),
+                                    F.max(F.struct("hi", "comp")).alias("high"))
+    ends = per.join(ends, "value").groupBy("value").agg(
+        F.first("low").alias("low"), F.first("high").alias("high"),
+        F.min(F.expr("CASE WHEN comp <> low.comp THEN lo END")).alias("lo2"),
+        F.max(F.expr("CASE WHEN comp <> high.comp THEN hi END")).alias("hi2"))
+    smallest = F.when(F.col("comp") != F.col("low.comp"), F.col("low.lo")).otherwise(F.col("lo2"))
+    furthest = F.when(F.col("comp") != F.col("high.comp"), F.col("high.hi")).otherwise(F.col("hi2"))
+    return (lists.join(ends, "value").filter((F.col("most") >= smallest) & (F.col("n") <= furthest))
+            .select("value", "id", "n", "most", "comp"))
+
+
 def cross_pairs(lists: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in open lists with ``comp``."""
-    blocks = lists.groupBy("value", "comp").agg(F.min("n").alias("n"), F.max("most").alias("most"))
+    """Pairs (a, b) of different components in open lists with ``comp``.
+
+    Blocks of equal list, component and set size are compared first, so
+    that members are looked up only where the sizes suit the bounds.
+    """
+    lists = table(_with_partners(lists), "partners")
+    blocks = lists.groupBy("value", "comp", "n").agg(F.max("most").alias("most"))
     x, y = blocks.alias("x"), blocks.alias("y")
     cross = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.comp") < F.col("y.comp"))
                    & (F.col("x.n") <= F.col("y.most")) & (F.col("y.n") <= F.col("x.most"))).select(
-        F.col("x.value").alias("value"), F.col("x.comp").alias("ca"), F.col("y.comp").alias("cb"))
-    one, two = (lists.select("value", *(F.col(c).alias(n + s) for c, n in (
-        ("comp", "c"), ("id", "i"), ("n", "n"), ("most", "m")))) for s in "ab")
-    return (cross.join(one, ["value", "ca"]).join(two, ["value", "cb"])
-            .filter("na <= mb and nb <= ma")
-            .select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).distinct())
+        F.col("x.value").alias("value"), F.col("x.comp").alias("ca"), F.col("x.n").alias("na"),
+        F.col("y.comp").alias("cb"), F.col("y.n").alias("nb")).alias("c")
+    same = lambda m, s: ((F.col("c.value") == F.col(f"{m}.value")) & (F.col("c.c" + s) == F.col(f"{m}.comp"))
+                         & (F.col("c.n" + s) == F.col(f"{m}.n")))
+    return (cross.join(lists.alias("p"), same("p", "a") & (F.col("c.nb") <= F.col("p.most")))
+            .join(lists.alias("q"), same("q", "b") & (F.col("c.na") <= F.col("q.most")))
+            .select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct())
 
 
 def _similar_sizes(a: str, b: str):
