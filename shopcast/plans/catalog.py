@@ -8,8 +8,10 @@ names match the oracle text of the same key in ``plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopcast.operators import clean as C
 from shopcast.operators import features as FE
@@ -19,6 +21,7 @@ from shopcast.operators import train as TR
 from shopcast.operators import scoring as SC
 from shopcast.operators.clean import in_years
 from shopcast.plans import reports as R
+from shopcast.plans import roundtrips as RT
 from shopcast.sources.tables import daily_sales, stores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,8 +52,14 @@ def _sales(fn):
 
 
 BASELINE_UNTIL, STREAM_YEAR = 2000, 2001
-# The forecast horizon, the 30 days after the last history day.
-H_START, H_END = "2001-11-05", "2001-12-04"
+# Fixed value: days in the forecast horizon.
+HORIZON_DAYS = 30
+
+
+def _horizon(spark, d):
+    """First and last forecast day: the days after the last history day."""
+    last = daily_sales(spark, d).agg(F.max("date").alias("d")).first()["d"]
+    return str(last + timedelta(days=1)), str(last + timedelta(days=HORIZON_DAYS))
 
 
 def _clean_table(spark, d):
@@ -62,7 +71,7 @@ def _clean_table(spark, d):
 
 
 def _hist(spark, d):
-    return FC.cut_history(daily_sales(spark, d), H_START)
+    return FC.cut_history(daily_sales(spark, d), _horizon(spark, d)[0])
 
 
 def _cycle(spark, d):
@@ -70,11 +79,17 @@ def _cycle(spark, d):
 
 
 def _pattern(spark, d):
-    return FC.promo_pattern(_cycle(spark, d), H_START, H_END)
+    return FC.promo_pattern(_cycle(spark, d), *_horizon(spark, d))
 
 
 def _forecast(spark, d):
-    return FC.forecast_reference(_clean_table(spark, d), H_START, H_END)
+    return FC.forecast_reference(_clean_table(spark, d), *_horizon(spark, d))
+
+
+def _future_rows(spark, d):
+    history, days = _clean_table(spark, d), _horizon(spark, d)
+    cycle = FC.suggest_cycle(FC.promo_streaks(FC.cut_history(history, days[0])))
+    return FC.future_rows(history, FC.promo_pattern(cycle, *days), *days)
 
 
 def _split(spark, d):
@@ -116,6 +131,30 @@ def _stream_anomalies(spark, d):
     return read_anomalies(spark, _stream_out(spark, d))
 
 
+def _stream_totals(spark, d):
+    from shopcast.streaming.anomaly import stream_totals
+    return stream_totals(spark, _stream_out(spark, d)).select("records", "anomalies")
+
+
+def _f_tests(spark, d):
+    """M3-M5 on the cleaned numeric columns: MLlib's F-test and the report."""
+    from shopcast.operators import select as SE
+    data = _clean_table(spark, d).select(*CORR_COLS, "sales_cents")
+    columns = SE.candidates(data, ("sales_cents",))
+    chosen = SE.select_features(data.na.drop(), columns, "sales_cents")
+    return SE.feature_report(data, columns, chosen, "sales_cents").select(
+        "feature", "abs_corr", F.round("f_stat", 2).alias("f_stat"), "selected")
+
+
+def _mean_metrics(spark, d):
+    """The metrics of a fixed predictor, each store's mean open day in
+    whole cents up to 2000, on its open days of 2001."""
+    base = _baseline(spark, d).select("store", F.round(F.col("base_mean") * 100).alias("prediction"))
+    test = _year_sales(spark, d, STREAM_YEAR).filter("open = 1 and sales_cents > 0").join(base, "store")
+    m = TR.regression_metrics(test, "sales_cents")
+    return m.select("n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
+
+
 def _run(spark, d):
     from shopcast.plans.modeling import run_training
     return run_training(_clean_table(spark, d), key=f"{id(spark)}:{d}")
@@ -143,7 +182,7 @@ def _importance(spark, d):
 def _forecast_model(spark, d):
     r = _run(spark, d)
     return FC.forecast_with_model(_clean_table(spark, d), r["models"][r["best"]], r["cats"],
-                                  H_START, H_END).drop("sales_cents")
+                                  *_horizon(spark, d)).drop("sales_cents")
 
 
 def queries() -> dict[str, Query]:
@@ -207,16 +246,27 @@ def queries() -> dict[str, Query]:
         "promo_pattern": _pattern,
         "customers_by_weekday": lambda spark, d: FC.customers_by_weekday(_hist(spark, d)),
         "basket": lambda spark, d: FC.basket(_hist(spark, d)),
-        "future_rows": lambda spark, d: (lambda c: FC.future_rows(
-            c, FC.promo_pattern(FC.suggest_cycle(FC.promo_streaks(FC.cut_history(c, H_START))),
-                                H_START, H_END), H_START, H_END))(_clean_table(spark, d)),
+        "future_rows": _future_rows,
         "future_features": lambda spark, d: FC.future_features(
-            _clean_table(spark, d), H_START, H_END),
+            _clean_table(spark, d), *_horizon(spark, d)),
         "forecast": lambda spark, d: _forecast(spark, d).drop("sales_cents"),
         "uplift": lambda spark, d: FC.uplift(_forecast(spark, d)),
         "extra_staff": lambda spark, d: FC.extra_staff(_forecast(spark, d)),
         "forecast_kpis": lambda spark, d: FC.forecast_kpis(_forecast(spark, d)),
         "split_counts": _split,
+        "written_table": lambda spark, d: RT.written_table(_clean(spark, d)),
+        "sql_views": lambda spark, d: RT.sql_views(spark, daily_sales(spark, d), stores(spark, d)),
+        "csv_sales": _sales(RT.csv_sales),
+        "csv_stores": lambda spark, d: RT.csv_stores(stores(spark, d)),
+        "date_rejects": _sales(RT.date_rejects),
+        "forecast_export": lambda spark, d: RT.exported_forecast(_forecast(spark, d)),
+        "sales_per_customer": _sales(lambda s: C.sales_per_customer(s).select(
+            "store", "date", "sales_per_customer")),
+        "drop_incomplete": lambda spark, d: C.drop_incomplete(stores(spark, d)),
+        "stream_totals": _stream_totals,
+        "tuning_sample": _sales(TR.tuning_sample),
+        "mean_metrics": _mean_metrics,
+        "f_tests": _f_tests,
         "feature_report": _feature_report,
         "model_comparison": _model_comparison,
         "importance": _importance,

@@ -424,10 +424,9 @@ SELECT COUNT(*) AS n_anomalies, COUNT(CASE WHEN z_score < 0 THEN 1 END) AS n_dro
 
 
 # ---------------------------------------------------------------- forecast
-H_START, H_END = "2001-11-05", "2001-12-04"
-DATES = (f"SELECT CAST(unnest(generate_series(DATE '{H_START}', DATE '{H_END}', "
-         f"INTERVAL 1 DAY)) AS DATE) AS date")
-HIST = f"SELECT * FROM clean WHERE date < DATE '{H_START}'"
+H_START = "(SELECT MAX(date) + 1 FROM daily_sales)"
+DATES = "SELECT last + CAST(i AS INTEGER) AS date FROM (SELECT MAX(date) AS last FROM daily_sales) m, range(1, 31) r(i)"
+HIST = f"SELECT * FROM clean WHERE date < {H_START}"
 ELIG = "SELECT store FROM hist GROUP BY store HAVING COUNT(*) >= 20"
 WS = "PARTITION BY store ORDER BY date"
 
@@ -454,7 +453,7 @@ FROM (SELECT store, MAX(CASE WHEN promo = 1 THEN length END) AS on_,
 
 PATTERN = f"""
 SELECT c.store, d.date,
-       CAST(CASE WHEN date_diff('day', DATE '{H_START}', d.date) % (c.days_on + c.days_off) < c.days_on
+       CAST(CASE WHEN date_diff('day', {H_START}, d.date) % (c.days_on + c.days_off) < c.days_on
             THEN 1 ELSE 0 END AS BIGINT) AS promo
 FROM cycle c, dates d"""
 
@@ -652,10 +651,67 @@ SELECT scenario, strftime(date, '%Y-%m-%d') AS date, store, promo,
 }
 
 
+def _f_tests_sql() -> str:
+    corr = _corr_sql()
+    ctes, rows = corr[:corr.index("SELECT 'store' AS feature")], []
+    for c in CORR_COLS:
+        va, vb = f"CAST(n * {c}_q - {c}_s * {c}_s AS DOUBLE)", "CAST(n * yq - ys * ys AS DOUBLE)"
+        cov = f"CAST(n * {c}_xy - {c}_s * ys AS DOUBLE)"
+        rows.append(f"SELECT '{c}' AS feature, n, CASE WHEN {va} > 0 AND {vb} > 0 "
+                    f"THEN {cov} / sqrt({va} * {vb}) ELSE 0.0 END AS r FROM m")
+    # the 5 % limit of F(1, v) is the square of the two-sided t limit,
+    # here by its expansion around the normal one
+    return f"""{ctes}
+SELECT feature, ROUND(abs(r), 4) AS abs_corr, ROUND(f, 2) AS f_stat,
+       f > POWER(1.959963985 + (POWER(1.959963985, 3) + 1.959963985) / (4.0 * (n - 2)), 2) AS selected
+FROM (SELECT *, (n - 2) * r * r / (CAST(1 AS DOUBLE) - r * r) AS f FROM ({" UNION ALL ".join(rows)}) a) b"""
+
+
+_CLEAN = (("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN))
+FILES = {
+    "written_table": with_base("SELECT *, CAST(year(date) AS BIGINT) AS year FROM clean", *_CLEAN),
+    "sql_views": with_base("""
+SELECT st.store_type, sa.promo, COUNT(*) AS n_days, CAST(SUM(sa.sales_cents) AS BIGINT) AS sales_cents
+FROM daily_sales sa JOIN stores st ON sa.store = st.store WHERE sa.open = 1 GROUP BY 1, 2"""),
+    "csv_sales": with_base("SELECT * FROM daily_sales"),
+    "csv_stores": with_base("SELECT * FROM stores"),
+    "date_rejects": with_base("""
+SELECT COUNT(CASE WHEN open = 0 THEN 1 END) AS rejected, COUNT(*) AS rows FROM daily_sales"""),
+    "forecast_export": with_base("""
+SELECT f.scenario, strftime(f.date, '%Y-%m-%d') AS date, f.store, f.promo, f.sales, f.customers, t.*
+FROM fc f, (SELECT CASE WHEN COUNT(DISTINCT store) = 1 THEN 'S' || MIN(store)
+                   ELSE 'S' || MIN(store) || '-S' || MAX(store) || '_' || COUNT(DISTINCT store) || 'stores' END AS store_tag,
+                   strftime(MIN(date), '%Y%m%d') AS run_from, strftime(MAX(date), '%Y%m%d') AS run_to FROM fc) t""", *FC),
+    "sales_per_customer": with_base("""
+SELECT store, date, CASE WHEN customers = 0 THEN CAST(0 AS DOUBLE)
+       ELSE CAST(sales_cents AS DOUBLE) / CAST(customers * 100 AS DOUBLE) END AS sales_per_customer FROM daily_sales"""),
+    "drop_incomplete": with_base(
+        "SELECT * FROM stores WHERE competition_distance IS NOT NULL AND promo_interval IS NOT NULL"),
+}
+MODELING = {
+    "stream_totals": with_base(f"""
+SELECT (SELECT COUNT(*) FROM daily_sales WHERE open = 1 AND sales_cents > 0 AND year(date) = 2001) AS records,
+       (SELECT COUNT(*) FROM ({ANOMS}) a) AS anomalies""", *_SC),
+    "tuning_sample": with_base("""
+SELECT * FROM daily_sales
+WHERE CAST('0x' || substr(md5(store || '|' || strftime(date, '%Y-%m-%d') || '|42'), 1, 8) AS BIGINT) < 429496729"""),
+    "mean_metrics": with_base("""
+SELECT COUNT(*) AS n, ROUND(sqrt(CAST(SUM(e * e) AS DOUBLE) / COUNT(*)), 6) AS rmse,
+       ROUND(CAST(SUM(abs(e)) AS DOUBLE) / COUNT(*), 6) AS mae,
+       ROUND(1.0 - CAST(SUM(e * e) AS DOUBLE) / (var_pop(y) * COUNT(*)), 6) AS r2
+FROM (SELECT d.sales_cents AS y, d.sales_cents - b.mc AS e
+      FROM daily_sales d JOIN baseline b ON d.store = b.store
+      WHERE d.open = 1 AND d.sales_cents > 0 AND year(d.date) = 2001) x""", *_SC),
+    "f_tests": _f_tests_sql(),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = dict(REPORTS)
     out.update(CLEANING)
     out.update(SCORING)
     out.update(FORECASTING)
     out.update(EXTRA)
+    out.update(FILES)
+    out.update(MODELING)
     return out

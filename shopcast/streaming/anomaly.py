@@ -87,11 +87,19 @@ def drain(query: StreamingQuery) -> None:
     query.stop()
 
 
-def stream_stats(spark: SparkSession, out_dir: str) -> dict:
-    """ST6: batches with rows, their records and the anomalies so far."""
+def stream_totals(spark: SparkSession, out_dir: str) -> DataFrame:
+    """ST6: one row with the batches that had rows, their records and the
+    anomalies so far."""
     counts = spark.read.schema("records long, batch_id long").parquet(f"{out_dir}/counts")
-    n = counts.filter("records > 0").agg(F.count(F.lit(1)).alias("b"), F.sum("records").alias("r")).first()
-    return {"batches": n["b"], "records": n["r"] or 0, "anomalies": read_anomalies(spark, out_dir).count()}
+    seen = counts.filter("records > 0").agg(F.count(F.lit(1)).alias("batches"),
+                                            F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
+    found = read_anomalies(spark, out_dir).agg(F.count(F.lit(1)).alias("anomalies"))
+    return seen.crossJoin(found)                    # one row each
+
+
+def stream_stats(spark: SparkSession, out_dir: str) -> dict:
+    """``stream_totals`` as a dict."""
+    return stream_totals(spark, out_dir).first().asDict()
 
 
 def read_scored(spark: SparkSession, out_dir: str) -> DataFrame:
