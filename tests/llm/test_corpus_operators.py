@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import re
 
@@ -165,6 +166,23 @@ def test_decontamination_tolerates_substitutions(spark):
     assert decontaminate.contamination(source.limit(0), bench).count() == 0
 
 
+def test_masks_cover_every_overlap_of_the_rule(spark):
+    rule, items, rows = decontaminate.Seeds(), [], []
+    for span in range(1, 14):
+        assert not decontaminate.uncovered(rule.masks_for(span), span, rule.allowed(span))
+        item = [f"n{span}w{k}" for k in range(span)]
+        items.append((span, " ".join(item)))
+        rows += [(1000 * span + n, f"left {edited(item, set(p))} right")
+                 for n, p in enumerate(itertools.combinations(range(span), rule.allowed(span)))]
+        rows.append((-span, f"left {edited(item, set(range(rule.allowed(span) + 1)))} right"))
+    got = decontaminate.contamination(spark.createDataFrame(rows, SCHEMA),
+                                      spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(got) == len(rows)
+    assert all(r.item_ids == ([r.doc_id // 1000] if r.doc_id > 0 else []) for r in got)
+    with pytest.raises(ValueError):
+        decontaminate.Seeds(masks=("11011011", "1100101011"))
+
+
 def test_seed_join_without_broadcast(spark, monkeypatch):
     want = sorted(map(tuple, catalog.op1_decontaminate(spark, SMALL).select("doc_id", "n_items").collect()))
     monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
