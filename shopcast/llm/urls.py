@@ -8,12 +8,16 @@ the root down, a fixed number of levels:
   if its parent has many different children of which this is a rare one;
   variable segments become the wildcard ``*``;
 * sibling branches whose labelled shares do not differ statistically (a
-  two-sided test of proportions against the parent) are merged into ``*``;
+  two-sided test of proportions against the parent) are merged into ``*``,
+  equal shares of 0 or 1 included;
 * a template's purity is its labelled bad share, smoothed to the share of
-  the whole table; templates over the limit are rejected.
+  its host, which is itself smoothed to the share of the whole table, so a
+  small branch goes with its host; templates over the limit are rejected.
 
-Labels are what the rules decide, and hosts with a word of ``bad_words`` in
-their name count as bad; more labelled URLs can be passed in.  All of it is
+Labels are what the rules decide, and hosts with a word of ``bad_words`` as
+a label of their name or as a hyphen part of one count as bad as a whole:
+their share starts from 1, whatever their size.  More labelled URLs can be
+passed in.  All of it is
 DataFrame functions: URLs are first combined to distinct (host, segments)
 with counts, so a hot host or template is summed before any shuffle, and
 each level is one aggregate and one join.
@@ -71,6 +75,13 @@ def best_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
+def named_bad(host: Column, tree: Tree) -> Column:
+    """Whether a label of the host, or a hyphen part of one, is a bad word."""
+    if not tree.bad_words:
+        return F.lit(False)
+    return host.rlike(f"(?<![a-z0-9])({'|'.join(tree.bad_words)})(?![a-z0-9])")
+
+
 def _segments(path: Column, depth: int) -> Column:
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     parts = F.transform(parts, lambda s: F.when(s.rlike(VARIABLE), "*").otherwise(s))
@@ -94,7 +105,7 @@ def template_tree(urls: DataFrame, tree: Tree) -> DataFrame:
         known = F.col("good") + F.col("bad")
         p = F.try_divide("pb", F.col("pg") + F.col("pb"))
         apart = F.abs(F.try_divide("bad", known) - p) > tree.z * F.sqrt(F.try_divide(p * (1 - p), known))
-        alike = (F.col("labelled") >= 2) & (known > 0) & ~apart & (p > 0) & (p < 1)
+        alike = (F.col("labelled") >= 2) & (known > 0) & ~apart
         step = joined.select("host", "template", "seg", F.when(
             F.coalesce(rare | alike, F.lit(False)), "*").otherwise(F.col("seg")).alias("to"))
         now = (here.join(step, ["host", "template", "seg"], "left")
@@ -106,8 +117,12 @@ def template_tree(urls: DataFrame, tree: Tree) -> DataFrame:
     share = urls.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("bad") + F.sum("good"), F.lit(0)),
                                 F.lit(0.0)).alias("share"))
     k = F.lit(tree.prior_rows)
-    purity = sums.crossJoin(F.broadcast(share)).select(
-        "host", "template", ((F.col("tb") + k * F.col("share")) / (F.col("tb") + F.col("tg") + k)).alias("purity"),
+    hosts = sums.groupBy("host").agg(F.sum("tg").alias("hg"), F.sum("tb").alias("hb"))
+    start = F.when(named_bad(F.col("host"), tree), 1.0).otherwise(F.col("share"))
+    hosts = hosts.crossJoin(F.broadcast(share)).select(
+        "host", ((F.col("hb") + k * start) / (F.col("hb") + F.col("hg") + k)).alias("of_host"))
+    purity = sums.join(hosts, "host").select(
+        "host", "template", ((F.col("tb") + k * F.col("of_host")) / (F.col("tb") + F.col("tg") + k)).alias("purity"),
         (F.col("tb") + F.col("tg")).alias("labelled"))
     return now.join(purity, ["host", "template"]).select("host", "segments", "template", "purity", "labelled")
 
@@ -126,8 +141,8 @@ def url_verdicts(pages: DataFrame, rules=RULES, tree: Tree = Tree(), labels: Dat
     parsed = parsed.select("id", "given", host.alias("host"), path.alias("path"))
     rule, verdict = best_rule(F.col("host"), F.col("path"), rules)
     parsed = parsed.withColumns({"rule": rule, "ruled": verdict, "segments": _segments(F.col("path"), tree.depth)})
-    named_bad = F.rlike("host", F.lit("|".join(tree.bad_words))) if tree.bad_words else F.lit(False)
-    bad = F.when(F.col("given").isNotNull(), F.col("given") == 1).when(named_bad, F.lit(True)).when(
+    named = named_bad(F.col("host"), tree)
+    bad = F.when(F.col("given").isNotNull(), F.col("given") == 1).when(named, F.lit(True)).when(
         F.col("ruled").isNotNull(), F.col("ruled") == "block")
     parsed = table(parsed.withColumn("is_bad", bad), "urls")
     distinct = table(parsed.groupBy("host", "segments").agg(

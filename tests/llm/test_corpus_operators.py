@@ -270,6 +270,19 @@ def test_url_templates_learn_from_labels(spark):
     assert {r.template for r in got if "/news/" in r.path} == {"/news/*"}
 
 
+def test_url_branches_of_bad_hosts(spark):
+    paths = [f"en/a{i}" for i in range(30)] + ["de/x", "fr/y", "fr/z", ""]
+    bad = [f"http://www.casino-win.com/{x}" for x in paths] + ["http://payday.top/", "http://a.spam.info:80/only/one"]
+    given = [f"http://quiet.com/b{i}/{x}" for i in range(10) for x in "cd"] + ["http://quiet.com/alone"]
+    clean = [f"http://{h}/{x}" for h in ("alphabets.com", "casinoville-museum.com", "sussexxx.uk") for x in paths]
+    good = [f"http://fine.com/{x}" for x in paths]
+    source = spark.createDataFrame(list(enumerate(bad + given + clean + good)), "page_id long, url string")
+    labels = spark.createDataFrame([(u, 1) for u in given] + [(u, 0) for u in good], "url string, bad int")
+    got = urls.url_verdicts(source, labels=labels).collect()
+    assert {r.page_id for r in got if r.verdict == "block"} == set(range(len(bad + given)))
+    assert {r.template for r in got if r.host == "quiet.com"} <= {"/*", "/*/c", "/*/d", "/*/*"}
+
+
 def test_pipeline_stages_equal_brute_force(spark):
     import corpus_pipeline as cp
     columns = spark.read.parquet(f"{SMALL}/documents.parquet").columns
