@@ -7,8 +7,13 @@ For every node of the page's tree:
 with C characters, T tags, LC characters in links, NLC characters outside
 links and LT links below the node, LCb and Cb those of the body (a zero
 divisor counts as 1).  The subtree whose children's densities have the
-largest sum is the article; the least density on its path to the body is
-the threshold that neighbours on that path must reach to belong to it.
+largest sum is the article, or the part with the most text of one in several
+containers.  The path from there is walked up to the body: a neighbour on it
+belongs to the article if its density, or the sum of its children's, reaches
+the least density on the path.  The path begins at the thinnest full line of
+the article itself, as a part on its own is smaller than what encloses it
+and so has less density at the same kind of text.  Headings before a part
+that belongs to the article go with it unless they are links.
 Parts that say what they are (navigation, adverts, forms, comments, by tag,
 role, class or id) are cut before densities are formed.  Each page is small
 and independent: one pass, no shuffle.
@@ -59,6 +64,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "option": {"option"}}
 #: Elements that end the search for one to close.
 FENCE = {"ul", "ol", "dl", "table", "body", "article", "div", "section", "main", "td", "th"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Characters of a full line.
+LINE = 80
 SMALL = frozenset("p li h1 h2 h3 h4 h5 h6 b i em strong span a pre blockquote dd dt td".split())
 
 
@@ -170,7 +178,8 @@ class Page:
         return None
 
     def densities(self) -> tuple[list[float], list[float]]:
-        """(composite density, sum of the children's) of each node."""
+        """(composite density, sum of the children's) of each node; keeps
+        the characters below each node, in all and in links."""
         n = len(self.tag)
         chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         in_link = [False] * n
@@ -198,6 +207,7 @@ class Page:
                 density[i] = max(0.0, c / t * math.log(ratio) / max(math.log(base), 1.0)) if ratio > 0 else 0.0
             if i:
                 total[self.parent[i]] += density[i]
+        self.chars, self.links = chars, links
         return density, total
 
     def article(self) -> list[int]:
@@ -212,12 +222,35 @@ class Page:
         for i in path:
             if self.tag[i] in ("article", "main"):
                 return [i]
-        inner = [i for i in path if self.tag[i] not in ("#root", "html", "body")]
-        least = min((density[i] for i in inner), default=0.0)
-        if self.tag[best] in SMALL and self.parent[best] >= 0:
-            up = self.parent[best]
-            return [i for i in range(len(self.tag)) if self.parent[i] == up and (i == best or density[i] >= least)]
-        return [best]
+        path = [i for i in path if self.tag[i] not in ("#root", "html")]
+        below = [density[i] for i in range(len(self.tag)) if self.parent[i] == best and self.chars[i] >= LINE]
+        least = min((density[i] for i in path), default=0.0)
+        if self.tag[best] not in SMALL:
+            least = min([least, *below])
+        children: dict[int, list[int]] = {}
+        for i in range(1, len(self.tag)):
+            children.setdefault(self.parent[i], []).append(i)
+        found = {best}
+        for i in path:
+            if self.tag[i] != "body":
+                found.update(x for x in children[self.parent[i]]
+                             if x not in path and self.chars[x] and max(density[x], total[x]) >= least)
+        last = max(found)
+        for i in path:
+            if self.tag[i] != "body":
+                found.update(x for x in children[self.parent[i]]
+                             if x not in path and x < last and self._heading(x, children))
+        return sorted(found)
+
+    def _heading(self, node: int, children: dict[int, list[int]]) -> bool:
+        """Whether all text of the subtree is in headings and most of it in no link."""
+        if not self.chars[node] or 2 * self.links[node] > self.chars[node]:
+            return False
+        if self.tag[node] in HEADINGS:
+            return True
+        inside = children.get(node, [])
+        return (sum(self.chars[x] for x in inside) == self.chars[node]
+                and all(self._heading(x, children) for x in inside if self.chars[x]))
 
     def text(self) -> str:
         keep = [False] * len(self.tag)

@@ -100,6 +100,22 @@ def test_main_text(page, text):
     assert extract.main_text(page) == text
 
 
+def paragraphs(n, chars, name):
+    return [(f"{name} {k} " + "some words of plain text " * chars)[:chars].strip() for k in range(n)]
+
+
+@pytest.mark.parametrize("tag", ["div", "section", "td"])
+@pytest.mark.parametrize("sizes", [(400, 400), (400, 300, 350, 390), (300, 420, 180)])
+def test_article_in_several_containers(tag, sizes):
+    parts = [paragraphs(5, c, f"part{i}") for i, c in enumerate(sizes)]
+    inner = "".join(f"<{tag}>{''.join(f'<p>{x}</p>' for x in part)}</{tag}>" for part in parts)
+    inner = f"<table><tr>{inner}</tr></table>" if tag == "td" else inner
+    links = "".join(f"<li><a href=/{k}>more of this site {k}</a></li>" for k in range(9))
+    page = (f"<body><div><ul>{links}</ul></div><div id=top><h1>The headline</h1></div><div>{inner}</div>"
+            f"<div><ul>{links}</ul><p>All rights reserved.</p></div></body>")
+    assert extract.main_text(page).split("\n\n") == ["The headline", *(x for part in parts for x in part)]
+
+
 def test_extraction_of_all_pages(spark):
     import html
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
