@@ -15,7 +15,11 @@ the article itself, as a part on its own is smaller than what encloses it
 and so has less density at the same kind of text.  Headings before a part
 that belongs to the article go with it unless they are links.
 Parts that say what they are (navigation, adverts, forms, comments, by tag,
-role, class or id) are cut before densities are formed.  Each page is small
+role, class or id) are cut before densities are formed.  A class or id says
+so as a whole, or as a compound of such names and words of place and shape
+(``site-footer``, not ``has-sidebar``); and unless it names readers'
+comments, a part is not cut by name if it holds the longest article or main
+element or, on a page without one, more than half of the text.  Each page is small
 and independent: one pass, no shuffle.
 
 Defined results: a null or empty page, and one without text, gives an empty
@@ -46,7 +50,7 @@ NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(
 
 # Elements and names of parts that are no article text.
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
-CUT = frozenset("nav aside footer form button select option menu dialog figcaption svg canvas object video "
+CUT = frozenset("nav aside footer form button select option menu dialog svg canvas object video "
                 "audio map head label input fieldset".split())
 CUT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation "
@@ -54,6 +58,12 @@ CUT_NAMES = frozenset(
     "popup modal overlay newsletter subscribe subscription signup login social share sharing related recommended "
     "trending widget comment comments commentlist replies reply disqus respond pagination pager toolbar skip "
     "complementary contentinfo search hidden".split())
+COMMENTS = frozenset("comment comments commentlist replies reply disqus respond".split())
+#: What may stand beside a name of CUT_NAMES in a compound.
+BESIDE = frozenset(
+    "site page main global top bottom left right primary secondary inner outer box bar block area section wrapper "
+    "wrap container slot unit item items list links link icons buttons button form post posts articles content "
+    "text title header row col column".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dir div dl dt fieldset figure footer form h1 h2 h3 h4 h5 "
@@ -70,23 +80,35 @@ LINE = 80
 SMALL = frozenset("p li h1 h2 h3 h4 h5 h6 b i em strong span a pre blockquote dd dt td".split())
 
 
-def _boilerplate(tag: str, rest: str, in_article: bool) -> bool:
+#: How a part is cut: always, by a name, by a name of readers' comments.
+ALWAYS, NAMED, COMMENTED = 1, 2, 3
+
+
+def _named(token: str, in_article: bool) -> int:
+    """How a part is cut that has this class, id or role."""
+    names = [x for x in re.split(r"[^a-z0-9]+", token) if x and not x.isdigit()]
+    cuts = CUT_NAMES if in_article else CUT_NAMES | {"header"}
+    if cuts.isdisjoint(names) or not all(x in cuts or x in BESIDE for x in names):
+        return 0
+    return NAMED if COMMENTS.isdisjoint(names) else COMMENTED
+
+
+def _boilerplate(tag: str, rest: str, in_article: bool) -> int:
     if tag in CUT or (tag == "header" and not in_article):
-        return True
+        return ALWAYS
     if not rest.strip() or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
+    found = 0
     for name, value in NAMES.findall(rest):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return ALWAYS
         if name == "style":
             if "display:none" in value.replace(" ", ""):
-                return True
-        elif not CUT_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
-        elif not in_article and "header" in re.split(r"[^a-z0-9]+", value):
-            return True
-    return False
+                return ALWAYS
+        elif name in ("class", "id", "role"):
+            found = max([found, *(_named(x, in_article) for x in value.split())])
+    return found
 
 
 class Page:
@@ -95,19 +117,20 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent = ["#root"], [-1]
         self.pieces: list[tuple[int, str | None]] = []  # None: a block ends or begins
+        self.cut = [0]
         stack = [0]
-        at, cut, n = 0, 0, len(source)
+        at, n = 0, len(source)
         articles = 0
         while at < n:
             lt = source.find("<", at)
             if lt < 0:
-                self._text(stack, source[at:], cut)
+                self.pieces.append((stack[-1], source[at:]))
                 break
             if lt > at:
-                self._text(stack, source[at:lt], cut)
+                self.pieces.append((stack[-1], source[at:lt]))
             m = TOKEN.match(source, lt)
             if not m:
-                self._text(stack, "<", cut)
+                self.pieces.append((stack[-1], "<"))
                 at = lt + 1
                 continue
             at = m.end()
@@ -119,7 +142,6 @@ class Page:
                 if k:
                     articles -= sum(self.tag[x] == "article" for x in stack[k:])
                     del stack[k:]
-                    cut = cut if len(stack) > cut else 0
                 if tag in BLOCK:
                     self.pieces.append((stack[-1], None))
                 continue
@@ -132,22 +154,40 @@ class Page:
                 self.pieces.append((stack[-1], None))
             if tag in CLOSES:
                 self._close(stack, CLOSES[tag])
-            if cut and len(stack) <= cut:
-                cut = 0
             if tag == "br":
-                self._text(stack, " ", cut)
+                self.pieces.append((stack[-1], " "))
             if tag in VOID:
                 continue
-            if not cut and _boilerplate(tag, m["rest"], articles > 0):
-                cut = len(stack)  # what stands deeper than this is cut
+            self.cut.append(_boilerplate(tag, m["rest"], articles > 0))
             self.tag.append(tag)
             self.parent.append(stack[-1])
             stack.append(len(self.tag) - 1)
             articles += tag == "article"
+        self._drop()
 
-    def _text(self, stack: list[int], text: str, cut: int) -> None:
-        if not cut or len(stack) <= cut:
-            self.pieces.append((stack[-1], text))
+    def _drop(self) -> None:
+        """Takes out the text of parts that are cut."""
+        n = len(self.tag)
+        out = [False] * n
+        for i in range(1, n):
+            out[i] = out[self.parent[i]] or self.cut[i] in (ALWAYS, COMMENTED)
+        if NAMED in self.cut:
+            chars = [0] * n
+            for i, text in self.pieces:
+                if text and not out[i]:
+                    chars[i] += len(text) - text.count(" ")
+            for i in range(n - 1, 0, -1):
+                chars[self.parent[i]] += chars[i]
+            holds = set()
+            whole = [i for i in range(n) if self.tag[i] in ("article", "main") and chars[i]]
+            at = max(whole, key=lambda i: (chars[i], -i), default=0)
+            while at > 0:
+                holds.add(at)
+                at = self.parent[at]
+            for i in range(1, n):
+                kept = i in holds if holds else 2 * chars[i] > chars[0]
+                out[i] = out[i] or out[self.parent[i]] or (self.cut[i] == NAMED and not kept)
+        self.pieces = [(i, text) for i, text in self.pieces if text is None or not out[i]]
 
     def _find(self, stack: list[int], tag: str) -> int:
         for k in range(len(stack) - 1, 0, -1):

@@ -100,6 +100,17 @@ def test_main_text(page, text):
     assert extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("name", [
+    "overflow-hidden", "has-sidebar", "no-sidebar", "search-result", "comments-open", "sidebar", "layout search"])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_wrappers_of_the_article_stay(name, inner):
+    parts = paragraphs(4, 200, "part")
+    page = (f"<body><div class=site-footer><p>{'about us ' * 9}</p></div><div class='{name}'><{inner}><h1>Title</h1>"
+            f"{''.join(f'<p>{x}</p>' for x in parts)}<figure><img src=x><figcaption>What it shows</figcaption></figure>"
+            f"</{inner}></div><div id=comments class=post-comments><p>{'what a reader says ' * 80}</p></div></body>")
+    assert extract.main_text(page).split("\n\n") == ["Title", *parts, "What it shows"]
+
+
 def paragraphs(n, chars, name):
     return [(f"{name} {k} " + "some words of plain text " * chars)[:chars].strip() for k in range(n)]
 
