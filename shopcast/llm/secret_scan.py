@@ -45,10 +45,14 @@ Span = tuple[str, int, int]
 @dataclass(frozen=True)
 class Scan:
     """``limits``: least entropy in bits of a window, by character class.
+    Each is under what all but 0.5 % of the windows of a random key of the
+    class have; words with numbers at their end (``word``, and ``words`` with
+    separators) are as rich as short keys, so theirs are higher.
     ``allowed``: strings that one of these matches whole are no secrets."""
 
     window: int = 20
-    limits: tuple = (("hex", 3.0), ("alnum", 3.8), ("base64", 3.9))
+    limits: tuple = (("hex", 2.8), ("word", 3.8), ("words", 3.9), ("base32", 3.2), ("lower", 3.2),
+                     ("upper", 3.2), ("alnum", 3.5), ("base64", 3.5))
     allowed: tuple = (
         r"[A-Za-z_=/-]+",  # words without digits, paths
         r"[0-9_=/+-]+",  # numbers
@@ -59,8 +63,12 @@ class Scan:
 
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-_HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
-_ALNUM = re.compile(r"[0-9A-Za-z]+")
+_PART = r"(?:[A-Za-z]+[0-9]{0,4}|[0-9]+)"
+#: The first that matches a whole string is its class; base64 otherwise.
+CLASSES = tuple((kind, re.compile(p)) for kind, p in (
+    ("hex", r"[0-9a-fA-F]+"), ("word", r"[A-Za-z]+[0-9]{0,4}"),
+    ("words", rf"[_/=-]*{_PART}(?:[_/-]+{_PART})*[_/=-]*"), ("base32", r"[A-Z2-7]+|[a-z2-7]+"),
+    ("lower", r"[a-z0-9]+"), ("upper", r"[A-Z0-9]+"), ("alnum", r"[0-9A-Za-z]+")))
 
 
 def base_spans(text: str) -> list[Span]:
@@ -107,7 +115,7 @@ class Scanner:
             s = m.group()
             if s.isalpha() or any(p.fullmatch(s) for p in self.allowed):
                 continue
-            kind = "hex" if _HEX_ONLY.fullmatch(s) else "alnum" if _ALNUM.fullmatch(s) else "base64"
+            kind = next((k for k, p in CLASSES if p.fullmatch(s)), "base64")
             for a, b in high_entropy(s, self.window, self.limits[kind]):
                 a, b = a + m.start(), b + m.start()
                 if not any(x < b and a < y for _, x, y in base):

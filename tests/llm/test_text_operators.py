@@ -1,7 +1,9 @@
 """Row-wise operators against plain Python: extraction, rules, secrets."""
 
 import hashlib
+import random
 import re
+import string
 
 import pytest
 
@@ -83,6 +85,25 @@ def test_secrets_digest_and_allow_list(spark):
     assert len(got) == len({(i, "") for i, _ in rows}) and (None, "") in got
 
 
+@pytest.mark.parametrize("alphabet,missed", [
+    ("0123456789abcdef", 0.01), ("0123456789ABCDEF", 0.01), (string.ascii_lowercase + string.digits, 0.01),
+    (string.ascii_uppercase + string.digits, 0.01), (string.ascii_uppercase + "234567", 0.03),
+    (string.ascii_letters + string.digits, 0.05), (string.ascii_letters + string.digits + "+/", 0.05)])
+def test_random_keys_are_found(alphabet, missed):
+    # keys without a digit look like words to the allow-list: 1.6 % of base32, 3 % of base62 at 20 characters
+    rnd, scanner = random.Random(5), secret_scan.Scanner(secret_scan.Scan())
+    for length in (20, 24, 32):
+        keys = ["".join(rnd.choices(alphabet, k=length)) for _ in range(2000)]
+        assert sum(not scanner(f"see {k} here") for k in keys) <= missed * len(keys), length
+
+
+def test_words_with_numbers_are_no_keys():
+    scanner = secret_scan.Scanner(secret_scan.Scan())
+    for text in ("internationalization18", "my_function_name2_and_section3", "/home/user1/project2/src/main",
+                 "responsibilities2024", "release-notes-v2-of-2024"):
+        assert scanner(f"see {text} here") == []
+
+
 def test_redaction_keeps_columns(spark):
     source = spark.createDataFrame([(1, "a token=abcdef12 b", 18), (2, None, 0)], "doc_id long, text string, n_chars long")
     assert [tuple(r) for r in secret_scan.redacted(source).collect()] == [(1, "a <assign> b", 12), (2, None, 0)]
