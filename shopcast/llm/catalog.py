@@ -1,4 +1,4 @@
-"""Queries of the ten operators: each reads its whole table and applies its
+"""Queries of the thirteen operators: each reads its whole table and applies its
 operator with production parameters."""
 
 from __future__ import annotations
@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopcast.llm import (backoff, decontaminate, extract, minhash, mixing, repetition, secret_scan,
-                          suffixes, toxicity, urls)
+from shopcast.llm import (align, backoff, decontaminate, exact, extract, minhash, mixing, repetition,
+                          secret_scan, suffixes, toxicity, urls, whitening)
 from shopcast.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,13 +54,25 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(read(spark, sf_dir, "pages"))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digest(read(spark, sf_dir, "documents"))
+
+
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.copies(read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_decontaminate, op2_extract, op3_minhash, op4_suffixes, op5_mixing, op6_backoff,
-        op7_repetition, op8_secrets, op9_toxicity, op10_urls)}
+        op7_repetition, op8_secrets, op9_toxicity, op10_urls, op11_align, op12_exact, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    """None of the results can be had from SQL on the whole tables in
-    reasonable time; the tests compare them with brute force instead."""
-    return {}
+    """The others can't be had from SQL on the whole tables in reasonable
+    time; the tests compare them with brute force instead."""
+    return {"op12_exact": exact.ORACLE_SQL}
