@@ -39,21 +39,31 @@ def store_baseline(df: DataFrame, until: int = 2000) -> DataFrame:
                     "base_count")
 
 
-def score(df: DataFrame, baseline: DataFrame) -> DataFrame:
-    """ST1: z-score (2 digits) and deviation % (1 digit) of each open day
-    against its store's baseline.  Stores without a baseline drop out.
-    How ``baseline`` is joined is left to the planner and its size statistics."""
-    j = open_days(df).join(baseline, "store")
+def _scores(joined: DataFrame) -> DataFrame:
     diff = col("sales_cents") - col("base_mean_cents")
     zh = round_ratio(diff * 100, col("base_std_cents"))
     dt = round_ratio(diff * 1000, col("base_mean_cents"))
-    return j.select(
+    return joined.select(
         "store", "date", cents_to_units(col("sales_cents")).alias("sales"),
         "base_mean", "base_std",
         (zh.cast("double") / 100.0).alias("z_score"),
         (dt.cast("double") / 10.0).alias("deviation_pct"))
 
 
+def score(df: DataFrame, baseline: DataFrame) -> DataFrame:
+    """ST1: z-score (2 digits) and deviation % (1 digit) of each open day
+    against its store's baseline.  Stores without a baseline drop out.
+    How ``baseline`` is joined is left to the planner and its size statistics."""
+    return _scores(open_days(df).join(baseline, "store"))
+
+
+def score_all(df: DataFrame, baseline: DataFrame) -> DataFrame:
+    """Every row of ``df``; those that ``score`` leaves out have no z-score."""
+    known = baseline.withColumnRenamed("store", "_store")
+    counts = (col("store") == col("_store")) & (col("open") == 1) & (col("sales_cents") > 0)
+    return _scores(df.join(known, counts, "left"))
+
+
 SCORED_COLUMNS = ["store", "date", "sales", "base_mean", "z_score", "deviation_pct"]
 ANOMALY_COLUMNS = ["store", "date", "sales", "base_mean", "base_std",
                    "deviation_pct", "z_score", "direction"]

@@ -690,7 +690,8 @@ SELECT store, date, CASE WHEN customers = 0 THEN CAST(0 AS DOUBLE)
 }
 MODELING = {
     "stream_totals": with_base(f"""
-SELECT (SELECT COUNT(*) FROM daily_sales WHERE open = 1 AND sales_cents > 0 AND year(date) = 2001) AS records,
+SELECT (SELECT CAST(CEIL(COUNT(DISTINCT date) / 100.0) AS BIGINT) FROM daily_sales WHERE year(date) = 2001) AS batches,
+       (SELECT COUNT(*) FROM daily_sales WHERE open = 1 AND sales_cents > 0 AND year(date) = 2001) AS records,
        (SELECT COUNT(*) FROM ({ANOMS}) a) AS anomalies""", *_SC),
     "tuning_sample": with_base("""
 SELECT * FROM daily_sales

@@ -1,5 +1,5 @@
-"""Structured Streaming: anomaly scoring of incoming sales files."""
+"""Structured Streaming plans."""
 
 from shopcast.streaming.anomaly import (  # noqa: F401
-    read_sales_stream, make_batch_writer, start_anomaly_query, drain,
-    stream_stats, read_scored, read_anomalies, run_anomaly_stream)
+    ANOMALY_SCHEMA, LiveCounters, drain, make_batch_writer, prepare_baseline, read_anomalies, read_sales_stream,
+    read_scored, score_directory, start_anomaly_query, stream_stats, stream_totals, supervise)

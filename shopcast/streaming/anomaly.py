@@ -1,32 +1,42 @@
 """The anomaly stream (IO7-IO9, ST4-ST7).
 
-file source (one file per trigger) -> open-day filter -> foreachBatch:
-score against a static per-store baseline, write scored rows and anomalies.
-
-Writes are idempotent per micro-batch: each batch overwrites only its own
-``batch_id=<n>`` partition (dynamic partition overwrite), so a batch that is
-retried after an executor or driver loss replaces its earlier output
-instead of appending duplicates.  The baseline is written once as a table in
-the shared checkpoint folder (lineage cut, survives executor loss).  Counts
-are kept by batch in the same way, so they do not depend on how much
-progress the query remembers.
+file source (some files per trigger) -> open-day filter -> foreachBatch:
+score against a static per-store baseline, write scored rows and anomalies,
+then commit the batch with its observed counts.
+
+Output of batch n goes to ``<table>/batch_id=<n>`` (overwritten as a whole),
+and ``commits/batch_id=<n>`` is written last.  Readers look at committed
+batches only, so a batch that fails half way shows nothing, and one that is
+retried after an executor or driver loss replaces its earlier output.
+``compact`` folds committed batches into runs (``streaming.runs``), so files
+do not pile up.  The baseline is written once as a table in the shared
+checkpoint folder (lineage cut, survives executor loss).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from shopcast.operators.scoring import (SCORED_COLUMNS, anomalies, score,
+from shopcast.operators.scoring import (SCORED_COLUMNS, anomalies, score_all,
                                         Z_THRESHOLD)
-from shopcast.session import materialize, run_dir
+from shopcast.session import materialize
 from shopcast.sources.schemas import SALES_SCHEMA
+from shopcast.streaming.runs import COMPACT_EVERY, commit, compact, live, read_live, write_batch
 
 col = F.col
 
+SCORED_SCHEMA = ("store long, date date, sales double, base_mean double, z_score double, "
+                 "deviation_pct double")
 ANOMALY_SCHEMA = ("store long, date date, sales double, base_mean double, base_std double, "
                   "deviation_pct double, z_score double, direction string")
+TABLES = {"scored": SCORED_SCHEMA, "anomalies": ANOMALY_SCHEMA}
+#: Name of the metrics that the running query reports with its progress.
+ARRIVED = "arrived"
 
 
 def read_sales_stream(spark: SparkSession, path: str, max_files: int = 1,
@@ -44,22 +54,26 @@ def read_sales_stream(spark: SparkSession, path: str, max_files: int = 1,
     return df.filter((col("sales_cents") > 0) & (col("open") == 1))
 
 
-def _write_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
-
-
-def make_batch_writer(baseline: DataFrame, out_dir: str, k: float = Z_THRESHOLD):
-    """ST4: the foreachBatch function: one persisted frame, two sinks."""
+def make_batch_writer(baseline: DataFrame, out_dir: str, k: float = Z_THRESHOLD,
+                      every: int = COMPACT_EVERY):
+    """ST4: the foreachBatch function: one persisted frame, two sinks, then
+    the commit.  The counts are observed while the scored rows are written;
+    no pass is made for them."""
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        scored = score(batch_df, baseline).persist()
+        spark, counts = batch_df.sparkSession, Observation()
+        far = F.abs(col("z_score")) > k
+        scored = score_all(batch_df, baseline).persist()
         try:
-            _write_partition(scored.select(SCORED_COLUMNS), f"{out_dir}/scored", batch_id)
-            _write_partition(anomalies(scored, k), f"{out_dir}/anomalies", batch_id)
-            _write_partition(batch_df.agg(F.count(F.lit(1)).alias("records")), f"{out_dir}/counts", batch_id)
+            seen = scored.observe(counts, F.count(F.lit(1)).alias("records"),
+                                  F.count("z_score").alias("scored"),
+                                  F.count(F.when(far, 1)).alias("anomalies"))
+            write_batch(seen.filter("z_score is not null").select(SCORED_COLUMNS), out_dir, "scored", batch_id)
+            write_batch(anomalies(scored, k), out_dir, "anomalies", batch_id)
+            commit(spark, out_dir, batch_id, counts.get)
         finally:
             scored.unpersist()
+        if (batch_id + 1) % every == 0:
+            compact(spark, out_dir, TABLES, every)
     return process
 
 
@@ -71,30 +85,84 @@ def prepare_baseline(baseline: DataFrame) -> DataFrame:
 
 def start_anomaly_query(stream_df: DataFrame, baseline: DataFrame, out_dir: str,
                         checkpoint: str, trigger: str | None = "5 seconds",
-                        name: str = "anomaly_detection",
-                        k: float = Z_THRESHOLD) -> StreamingQuery:
+                        name: str = "anomaly_detection", k: float = Z_THRESHOLD,
+                        writer: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """ST5: start with a trigger (``None`` = availableNow), a checkpoint and
     a query name."""
-    w = (stream_df.writeStream.foreachBatch(make_batch_writer(baseline, out_dir, k))
+    stream_df = stream_df.observe(ARRIVED, F.count(F.lit(1)).alias("records"))
+    w = (stream_df.writeStream.foreachBatch(writer or make_batch_writer(baseline, out_dir, k))
          .option("checkpointLocation", checkpoint).queryName(name))
     w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
     return w.start()
 
 
 def drain(query: StreamingQuery) -> None:
-    """ST7: process what has arrived, then stop."""
-    query.processAllAvailable()
-    query.stop()
+    """ST7: process what has arrived, then stop (also after a failure, which
+    is raised)."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def supervise(start: Callable[[], StreamingQuery], until: Callable[[StreamingQuery], None] = drain,
+              restarts: int = 3) -> int:
+    """ST5: ``until(start())``, started again from its checkpoint when the
+    query fails, at most ``restarts`` times.  Returns the restarts used."""
+    used = 0
+    while True:
+        try:
+            until(start())
+            return used
+        except StreamingQueryException:
+            if used == restarts:
+                raise
+            used += 1
+
+
+def score_directory(spark: SparkSession, inbox: str, baseline: DataFrame, out_dir: str, checkpoint: str,
+                    max_files: int = 100, trigger: str = "5 seconds", fmt: str = "parquet",
+                    name: str = "anomaly_detection") -> str:
+    """IO7-IO9, ST4-ST7 end to end: score the files of ``inbox`` that the
+    checkpoint has not seen, restart after failures, drain and stop."""
+    prepared = prepare_baseline(baseline)
+    supervise(lambda: start_anomaly_query(read_sales_stream(spark, inbox, max_files, fmt), prepared,
+                                          out_dir, checkpoint, trigger, name))
+    return out_dir
+
+
+class LiveCounters(StreamingQueryListener):
+    """ST6 while the query runs: batches and records from the metrics that
+    come with its progress, by batch, so a batch that is run again counts
+    once.  What is committed (``stream_totals``) survives a restart."""
+
+    def __init__(self, name: str = "anomaly_detection") -> None:
+        self.name, self.records = name, {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(ARRIVED)
+        if event.progress.name == self.name and seen is not None and seen["records"]:
+            self.records[event.progress.batchId] = seen["records"]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    @property
+    def totals(self) -> dict:
+        return {"batches": len(self.records), "records": sum(self.records.values())}
 
 
 def stream_totals(spark: SparkSession, out_dir: str) -> DataFrame:
-    """ST6: one row with the batches that had rows, their records and the
-    anomalies so far."""
-    counts = spark.read.schema("records long, batch_id long").parquet(f"{out_dir}/counts")
-    seen = counts.filter("records > 0").agg(F.count(F.lit(1)).alias("batches"),
-                                            F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
-    found = read_anomalies(spark, out_dir).agg(F.count(F.lit(1)).alias("anomalies"))
-    return seen.crossJoin(found)                    # one row each
+    """ST6: one row with the committed batches that had rows, their records
+    and the anomalies among them, from the counts of the commits."""
+    return live(spark, out_dir).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                                      for c in ("batches", "records", "anomalies")))
 
 
 def stream_stats(spark: SparkSession, out_dir: str) -> dict:
@@ -103,33 +171,10 @@ def stream_stats(spark: SparkSession, out_dir: str) -> dict:
 
 
 def read_scored(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/scored").select(SCORED_COLUMNS)
+    """IO8: all scored rows of committed batches."""
+    return read_live(spark, out_dir, "scored", SCORED_SCHEMA)
 
 
 def read_anomalies(spark: SparkSession, out_dir: str) -> DataFrame:
-    """IO9: all anomalies written so far (batch id dropped)."""
-    return spark.read.schema(ANOMALY_SCHEMA).parquet(f"{out_dir}/anomalies").drop("batch_id")
-
-
-def run_anomaly_stream(spark: SparkSession, facts: DataFrame, baseline: DataFrame,
-                       n_files: int = 6, max_files: int = 1, fmt: str = "parquet",
-                       with_stats: bool = False):
-    """Drive the stream end to end over ``facts``: write them as ``n_files``
-    date-ordered Parquet files into the shared folder, run the query with an
-    availableNow trigger (one file per micro-batch), return the output
-    folder.  Used by tests and the query catalogue."""
-    base = run_dir(spark, "stream")
-    inbox = f"{base}/input"
-    files = (facts.repartitionByRange(n_files, "date", "store")
-             .select([f.name for f in SALES_SCHEMA.fields]).write.mode("overwrite"))
-    if fmt == "csv":
-        files.option("header", "true").csv(inbox)
-    else:
-        files.parquet(inbox)
-    b = prepare_baseline(baseline)
-    q = start_anomaly_query(read_sales_stream(spark, inbox, max_files, fmt), b,
-                            f"{base}/out", f"{base}/checkpoint", trigger=None)
-    q.awaitTermination()
-    if with_stats:
-        return f"{base}/out", stream_stats(spark, f"{base}/out")
-    return f"{base}/out"
+    """IO9: all anomalies of committed batches."""
+    return read_live(spark, out_dir, "anomalies", ANOMALY_SCHEMA)
