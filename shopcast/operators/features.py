@@ -8,6 +8,8 @@ lines.  All lag and rolling columns share one exchange and one sort.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,13 +131,77 @@ def one_hot_columns(cats: dict[str, list[str]],
     return out
 
 
+def category_rows(sales: DataFrame) -> DataFrame:
+    """The fact rows reduced to what categories depend on: a store, its
+    statuses and weekdays (at most 14 rows a store), so that the dimension
+    is joined to these and not to every day."""
+    return sales.select("store", "state_holiday", calendar_dict("date")["day_of_week"].alias("day_of_week")).distinct()
+
+
+def _slots(table: DataFrame, drop_first: dict[str, bool]) -> dict[str, tuple[int, int]]:
+    """(values skipped, values kept) of each column: numbers only."""
+    sizes = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    out = {}
+    for c, drop in drop_first.items():
+        skip = int(drop and sizes.get(c, 0) > 0)
+        if sizes.get(c, 0) > skip:
+            out[c] = (skip, sizes[c] - skip)
+    return out
+
+
+def one_hot_vector(df: DataFrame, table: DataFrame, drop_first: dict[str, bool] | None = None,
+                   output: str = "one_hot") -> DataFrame:
+    """F5 as one sparse vector column, for any number of categories.
+
+    ``table`` is the written category table (``category_table``): values are
+    turned into positions by a join with it, so no value passes the driver,
+    only the number of values of each column.  Kept values take the slots 0,
+    1, ... in table order, columns follow each other in the order of
+    ``drop_first``.  A dropped first value, a null and a value that the
+    table doesn't have are 0 everywhere.
+    """
+    slots = _slots(table, DROP_FIRST if drop_first is None else drop_first)
+    if "day_of_week" in slots and "day_of_week" not in df.columns:
+        df = add_calendar(df)
+    names = df.columns
+    for i, (c, (skip, kept)) in enumerate(slots.items()):
+        own = table.filter(col("column") == c).select(col("value").alias(f"_v{i}"), (col("position") - skip).alias(f"_p{i}"))
+        # the slot after the kept ones is the one the encoder drops
+        at = F.when(col(f"_p{i}") >= 0, col(f"_p{i}")).otherwise(F.lit(kept)).cast("double")
+        nominal = {"ml_attr": {"type": "nominal", "num_vals": kept + 1}}
+        df = df.join(own, col(c).cast("string") == col(f"_v{i}"), "left").withColumn(
+            f"_i{i}", at.alias(f"_i{i}", metadata=nominal)).drop(f"_v{i}", f"_p{i}")
+    if not slots:
+        return df.withColumn(output, array_to_vector(F.array().cast("array<double>")))
+    index, hot = [f"_i{i}" for i in range(len(slots))], [f"_h{i}" for i in range(len(slots))]
+    encoder = OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True).fit(df)
+    out = VectorAssembler(inputCols=hot, outputCol=output).transform(encoder.transform(df))
+    return out.select(*names, output)
+
+
+def one_hot_names(table: DataFrame, drop_first: dict[str, bool] | None = None) -> list[str]:
+    """Names ``<col>_<value>`` of the vector's slots, for wide outputs only."""
+    drop_first = DROP_FIRST if drop_first is None else drop_first
+    rows = table.orderBy("column", "position").collect()
+    return [f"{c}_{r['value'].replace(' ', '_')}" for c, drop in drop_first.items()
+            for r in rows if r["column"] == c and not (drop and r["position"] == 0)]
+
+
 def one_hot(df: DataFrame, cats: dict[str, list[str]],
             drop_first: dict[str, bool] | bool = True, keep=("store", "date")) -> DataFrame:
+    """F5 as 0/1 columns, for few categories."""
     if "day_of_week" in cats and "day_of_week" not in df.columns:
         df = add_calendar(df)
     return df.select(*keep, *one_hot_columns(cats, drop_first))
 
 
+def one_hot_wide(df: DataFrame, table: DataFrame, keep=("store", "date")) -> DataFrame:
+    """The vector of ``one_hot_vector`` as named 0/1 columns."""
+    names = one_hot_names(table)
+    flat = one_hot_vector(df, table, output="_hot").withColumn("_flat", vector_to_array("_hot"))
+    return flat.select(*keep, *[col("_flat")[i].cast("long").alias(n) for i, n in enumerate(names)])
+
+
 def feature_categories(clean: DataFrame) -> dict[str, list[str]]:
     """Categories of the feature set: weekday (all kept) + the categorical
     columns (first dropped)."""
@@ -153,7 +219,7 @@ def build_features(clean: DataFrame, cats: dict[str, list[str]] | None = None) -
     ``cats`` (from ``feature_categories``) is a small table of category
     values kept with the model, so that scoring builds the same columns.
     """
-    cats = cats or feature_categories(clean)
+    cats = feature_categories(clean) if cats is None else cats
     df = add_lags(add_calendar(clean))
     df = df.filter(col("open") == 1)
     df = add_interactions(add_rolling(df))

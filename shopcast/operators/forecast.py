@@ -48,21 +48,6 @@ def check_range(start: str, end: str) -> None:
         raise ValueError(f"forecast end {end} is before start {start}")
 
 
-def median_parts(df: DataFrame, value: Column, key: str = "store") -> DataFrame:
-    """Lower and upper middle values of ``value`` per key (exact median =
-    (lo + hi) / 2).  A window per store holds at most one row per history
-    day, so it is bounded."""
-    w = Window.partitionBy(key).orderBy("v")
-    r = (df.select(key, value.alias("v")).filter(col("v").isNotNull())
-         .withColumn("rn", F.row_number().over(w))
-         .withColumn("n", F.count("*").over(Window.partitionBy(key))))
-    lo = F.floor((col("n") + 1) / 2)
-    hi = F.floor(col("n") / 2) + 1
-    return r.filter((col("rn") == lo) | (col("rn") == hi)).groupBy(key).agg(
-        F.max(F.when(col("rn") == lo, col("v"))).alias("lo"),
-        F.max(F.when(col("rn") == hi, col("v"))).alias("hi"))
-
-
 def customers_by_weekday(history: DataFrame) -> DataFrame:
     """Mean customers per store and weekday."""
     g = history.groupBy("store", day_of_week("date").alias("day_of_week")).agg(
@@ -154,6 +139,21 @@ def future_rows(history: DataFrame, promo: DataFrame, start: str, end: str) -> D
     return rows.join(last_static(hist), "store", "left")
 
 
+def sales_per_customer_ratio() -> Column:
+    """Euros per customer of a day, 0 without customers."""
+    return F.when(col("customers") == 0, F.lit(0.0)).otherwise(
+        col("sales_cents").cast("double") / (col("customers") * 100).cast("double"))
+
+
+def store_medians(history: DataFrame) -> DataFrame:
+    """Per store the exact medians of sales (in half-cents, so that a middle
+    between two cents stays whole) and of sales per customer, in one
+    aggregate that holds a store's distinct values of a day's figures."""
+    return history.groupBy("store").agg(
+        (F.median("sales_cents") * 2).cast("long").alias("h_med"),
+        F.median(sales_per_customer_ratio()).alias("spc_median"))
+
+
 def future_features(history: DataFrame, start: str, end: str,
                     min_history: int = MIN_HISTORY) -> DataFrame:
     """P4 + P5: lag, rolling and ratio features of every future day.
@@ -163,12 +163,15 @@ def future_features(history: DataFrame, start: str, end: str,
     mean customers for the *current* row's weekday, else 0.  Rolling std is
     0 under two rows.  Sales per customer = sales lag 1 / customers lag 1,
     or the store's median history ratio when that lag is 0.
+
+    As in training, lags run over all days and rolling frames over open
+    days.  The frames are partitioned by (store, open), so one exchange by
+    store serves both, and the medians of P5 after them.
     """
     hist = cut_history(history, start)
     elig = eligible_stores(hist, min_history)
     hist = hist.join(elig, "store", "left_semi")
-    med = median_parts(hist, col("sales_cents")).select(
-        "store", (col("lo") + col("hi")).cast("long").alias("h_med"))
+    med = store_medians(hist)
     fut = future_calendar(elig, start, end).join(med, "store").select(
         "store", "date", col("h_med").alias("h"), F.lit(None).cast("long").alias("customers"),
         F.lit(1).alias("open"), F.lit(1).alias("is_future"))
@@ -181,20 +184,15 @@ def future_features(history: DataFrame, start: str, end: str,
         feats[f"_hl{k}"] = F.lag("h", k).over(w)
         feats[f"_cl{k}"] = F.lag("customers", k).over(w)
     for wd in WINDOWS:
-        fr = by_store((-wd, -1))
+        fr = Window.partitionBy("store", "open").orderBy("date").rowsBetween(-wd, -1)
         rolled[f"_n{wd}"] = F.count("h").over(fr)
         rolled[f"_s{wd}"] = F.sum(dec(col("h"))).over(fr)
         rolled[f"_q{wd}"] = F.sum(dec(col("h")) * dec(col("h"))).over(fr)
         rolled[f"_m{wd}"] = F.max("h").over(fr)
-    # as in training: lags over all days, rolling frames over open days
-    moments = u.filter("open = 1").select("store", "date", *(c.alias(n) for n, c in rolled.items()))
-    u = u.withColumns(feats).join(moments, ["store", "date"])
+    u = u.withColumns(feats).withColumns(rolled).filter("open = 1")
     cdow = customers_by_weekday(hist)
-    spc = median_parts(hist, F.when(col("customers") == 0, F.lit(0.0)).otherwise(
-        col("sales_cents").cast("double") / (col("customers") * 100).cast("double"))).select(
-        "store", ((col("lo") + col("hi")) / 2.0).alias("spc_median"))
     u = (u.withColumn("day_of_week", day_of_week("date"))
-         .join(cdow, ["store", "day_of_week"], "left").join(spc, "store", "left"))
+         .join(cdow, ["store", "day_of_week"], "left").join(med.drop("h_med"), "store", "left"))
     out = [col("store"), col("date")]
     for k in LAGS:
         out.append((col(f"_hl{k}").cast("double") / 200.0).alias(f"sales_lag_{k}"))
@@ -211,26 +209,29 @@ def future_features(history: DataFrame, start: str, end: str,
     ratio = F.when(col("customers_lag_1") != 0, col("sales_lag_1") / col("customers_lag_1"))
     r = r.withColumn("sales_per_customer", F.coalesce(ratio, col("spc_median"))).drop("spc_median")
     names = [c for c in r.columns if c not in ("store", "date", "is_future")]
-    fut = r.filter(col("is_future") == 1).drop("is_future")
-    return fill_from_history(fut, names, r.filter(col("is_future") == 0))
-
-
-def fill_from_history(df: DataFrame, cols: list[str],
-                      history: DataFrame | None = None) -> DataFrame:
-    """P5: a feature still null takes the store's history median of that
-    column (exact ``median`` per store: at most one value per history day),
-    else 0.  One cheap pass over the future rows finds which columns have
-    nulls at all; medians are computed for those only."""
-    if history is not None:
-        nulls = df.select([F.count(F.when(col(c).isNull(), 1)).alias(c) for c in cols]).first()
-        have = [c for c in cols if nulls[c] and c in history.columns]
-        if have:
-            med = history.groupBy("store").agg(
-                *[F.median(c).alias(f"_med_{c}") for c in have])
-            df = df.join(med, "store", "left").withColumns(
-                {c: F.coalesce(col(c), col(f"_med_{c}")) for c in have}).drop(
-                *[f"_med_{c}" for c in have])
-    return df.na.fill(0.0, subset=cols)
+    return filled(r, names, col("is_future") == 1).drop("is_future")
+
+
+def filled(rows: DataFrame, cols: list[str], wanted: Column) -> DataFrame:
+    """P5: the ``wanted`` rows, where a feature that is still null takes the
+    exact median of that column over the store's other rows, else 0.
+
+    The medians run over each store's partition, in the exchange by store
+    that the features already have (at most one value per history day and
+    column), so no row is joined back."""
+    per_store = Window.partitionBy("store")
+    medians = {f"_med_{c}": F.median(F.when(~wanted, col(c))).over(per_store) for c in cols}
+    out = rows.withColumns(medians).filter(wanted)
+    return out.withColumns({c: F.coalesce(col(c), col(f"_med_{c}"), F.lit(0.0)) for c in cols}).drop(*medians)
+
+
+def fill_from_history(df: DataFrame, cols: list[str], history: DataFrame | None = None) -> DataFrame:
+    """P5 for rows and a history that are two tables; without a history, 0."""
+    if history is None:
+        return df.na.fill(0.0, subset=cols)
+    both = df.withColumn("_wanted", F.lit(True)).unionByName(
+        history.withColumn("_wanted", F.lit(False)), allowMissingColumns=True)
+    return filled(both, cols, col("_wanted")).select(df.columns)
 
 
 # ---------------------------------------------------------------- scenarios

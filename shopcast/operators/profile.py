@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopcast.functions.calendar import day_of_week
-from shopcast.functions.exact import (cents_to_units, dec, moment_std,
-                                      ratio_to_units, round_half_up, round_ratio)
+from shopcast.functions.exact import cents_to_units, dec, ratio_to_units, round_half_up, round_ratio
 from shopcast.operators.clean import open_days
 
 col = F.col
@@ -61,27 +63,27 @@ def _is_integral(df: DataFrame, c: str) -> bool:
 def profile(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
     """A5: count, mean, sample std, min, max per column, one row per column.
 
-    One pass: count, sum and sum of squares per column (exact decimals for
-    integer columns), then unpivoted.  Mean and std are rounded to
-    ``digits`` decimals.
+    One pass: count, sum (an exact decimal for integer columns) and the
+    mergeable centred moment of the std per column, then unpivoted.  Mean
+    and std are rounded to ``digits`` decimals.
     """
     aggs = []
     for c in cols:
         x = dec(col(c)) if _is_integral(df, c) else col(c).cast("double")
         aggs += [F.count(c).alias(f"{c}__n"), F.sum(x).alias(f"{c}__s1"),
-                 F.sum(x * x).alias(f"{c}__s2"),
+                 F.stddev_samp(col(c).cast("double")).alias(f"{c}__std"),
                  F.min(col(c)).cast("double").alias(f"{c}__min"),
                  F.max(col(c)).cast("double").alias(f"{c}__max")]
     wide = df.agg(*aggs)
     rows = []
     for c in cols:
-        n, s1, s2 = col(f"{c}__n"), col(f"{c}__s1"), col(f"{c}__s2")
+        n, s1 = col(f"{c}__n"), col(f"{c}__s1")
         if _is_integral(df, c):
             mean = ratio_to_units(s1, F.when(n > 0, n), digits)
         else:
             mean = round_half_up(s1 / n, digits)
         rows.append(F.struct(F.lit(c).alias("column"), n.alias("n"), mean.alias("mean"),
-                             round_half_up(moment_std(n, s1, s2), digits).alias("std"),
+                             round_half_up(col(f"{c}__std"), digits).alias("std"),
                              col(f"{c}__min").alias("min"), col(f"{c}__max").alias("max")))
     return wide.select(F.inline(F.array(*rows)))
 
@@ -141,43 +143,49 @@ def histogram(df: DataFrame, bins: int = 50, log: bool = False,
     return out.orderBy("bin")
 
 
-def correlations(df: DataFrame, cols: list[str], digits: int = 4,
-                 pairs: list[tuple[str, str]] | None = None) -> DataFrame:
-    """M1: Pearson r for pairs of numeric columns in ONE aggregation pass.
+def _complete(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[col(c).cast("double").alias(c) for c in cols]).na.drop()
 
-    Rows with a null in any of ``cols`` are left out.  A zero-variance
-    column gives r = 0 (not NaN, not an error).  Integer columns use exact
-    decimal moments.  Output (column_a, column_b, r) rounded to ``digits``.
-    """
-    data = df.select(*cols).na.drop()
-    pairs = pairs or list(combinations(cols, 2))
 
-    def x(c):
-        return dec(col(c)) if _is_integral(df, c) else col(c).cast("double")
+def correlations(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
+    """M1: Pearson r for all pairs of numeric columns.
 
-    aggs = [F.count("*").alias("n")]
-    for c in cols:
-        aggs += [F.sum(x(c)).alias(f"{c}__s"), F.sum(x(c) * x(c)).alias(f"{c}__q")]
-    for a, b in pairs:
-        aggs.append(F.sum(x(a) * x(b)).alias(f"{a}__x__{b}"))
-    wide = data.agg(*aggs)
-    n = col("n")
+    Rows with a null in any of ``cols`` are left out.  One Gramian of the
+    centred rows (dense vectors, so MLlib subtracts the means before it
+    multiplies and merges k x k matrices): no moment can overflow, and the
+    plan has k columns, not k^2 expressions.  A zero-variance column gives
+    r = 0 (not NaN, not an error), as do fewer than two rows.  Output
+    (column_a, column_b, r) rounded to ``digits``.
+    """
+    rows = _complete(df, cols).select(array_to_vector(F.array(*cols)).alias("v")).persist()
+    try:
+        matrix = (Correlation.corr(rows, "v").first()[0].toArray() if len(rows.take(2)) == 2
+                  else np.zeros((len(cols), len(cols))))
+    finally:
+        rows.unpersist()
+    pairs = [(cols[i], cols[j], float(np.nan_to_num(matrix[i, j]))) for i, j in combinations(range(len(cols)), 2)]
+    out = df.sparkSession.createDataFrame(pairs, "column_a string, column_b string, r double")
+    return out.withColumn("r", round_half_up(col("r"), digits))
+
+
+def target_correlations(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
+    """(feature, n, r): each column's r with ``target``, in one aggregate of
+    mergeable centred moments; 0 for a zero-variance column."""
+    data = _complete(df, [*cols, target])
+    aggs = [F.count("*").alias("n"), F.var_pop(target).alias("_vt")]
+    for i, c in enumerate(cols):
+        aggs += [F.var_pop(c).alias(f"_v{i}"), F.covar_pop(c, target).alias(f"_c{i}")]
     rows = []
-    for a, b in pairs:
-        va = (n * col(f"{a}__q") - col(f"{a}__s") * col(f"{a}__s")).cast("double")
-        vb = (n * col(f"{b}__q") - col(f"{b}__s") * col(f"{b}__s")).cast("double")
-        cov = (n * col(f"{a}__x__{b}") - col(f"{a}__s") * col(f"{b}__s")).cast("double")
-        r = F.when((va > 0) & (vb > 0), cov / F.sqrt(va * vb)).otherwise(F.lit(0.0))
-        rows.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                             round_half_up(r, digits).alias("r")))
-    return wide.select(F.inline(F.array(*rows)))
+    for i, c in enumerate(cols):
+        varies = (col(f"_v{i}") > 0) & (col("_vt") > 0)
+        r = F.when(varies, col(f"_c{i}") / (F.sqrt(f"_v{i}") * F.sqrt("_vt"))).otherwise(F.lit(0.0))
+        rows.append(F.struct(F.lit(c).alias("feature"), col("n"), r.alias("r")))
+    return data.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def correlation_with(df: DataFrame, target: str, cols: list[str],
                      digits: int = 4) -> DataFrame:
     """M2: each column's r with ``target``, sorted by r descending."""
-    others = [c for c in cols if c != target]
-    r = correlations(df, others + [target], digits, [(c, target) for c in others])
-    return (r.select(col("column_a").alias("feature"), "r",
-                     F.abs(col("r")).alias("abs_r"))
-            .orderBy(col("r").desc(), "feature"))
+    r = target_correlations(df, target, [c for c in cols if c != target])
+    return (r.select("feature", round_half_up(col("r"), digits).alias("r"))
+            .withColumn("abs_r", F.abs("r")).orderBy(col("r").desc(), "feature"))

@@ -2,7 +2,7 @@
 
 The F-test selection runs distributed in MLlib.  The report needs one
 Pearson r per candidate, which comes from a single aggregation pass
-(``profile.correlations``); only those few dozen scalars reach the driver,
+(``profile.target_correlations``); only those few dozen scalars reach the driver,
 where the F(1, n-2) tail probability is evaluated.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopcast.operators.clean import numeric_columns
-from shopcast.operators.profile import correlations
+from shopcast.operators.profile import target_correlations
 from shopcast.operators.train import EXCLUDE
 
 col = F.col
@@ -98,13 +98,12 @@ def feature_report(df: DataFrame, cols: list[str], selected: list[str],
     """M5: abs r with the label (4 digits), F = (n-2) r^2 / (1 - r^2 + 1e-12),
     p (6 digits), selected flag; sorted by abs r.  A zero-variance column
     has r = 0."""
-    r = correlations(df, cols + [label], 12, [(c, label) for c in cols]).collect()
-    n = df.select(*cols, label).na.drop().count()
+    chosen = set(selected)
     rows = []
-    for row in r:
-        rv = float(row["r"])
+    for row in target_correlations(df, label, cols).collect():
+        rv, n = row["r"], row["n"]
         fs = (n - 2) * rv * rv / (1.0 - rv * rv + 1e-12)
-        rows.append((row["column_a"], round(abs(rv), 4), fs, round(f_sf(fs, 1.0, n - 2.0), 6),
-                     row["column_a"] in set(selected)))
+        rows.append((row["feature"], round(abs(rv), 4), fs, round(f_sf(fs, 1.0, n - 2.0), 6),
+                     row["feature"] in chosen))
     spark = df.sparkSession
     return spark.createDataFrame(rows, REPORT_SCHEMA).orderBy(col("abs_corr").desc(), "feature")

@@ -22,7 +22,7 @@ from shopcast.operators import scoring as SC
 from shopcast.operators.clean import in_years
 from shopcast.plans import reports as R
 from shopcast.plans import roundtrips as RT
-from shopcast.sources.tables import daily_sales, stores
+from shopcast.sources.tables import daily_sales, last_day, stores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,8 +57,9 @@ HORIZON_DAYS = 30
 
 
 def _horizon(spark, d):
-    """First and last forecast day: the days after the last history day."""
-    last = daily_sales(spark, d).agg(F.max("date").alias("d")).first()["d"]
+    """First and last forecast day: the days after the last history day, the
+    largest value of one column of the raw table."""
+    last = last_day(spark, d)
     return str(last + timedelta(days=1)), str(last + timedelta(days=HORIZON_DAYS))
 
 
@@ -92,8 +93,27 @@ def _future_rows(spark, d):
     return FC.future_rows(history, FC.promo_pattern(cycle, *days), *days)
 
 
+def _future_features_gaps(spark, d):
+    """P5 at work: a third of the last ten days has no figures."""
+    start, end = _horizon(spark, d)
+    gap = (F.datediff(F.lit(start).cast("date"), "date") <= 10) & ((F.col("store") + F.dayofmonth("date")) % 3 == 0)
+    history = _clean_table(spark, d)
+    planted = history.withColumns({c: F.when(~gap, F.col(c)) for c in ("sales_cents", "customers")})
+    return FC.future_features(planted, start, end)
+
+
+def _categories(spark, d):
+    seen = C.clean_join(FE.category_rows(daily_sales(spark, d)), stores(spark, d))
+    return FE.category_table(seen, ("day_of_week",) + FE.CATEGORICAL)
+
+
+def _category_table(spark, d):
+    from shopcast.session import materialize
+    return materialize(_categories(spark, d), "categories")
+
+
 def _split(spark, d):
-    feats = FE.build_features(_clean_table(spark, d))
+    feats = FE.build_features(_clean_table(spark, d), cats={})   # which rows stay, not which columns
     return TR.split_counts(feats, 0.8)
 
 
@@ -120,7 +140,8 @@ STREAM_FILES = 100
 
 def _stream_out(spark, d):
     """The days of one year as a table with a folder each, scored by the
-    stream, ``STREAM_FILES`` files to a trigger; the output folder."""
+    stream, ``STREAM_FILES`` files to a trigger and a trigger as soon as the
+    last one is done; the output folder."""
     from shopcast.session import run_dir
     from shopcast.sinks.tables import write_table
     from shopcast.streaming.anomaly import score_directory
@@ -128,7 +149,7 @@ def _stream_out(spark, d):
     facts = _year_sales(spark, d, STREAM_YEAR)
     write_table(facts.repartition("date"), f"{base}/input", partition_by=("date",))
     return score_directory(spark, f"{base}/input", _baseline(spark, d), f"{base}/out", f"{base}/checkpoint",
-                           max_files=STREAM_FILES)
+                           max_files=STREAM_FILES, trigger="0 seconds")
 
 
 def _stream_scored(spark, d):
@@ -227,8 +248,7 @@ def queries() -> dict[str, Query]:
         "correlation_with_sales": lambda spark, d: PR.correlation_with(
             _clean(spark, d), "sales_cents", CORR_COLS),
         "calendar_features": _sales(FE.calendar_features),
-        "one_hot": lambda spark, d: (lambda c: FE.one_hot(
-            c, FE.feature_categories(c), FE.DROP_FIRST))(_clean(spark, d)),
+        "one_hot": lambda spark, d: FE.one_hot_wide(_clean(spark, d), _category_table(spark, d)),
         "lags": _sales(lambda s: FE.add_lags(s).select(
             "store", "date", *[f"{p}_lag_{k}" for k in FE.LAGS
                                for p in ("sales", "customers")])),
@@ -247,8 +267,7 @@ def queries() -> dict[str, Query]:
         "stream_anomalies": _stream_anomalies,
         "correlation_matrix": lambda spark, d: PR.correlations(
             _clean(spark, d), CORR_COLS + ["sales_cents"]),
-        "categories": lambda spark, d: FE.category_table(
-            FE.add_calendar(_clean(spark, d)), ("day_of_week",) + FE.CATEGORICAL),
+        "categories": _categories,
         "eligible_stores": lambda spark, d: FC.eligible_stores(_hist(spark, d)),
         "forecast_detail": lambda spark, d: FC.forecast_detail(_forecast(spark, d)),
         "promo_streaks": lambda spark, d: FC.promo_streaks(_hist(spark, d)),
@@ -259,6 +278,7 @@ def queries() -> dict[str, Query]:
         "future_rows": _future_rows,
         "future_features": lambda spark, d: FC.future_features(
             _clean_table(spark, d), *_horizon(spark, d)),
+        "future_features_gaps": _future_features_gaps,
         "forecast": lambda spark, d: _forecast(spark, d).drop("sales_cents"),
         "uplift": lambda spark, d: FC.uplift(_forecast(spark, d)),
         "extra_staff": lambda spark, d: FC.extra_staff(_forecast(spark, d)),

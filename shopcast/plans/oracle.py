@@ -460,7 +460,7 @@ FROM cycle c, dates d"""
 MED_SALES = f"""
 SELECT store, CAST(MAX(CASE WHEN rn = (n + 1) // 2 THEN v END) + MAX(CASE WHEN rn = n // 2 + 1 THEN v END) AS BIGINT) AS h_med
 FROM (SELECT store, sales_cents AS v, ROW_NUMBER() OVER (PARTITION BY store ORDER BY sales_cents) AS rn,
-             COUNT(*) OVER (PARTITION BY store) AS n FROM h2) t
+             COUNT(*) OVER (PARTITION BY store) AS n FROM h2 WHERE sales_cents IS NOT NULL) t
 GROUP BY store"""
 
 SPC = """
@@ -468,7 +468,7 @@ SELECT store, (MAX(CASE WHEN rn = (n + 1) // 2 THEN v END) + MAX(CASE WHEN rn =
 FROM (SELECT store, v, ROW_NUMBER() OVER (PARTITION BY store ORDER BY v) AS rn,
              COUNT(*) OVER (PARTITION BY store) AS n
       FROM (SELECT store, CASE WHEN customers = 0 THEN CAST(0 AS DOUBLE)
-                  ELSE CAST(sales_cents AS DOUBLE) / CAST(customers * 100 AS DOUBLE) END AS v FROM h2) x) t
+                  ELSE CAST(sales_cents AS DOUBLE) / CAST(customers * 100 AS DOUBLE) END AS v FROM h2) x WHERE v IS NOT NULL) t
 GROUP BY store"""
 
 CDOW = """
@@ -482,7 +482,7 @@ SELECT store, CAST(isodow(date) AS BIGINT) AS day_of_week, CAST(promo AS BIGINT)
 FROM h2 WHERE customers > 0 GROUP BY 1, 2, 3"""
 
 
-def _future_features_sql() -> str:
+def _future_features_sql(planted: bool = False) -> str:
     lags = []
     for k in (1, 3, 7, 14):
         lags += [f"LAG(h, {k}) OVER ({WS}) AS hl{k}", f"LAG(customers, {k}) OVER ({WS}) AS cl{k}"]
@@ -499,28 +499,40 @@ def _future_features_sql() -> str:
         out += [f"CASE WHEN n{w} > 0 THEN CAST(s{w} AS DOUBLE) / CAST(n{w} * 200 AS DOUBLE) END AS sales_roll_mean_{w}",
                 f"CASE WHEN n{w} > 1 THEN {msd(f'n{w}', f's{w}', f'q{w}')} / CAST(200 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS sales_roll_std_{w}",
                 f"CASE WHEN n{w} > 0 THEN CAST(m{w} AS DOUBLE) / CAST(200 AS DOUBLE) END AS sales_roll_max_{w}"]
+    names = [c.split(' AS ')[-1] for c in out] + ["sales_per_customer"]
+    mids = ", ".join(f"(quantile_disc({c}, 0.5) - quantile_disc(-{c}, 0.5)) / CAST(2 AS DOUBLE) AS {c}" for c in names)
     body = f"""
-SELECT store, date, {', '.join(c.split(' AS ')[-1] for c in out)},
+SELECT f.store, f.date, {', '.join(f'COALESCE(f.{c}, g.{c}, CAST(0 AS DOUBLE)) AS {c}' for c in names)}
+FROM feats f LEFT JOIN (SELECT store, {mids} FROM feats WHERE is_future = 0 GROUP BY store) g ON g.store = f.store
+WHERE f.is_future = 1"""
+    feats = f"""
+SELECT store, date, is_future, {', '.join(names[:-1])},
        COALESCE(CASE WHEN customers_lag_1 <> 0 THEN sales_lag_1 / customers_lag_1 END, spc_median) AS sales_per_customer
-FROM (SELECT w.store, w.date, {', '.join(out)}, sp.spc_median
+FROM (SELECT w.store, w.date, w.is_future, {', '.join(out)}, sp.spc_median
       FROM (SELECT l.*, {', '.join('r.' + c.split(' AS ')[-1] for c in rolls)}
             FROM (SELECT store, date, is_future, {', '.join(lags)} FROM u) l
             JOIN (SELECT store, date, {', '.join(rolls)} FROM u WHERE open = 1) r
                  ON r.store = l.store AND r.date = l.date) w
       LEFT JOIN cdow cd ON cd.store = w.store AND cd.day_of_week = isodow(w.date)
-      LEFT JOIN spc sp ON sp.store = w.store
-      WHERE w.is_future = 1) f"""
+      LEFT JOIN spc sp ON sp.store = w.store) f"""
     u = f"""
 SELECT store, date, 2 * sales_cents AS h, customers, open, 0 AS is_future FROM h2
 UNION ALL
 SELECT e.store, d.date, m.h_med AS h, CAST(NULL AS BIGINT) AS customers, 1 AS open, 1 AS is_future
 FROM elig e CROSS JOIN dates d JOIN med m ON m.store = e.store"""
-    return with_base(body, *FC_BASE, ("med", MED_SALES), ("u", u), ("cdow", CDOW), ("spc", SPC))
+    base = PLANTED_BASE if planted else FC_BASE
+    return with_base(body, *base, ("med", MED_SALES), ("u", u), ("cdow", CDOW), ("spc", SPC), ("feats", feats))
 
 
 FC_BASE = (("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN), ("hist", HIST),
            ("elig", ELIG), ("h2", "SELECT h.* FROM hist h JOIN elig USING (store)"),
            ("dates", DATES))
+# the key with planted nulls: no figures on a third of the last ten days
+PLANTED_BASE = tuple((n, t if n != "h2" else """
+SELECT h.* REPLACE (CASE WHEN gap THEN NULL ELSE sales_cents END AS sales_cents,
+                    CASE WHEN gap THEN NULL ELSE customers END AS customers)
+FROM (SELECT h.*, h.date > (SELECT MAX(date) FROM daily_sales) - 10 AND (h.store + day(h.date)) % 3 = 0 AS gap
+      FROM hist h JOIN elig USING (store)) h""") for n, t in FC_BASE)
 CYC = (("streaks", STREAKS), ("cycle", CYCLE))
 
 FUTURE_ROWS = f"""
@@ -571,6 +583,7 @@ FORECASTING = {
     "basket": with_base(BASKET.replace("FROM h2", "FROM hist"), *FC_BASE),
     "future_rows": with_base(FUTURE_ROWS, *FC_BASE, *CYC, ("pattern", PATTERN)),
     "future_features": _future_features_sql(),
+    "future_features_gaps": _future_features_sql(planted=True),
     "forecast": with_base("SELECT scenario, store, date, promo, sales, customers FROM fc", *FC),
     "uplift": with_base(f"""
 SELECT store, CAST(b AS DOUBLE) / CAST(100 AS DOUBLE) AS total_base,

@@ -20,6 +20,7 @@ from shopcast.functions.exact import cents_to_units, dec, ratio_to_units, round_
 from shopcast.operators.clean import in_years, open_days
 from shopcast.operators.joins import semi_join_top, with_scalar
 from shopcast.plans.ordering import ntile
+from shopcast.session import materialize
 
 col = F.col
 
@@ -164,16 +165,18 @@ def top_stores_by_sales(sales: DataFrame, n: int) -> DataFrame:
     """J4 inner part: the ``n`` stores with the largest total (ties by id).
     ``orderBy().limit()`` is a TakeOrderedAndProject: per-task top-n, then
     one merge of at most n rows per task."""
-    return (_per_store(open_days(sales)).orderBy(col("s").desc(), "store")
-            .limit(n).select("store"))
+    totals = open_days(sales).groupBy("store").agg(F.sum(dec(col("sales_cents"))).alias("s"))
+    return totals.orderBy(col("s").desc(), "store").limit(n).select("store")
 
 
 def report_cumulative(sales: DataFrame, n: int = 5) -> DataFrame:
     """Running sales total over open days for the ``n`` largest stores.
-    The top-n frame has at most n rows, so it is broadcast to the semi join;
-    each running window holds one store's days."""
-    top = top_stores_by_sales(sales, n)
-    rows = semi_join_top(sales.filter(col("open") == 1), top, "store")
+    The open days (three columns) are written once; the totals and the rows of the largest stores are read from
+    there, so the lines are scanned once.  The top-n frame has at most n
+    rows, so it is broadcast to the semi join; each running window holds one
+    store's days."""
+    days = materialize(sales.filter(col("open") == 1).select("store", "date", "open", "sales_cents"), "open-days")
+    rows = semi_join_top(days, top_stores_by_sales(days, n), "store")
     w = Window.partitionBy("store").orderBy("date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (rows.select("store", "date",

@@ -53,6 +53,12 @@ def daily_sales(spark: SparkSession, sf_dir: str, date_from: str | None = None,
                  .alias("school_holiday")))
 
 
+def last_day(spark: SparkSession, sf_dir: str):
+    """The last date of the fact table, read from one column of the raw one."""
+    li = _read(spark, sf_dir, "lineitem")
+    return li.agg(F.max("l_shipdate").cast("date").alias("d")).first()["d"]
+
+
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimension: store, store_type, assortment, competition_distance,
     promo_interval.  ``nation`` is the fixed 25-row table, so its join is a
