@@ -362,19 +362,19 @@ def forecast_kpis(fc: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- model path
-def future_feature_table(history: DataFrame, start: str, end: str,
-                         cats: dict[str, list[str]], promos: DataFrame | None = None,
-                         drop_first: dict | None = None) -> DataFrame:
-    """P2 + P4 + P5 for both scenarios: every column the feature builder
-    makes for training, for each (scenario, store, future day).  One-hot
-    columns use the category table stored with the model, so scoring builds
-    exactly the training columns."""
+def future_design(history: DataFrame, start: str, end: str, cats: dict[str, list[str]],
+                  promos: DataFrame | None = None, drop_first: dict | None = None,
+                  extra: DataFrame | None = None) -> DataFrame:
+    """P2 for both scenarios: calendar, promo, holiday and static columns of
+    each (scenario, store, future day), one-hot columns from the category
+    table that is kept with the model, and the columns of ``extra`` (store,
+    date, ...)."""
     from shopcast.operators.features import DROP_FIRST, one_hot_columns
     hist = cut_history(history, start)
-    promos = promos if promos is not None else scenario_promos(history, start, end)
-    feats = future_features(history, start, end)
-    rows = (promos.join(feats, ["store", "date"]).join(last_static(hist), "store", "left")
-            .withColumns(calendar_dict("date")))
+    rows = promos if promos is not None else scenario_promos(history, start, end)
+    if extra is not None:
+        rows = rows.join(extra, ["store", "date"])
+    rows = rows.join(last_static(hist), "store", "left").withColumns(calendar_dict("date"))
     rows = rows.withColumns({
         "promo_weekend": (col("promo") * col("is_weekend")).cast("long"),
         "promo_month": (col("promo") * col("month")).cast("long"),
@@ -383,6 +383,14 @@ def future_feature_table(history: DataFrame, start: str, end: str,
     return rows.select("*", *one_hot_columns(cats, drop_first or DROP_FIRST))
 
 
+def future_feature_table(history: DataFrame, start: str, end: str,
+                         cats: dict[str, list[str]], promos: DataFrame | None = None,
+                         drop_first: dict | None = None) -> DataFrame:
+    """P2 + P4 + P5 for both scenarios: every column the feature builder
+    makes for training, for each (scenario, store, future day)."""
+    return future_design(history, start, end, cats, promos, drop_first, future_features(history, start, end))
+
+
 def predict_with_model(model, table: DataFrame) -> DataFrame:
     """One distributed ``transform`` over every store and scenario;
     predictions become integer cents (half-up)."""
@@ -395,5 +403,9 @@ def predict_with_model(model, table: DataFrame) -> DataFrame:
 def forecast_with_model(history: DataFrame, model, cats: dict[str, list[str]],
                         start: str, end: str) -> DataFrame:
     """P7 with the trained model: both scenarios, clipped, with customers."""
-    table = future_feature_table(history, start, end, cats)
+    return forecast_design(history, future_feature_table(history, start, end, cats), model, start)
+
+
+def forecast_design(history: DataFrame, table: DataFrame, model, start: str) -> DataFrame:
+    """P1 and P6 on a table of future rows."""
     return finish_forecast(predict_with_model(model, table), history, start)

@@ -135,19 +135,19 @@ def _anoms(spark, d):
     return SC.anomalies(SC.score(_year_sales(spark, d, STREAM_YEAR), _baseline(spark, d)))
 
 
-STREAM_FILES = 100
+STREAM_FILES = 16
 
 
 def _stream_out(spark, d):
-    """The days of one year as a table with a folder each, scored by the
-    stream, ``STREAM_FILES`` files to a trigger and a trigger as soon as the
-    last one is done; the output folder."""
+    """One year as a table with a folder and file for each seven days, scored
+    by the stream, ``STREAM_FILES`` files to a trigger and a trigger as soon
+    as the last one is done; the output folder."""
     from shopcast.session import run_dir
     from shopcast.sinks.tables import write_table
     from shopcast.streaming.anomaly import score_directory
     base = run_dir(spark, "stream")
-    facts = _year_sales(spark, d, STREAM_YEAR)
-    write_table(facts.repartition("date"), f"{base}/input", partition_by=("date",))
+    facts = _year_sales(spark, d, STREAM_YEAR).withColumn("part", F.floor((F.dayofyear("date") - 1) / 7))
+    write_table(facts.repartition("part"), f"{base}/input", partition_by=("part",))
     return score_directory(spark, f"{base}/input", _baseline(spark, d), f"{base}/out", f"{base}/checkpoint",
                            max_files=STREAM_FILES, trigger="0 seconds")
 
@@ -167,14 +167,33 @@ def _stream_totals(spark, d):
     return stream_totals(spark, _stream_out(spark, d))
 
 
+def _report(data, columns, chosen, label):
+    from shopcast.operators import select as SE
+    return SE.feature_report(data, columns, chosen, label).withColumn("f_stat", F.round("f_stat", 2))
+
+
 def _f_tests(spark, d):
     """M3-M5 on the cleaned numeric columns: MLlib's F-test and the report."""
     from shopcast.operators import select as SE
     data = _clean_table(spark, d).select(*CORR_COLS, "sales_cents")
     columns = SE.candidates(data, ("sales_cents",))
-    chosen = SE.select_features(data.na.drop(), columns, "sales_cents")
-    return SE.feature_report(data, columns, chosen, "sales_cents").select(
-        "feature", "abs_corr", F.round("f_stat", 2).alias("f_stat"), "selected")
+    return _report(data, columns, SE.select_features(data.na.drop(), columns, "sales_cents"), "sales_cents")
+
+
+def _fold_rows(spark, d):
+    """The tuning sample of the open days, with folds and weekdays."""
+    rows = daily_sales(spark, d).filter("open = 1 and sales_cents > 0")
+    return TR.with_folds(FE.add_calendar(TR.tuning_sample(rows)))
+
+
+def _fold_counts(spark, d):
+    return _fold_rows(spark, d).groupBy("fold").agg(
+        F.count("*").alias("n"), F.min("date").alias("first_date"), F.sum("sales_cents").alias("sales_cents"))
+
+
+def _fold_metrics(spark, d):
+    m = TR.fold_metrics(_fold_rows(spark, d))
+    return m.select("fold", "n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
 
 
 def _mean_metrics(spark, d):
@@ -188,13 +207,43 @@ def _mean_metrics(spark, d):
 
 def _run(spark, d):
     from shopcast.plans.modeling import run_training
-    return run_training(_clean_table(spark, d), key=f"{id(spark)}:{d}")
+    return run_training(_clean_table(spark, d), key=d)
 
 
 def _feature_report(spark, d):
-    from shopcast.operators.select import feature_report
-    r = _run(spark, d)
-    return feature_report(r["features"], r["candidates"], r["selected"])
+    """M3-M5 on the whole feature table; needs no training."""
+    from shopcast.plans.modeling import feature_run
+    r = feature_run(_clean_table(spark, d))
+    return _report(r["features"], r["candidates"], r["selected"], "sales")
+
+
+def _linear(spark, d):
+    """A linear run, saved and loaded again (IO5, IO6): (run, loaded)."""
+    from shopcast.plans import modeling
+    from shopcast.session import run_dir
+    run, out = modeling.run_linear(_clean_table(spark, d)), run_dir(spark, "linear")
+    modeling.save_run(spark, run, out)
+    return run, modeling.load_best(spark, out)
+
+
+def _linear_comparison(spark, d):
+    m = TR.model_comparison(spark, _linear(spark, d)[0]["metrics"])
+    return m.select("model", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2")], "best")
+
+
+def _linear_importance(spark, d):
+    """T8 of the loaded model, by the loaded feature list."""
+    loaded = _linear(spark, d)[1]
+    return TR.importance(spark, loaded["best"], loaded["model"], loaded["features"]).withColumn(
+        "importance", F.round("importance", 4))
+
+
+def _linear_forecast(spark, d):
+    """P1 with the loaded model and the loaded categories, then P6."""
+    loaded, days = _linear(spark, d)[1], _horizon(spark, d)
+    history = _clean_table(spark, d)
+    table = FC.future_design(history, *days, loaded["cats"])
+    return FC.forecast_design(history, table, loaded["model"], days[0]).drop("sales_cents")
 
 
 def _model_comparison(spark, d):
@@ -297,6 +346,11 @@ def queries() -> dict[str, Query]:
         "tuning_sample": _sales(TR.tuning_sample),
         "mean_metrics": _mean_metrics,
         "f_tests": _f_tests,
+        "fold_counts": _fold_counts,
+        "fold_metrics": _fold_metrics,
+        "linear_comparison": _linear_comparison,
+        "linear_importance": _linear_importance,
+        "linear_forecast": _linear_forecast,
         "feature_report": _feature_report,
         "model_comparison": _model_comparison,
         "importance": _importance,

@@ -8,39 +8,81 @@ so the comparison, importance and forecast keys train once.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from shopcast.functions.exact import cents_to_units
 from shopcast.operators import features as FE
 from shopcast.operators import select as SE
 from shopcast.operators import train as TR
+from shopcast.session import materialize
 
 _RUNS: dict[str, dict] = {}
 
 
-def run_training(clean: DataFrame, key: str | None = None, label: str = "sales",
-                 parallelism: int = 4, partitions: int | None = None) -> dict:
-    if key is not None and key in _RUNS:
-        return _RUNS[key]
+def feature_run(clean: DataFrame, label: str = "sales") -> dict:
+    """M3, M4: the written feature table, its candidates and the selected
+    ones.  Selection runs over the whole feature table, as the original
+    pipeline does (it selects before it splits)."""
     cats = FE.feature_categories(clean)
-    feats = FE.build_features(clean, cats).persist()
-    train, test = TR.chronological_split(feats, 0.8)
-    train, test = TR.fit_input(train, partitions), TR.fit_input(test, partitions)
+    feats = materialize(FE.build_features(clean, cats), "features")
     cands = SE.candidates(feats)
-    # selection runs over the whole feature table, as the original pipeline
-    # does (it selects before it splits)
-    selected = SE.select_features(feats, cands, label)
-    sample = TR.fit_input(TR.tuning_sample(train), partitions)
-    rf = TR.tune_forest(sample, selected, label, parallelism)
-    gbt = TR.tune_boosted(sample, selected, label, parallelism)
-    models, metrics = TR.train_all(train, test, selected, rf, gbt, label)
-    run = {"cats": cats, "features": feats, "train": train, "test": test,
-           "candidates": cands, "selected": selected, "rf": rf, "gbt": gbt,
-           "models": models, "metrics": metrics, "best": TR.best_model(metrics)}
+    return {"cats": cats, "features": feats, "candidates": cands,
+            "selected": SE.select_features(feats, cands, label)}
+
+
+def run_training(clean: DataFrame, key: str | None = None, label: str = "sales",
+                 parallelism: int = 4, partitions: int | None = None) -> dict:
+    """Everything from features to the best model.  With a ``key`` the run
+    (fitted models, metrics, the path of the feature table) is kept for as
+    long as the Spark application lives; no frame stays persisted."""
+    if key is not None:
+        key = f"{clean.sparkSession.sparkContext.applicationId}:{key}"
+        if key in _RUNS:
+            return _RUNS[key]
+    run = feature_run(clean, label)
+    train, test = TR.chronological_split(run["features"], 0.8, materialize_input=False)
+    held = [TR.fit_input(train, partitions), TR.fit_input(test, partitions)]
+    held.append(TR.fit_input(TR.tuning_sample(held[0]), partitions))
+    try:
+        rf = TR.tune_forest(held[2], run["selected"], label, parallelism)
+        gbt = TR.tune_boosted(held[2], run["selected"], label, parallelism)
+        models, metrics = TR.train_all(held[0], held[1], run["selected"], rf, gbt, label)
+    finally:
+        for frame in held:
+            frame.unpersist()
+    run |= {"rf": rf, "gbt": gbt, "models": models, "metrics": metrics, "best": TR.best_model(metrics)}
     if key is not None:
         _RUNS[key] = run
     return run
 
 
+#: What the linear run learns from: columns that are known for a future day.
+LINEAR_FEATURES = ("promo", "is_weekend", "month", "school_holiday")
+LINEAR_CATEGORICAL = ("store_type", "assortment")
+
+
+def run_linear(clean: DataFrame, label: str = "sales") -> dict:
+    """Two ridge models on columns that are known in advance: the calendar,
+    promo and store columns, and promo alone.  Same stages, split, settings
+    and metrics as the training run, with results that can be had in closed
+    form."""
+    rows = clean.filter((F.col("open") == 1) & (F.col("sales_cents") > 0))
+    cats = FE.categories(rows, LINEAR_CATEGORICAL)
+    rows = FE.add_calendar(rows).select(
+        "store", "date", *LINEAR_FEATURES, *FE.one_hot_columns(cats, FE.DROP_FIRST),
+        cents_to_units(F.col("sales_cents")).alias(label))
+    features = [c for c in rows.columns if c not in ("store", "date", label)]
+    train, test = TR.chronological_split(rows, 0.8)
+    models, metrics = {}, {}
+    for name, cols in {"known": features, "promo": features[:1]}.items():
+        models[name] = Pipeline(stages=[*TR.feature_stages(cols), TR.linear_regression(label)]).fit(train)
+        metrics[name] = TR.evaluate(models[name], test, label)
+    return {"cats": cats, "selected": features, "models": models, "metrics": metrics,
+            "best": TR.best_model(metrics)}
+
+
 def save_run(spark, run: dict, out_dir: str) -> None:
     """IO5 + IO6: keep what scoring needs next to the best model: the chosen
     feature list, the one-hot category table, the model comparison (which

@@ -664,6 +664,23 @@ SELECT scenario, strftime(date, '%Y-%m-%d') AS date, store, promo,
 }
 
 
+def _f_report_sql(moments: str, f: str) -> str:
+    """The report from (feature, n, r): F, and its tail as twice that of
+    Student's t: the density integrated by Simpson's rule from 0 to
+    sqrt(F), 2,000 steps.  The constant goes by lgamma."""
+    return f"""
+SELECT feature, ROUND(abs(r), 4) AS abs_corr, ROUND(f, 2) AS f_stat, p AS p_value, p_exact < 0.05 AND abs(r) > 0 AS selected
+FROM (SELECT *, ROUND(p_exact, 6) AS p FROM (
+  SELECT feature, any_value(r) AS r, any_value(f) AS f,
+         greatest(0.0, 1.0 - 2.0 * any_value(c) * any_value(h) / 3.0
+           * SUM(CASE WHEN i IN (0, 2000) THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END
+                 * exp(-(v + 1.0) / 2.0 * ln(1.0 + pow(i * h, 2) / v)))) AS p_exact
+  FROM (SELECT *, CAST(n - 2 AS DOUBLE) AS v, least(sqrt(f), 60.0) / 2000.0 AS h,
+               exp(lgamma((n - 1) / 2.0) - lgamma((n - 2) / 2.0)) / sqrt((n - 2) * pi()) AS c
+        FROM (SELECT *, {f} AS f FROM ({moments}) a) b) t, range(2001) g(i)
+  GROUP BY feature) x) y"""
+
+
 def _f_tests_sql() -> str:
     corr = _corr_sql()
     ctes, rows = corr[:corr.index("SELECT 'store' AS feature")], []
@@ -672,12 +689,128 @@ def _f_tests_sql() -> str:
         cov = f"CAST(n * {c}_xy - {c}_s * ys AS DOUBLE)"
         rows.append(f"SELECT '{c}' AS feature, n, CASE WHEN {va} > 0 AND {vb} > 0 "
                     f"THEN {cov} / sqrt({va} * {vb}) ELSE 0.0 END AS r FROM m")
-    # the 5 % limit of F(1, v) is the square of the two-sided t limit,
-    # here by its expansion around the normal one
-    return f"""{ctes}
-SELECT feature, ROUND(abs(r), 4) AS abs_corr, ROUND(f, 2) AS f_stat,
-       f > POWER(1.959963985 + (POWER(1.959963985, 3) + 1.959963985) / (4.0 * (n - 2)), 2) AS selected
-FROM (SELECT *, (n - 2) * r * r / (CAST(1 AS DOUBLE) - r * r) AS f FROM ({" UNION ALL ".join(rows)}) a) b"""
+    return ctes + _f_report_sql(" UNION ALL ".join(rows), "(n - 2) * r * r / (CAST(1 AS DOUBLE) - r * r + 1e-12)")
+
+
+# one-hot columns of the driver tables' categories, the first of each dropped
+HOT_TYPES = {f"store_type_t{t}": f"store_type = 't{t}'" for t in range(1, 5)}
+HOT_TYPES |= {f"assortment_a{a}": f"assortment = 'a{a}'" for a in (1, 2)}
+HOT_DAYS = {f"day_of_week_{k}": f"isodow(date) = {k}" for k in range(1, 8)} | {"state_holiday_O": "state_holiday = 'O'"}
+
+
+def _flags(tests: dict[str, str]) -> str:
+    return ", ".join(f"CAST(CASE WHEN {t} THEN 1 ELSE 0 END AS BIGINT) AS {n}" for n, t in tests.items())
+
+
+def _feature_report_sql() -> str:
+    """The whole feature table in SQL, then one corr() for each column."""
+    lags, rolls = [], []
+    for k in (1, 3, 7, 14):
+        lags += [f"{units(f'LAG(sales_cents, {k}) OVER ({W_STORE})')} AS sales_lag_{k}",
+                 f"LAG(customers, {k}) OVER ({W_STORE}) AS customers_lag_{k}"]
+    for w in (7, 14):
+        fr = f"OVER ({W_STORE} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)"
+        rolls += [f"AVG(sales_cents / CAST(100 AS DOUBLE)) {fr} AS sales_roll_mean_{w}",
+                  f"STDDEV_SAMP(sales_cents / CAST(100 AS DOUBLE)) {fr} AS sales_roll_std_{w}",
+                  f"{units(f'MAX(sales_cents) {fr}')} AS sales_roll_max_{w}"]
+    names = ["open", "promo", "school_holiday", "competition_distance", "year", "month", "week_of_year", "is_weekend",
+             *(c.split(" AS ")[-1] for c in lags + rolls), "promo_weekend", "promo_month", *HOT_DAYS, *HOT_TYPES]
+    feats = f"""
+SELECT *, {CAL.replace("CAST(quarter(date) AS BIGINT) AS quarter, ", "").replace(
+        "CAST(isodow(date) AS BIGINT) AS day_of_week,", "")},
+       promo * CASE WHEN isodow(date) IN (6, 7) THEN 1 ELSE 0 END AS promo_weekend, promo * month(date) AS promo_month,
+       {_flags(HOT_DAYS)}, {_flags(HOT_TYPES)}, {units('sales_cents')} AS y
+FROM (SELECT *, {', '.join(rolls)} FROM (SELECT *, {', '.join(lags)} FROM clean) a WHERE open = 1) b
+WHERE customers_lag_14 IS NOT NULL AND sales_roll_std_7 IS NOT NULL"""
+    rows = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, COUNT(*) AS n, CASE WHEN stddev_pop({c}) > 0 THEN corr(CAST({c} AS DOUBLE), y) "
+        f"ELSE 0.0 END AS r FROM feats" for c in names)
+    return with_base(_f_report_sql(rows, "(n - 2) * r * r / (CAST(1 AS DOUBLE) - r * r + 1e-12)"),
+                     ("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN), ("feats", feats))
+
+
+# ---------------------------------------------------------------- ridge
+KNOWN = ["promo", "is_weekend", "month", "school_holiday", *HOT_TYPES]
+LINEAR_ROWS = f"""
+SELECT store, date, promo, CASE WHEN isodow(date) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend, month(date) AS month,
+       school_holiday, {_flags(HOT_TYPES)}, {units('sales_cents')} AS y,
+       ROW_NUMBER() OVER (ORDER BY date, store) <= FLOOR(COUNT(*) OVER () * 0.8) AS train
+FROM clean WHERE {OPEN}"""
+
+
+def _ridge(name: str, feats: list[str]) -> tuple[tuple[str, str], ...]:
+    """Ridge in closed form: with R the correlations of the features and r
+    those with the label, (R + l I) b = r, l = 0.01 / sd(label), solved by
+    Gauss-Jordan elimination (the matrix is positive definite)."""
+    k = len(feats)
+    sd = [f"stddev_pop({x}) AS s{i}, AVG({x}) AS a{i}" for i, x in enumerate(feats)]
+    cov = [f"covar_pop({x}, {z}) AS c{i}_{j}" for i, x in enumerate(feats) for j, z in enumerate(feats) if j > i]
+    xy = [f"covar_pop({x}, y) AS y{i}" for i, x in enumerate(feats)]
+
+    def cell(i: int, j: int) -> str:
+        if i == j:
+            return "1.0 + 0.01 / sy"
+        return f"c{min(i, j)}_{max(i, j)} / (s{i} * s{j})"
+    rows = ", ".join("[" + ", ".join([cell(i, j) for j in range(k)] + [f"y{i} / (s{i} * sy)"]) + "]" for i in range(k))
+    moments = f"SELECT COUNT(*) AS n, AVG(y) AS ay, stddev_pop(y) AS sy, {', '.join(sd + cov + xy)} FROM lin WHERE train"
+    steps = f"""
+SELECT 0 AS p, [{rows}] AS m FROM {name}_m
+UNION ALL
+SELECT p + 1, list_transform(range(1, {k + 1}), lambda i: list_transform(range(1, {k + 2}), lambda j:
+  CASE WHEN i = p + 1 THEN m[i][j] / m[p + 1][p + 1] ELSE m[i][j] - m[i][p + 1] * m[p + 1][j] / m[p + 1][p + 1] END))
+FROM {name}_s WHERE p < {k}"""
+    solved = f"SELECT {', '.join(f'm[{i + 1}][{k + 1}] AS b{i}' for i in range(k))} FROM {name}_s WHERE p = {k}"
+    slopes = ", ".join(f"b{i} * sy / s{i} AS w{i}" for i in range(k))
+    coefs = ", ".join(f"b{i} * sy * sqrt(CAST(n AS DOUBLE) / (n - 1)) AS k{i}" for i in range(k))
+    icept = " - ".join(["ay", *(f"b{i} * sy / s{i} * a{i}" for i in range(k))])
+    model = f"SELECT {slopes}, {coefs}, {icept} AS w FROM {name}_m, {name}_b"
+    return ((f"{name}_m", moments), (f"{name}_s(p, m)", steps), (f"{name}_b", solved), (name, model))
+
+
+def _predicted(feats: list[str]) -> str:
+    return " + ".join(["w", *(f"w{i} * {x}" for i, x in enumerate(feats))])
+
+
+def _linear_sql(body: str, *extra: tuple[str, str]) -> str:
+    text = with_base(body, *_CLEAN, ("lin", LINEAR_ROWS), *_ridge("known", KNOWN), *_ridge("promo_only", KNOWN[:1]), *extra)
+    return text.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _linear_keys() -> dict[str, str]:
+    def scores(name, model, feats):
+        return f"""
+SELECT '{name}' AS model, ROUND(sqrt(SUM(e * e) / COUNT(*)), 4) AS rmse, ROUND(SUM(abs(e)) / COUNT(*), 4) AS mae,
+       ROUND(1.0 - SUM(e * e) / (var_pop(y) * COUNT(*)), 4) AS r2
+FROM (SELECT y, y - ({_predicted(feats)}) AS e FROM lin, {model} WHERE NOT train) x"""
+    coefs = " UNION ALL ".join(f"SELECT '{x}' AS feature, k{i} AS k FROM known" for i, x in enumerate(KNOWN))
+    design = f"""
+SELECT p.*, CASE WHEN isodow(p.date) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend, month(p.date) AS month,
+       0 AS school_holiday, {_flags(HOT_TYPES)}
+FROM promos p LEFT JOIN (SELECT store, arg_max(store_type, date) AS store_type, arg_max(assortment, date) AS assortment
+                         FROM hist GROUP BY store) l ON l.store = p.store"""
+    fc = f"""
+SELECT p.scenario, p.store, p.date, p.promo, CAST(GREATEST(pc, 0) AS DOUBLE) / CAST(100 AS DOUBLE) AS sales,
+       CAST(CASE WHEN pc > 0 THEN FLOOR((CAST(pc AS DOUBLE) / CAST(100 AS DOUBLE))
+                 / COALESCE(b.basket, CAST(10 AS DOUBLE))) ELSE 0 END AS BIGINT) AS customers
+FROM (SELECT d.*, CAST(FLOOR(({_predicted(KNOWN)}) * 100.0 + 0.5) AS BIGINT) AS pc FROM design d, known) p
+LEFT JOIN basket b ON b.store = p.store AND b.day_of_week = isodow(p.date) AND b.promo = p.promo"""
+    return {
+        "linear_comparison": _linear_sql(f"""
+SELECT *, rmse = MIN(rmse) OVER () AS best
+FROM ({scores('known', 'known', KNOWN)} UNION ALL {scores('promo', 'promo_only', KNOWN[:1])}) s"""),
+        "linear_importance": _linear_sql(f"""
+SELECT 'known' AS model, ROW_NUMBER() OVER (ORDER BY abs(k) DESC, feature) AS rank, feature, ROUND(k, 4) AS importance
+FROM ({coefs}) c"""),
+        "linear_forecast": _linear_sql(fc, *FC[2:-1], ("design", design)),
+    }
+
+
+FOLD_ROWS = """
+SELECT *, CAST(CAST('0x' || substr(md5(store || '|' || strftime(date, '%Y-%m-%d') || '|42|fold'), 1, 8) AS BIGINT) % 2 AS INTEGER) AS fold,
+       isodow(date) AS dow
+FROM daily_sales
+WHERE open = 1 AND sales_cents > 0
+  AND CAST('0x' || substr(md5(store || '|' || strftime(date, '%Y-%m-%d') || '|42'), 1, 8) AS BIGINT) < 429496729"""
 
 
 _CLEAN = (("clean_stores", CLEAN_STORES), ("clean", CLEAN_JOIN))
@@ -703,7 +836,7 @@ SELECT store, date, CASE WHEN customers = 0 THEN CAST(0 AS DOUBLE)
 }
 MODELING = {
     "stream_totals": with_base(f"""
-SELECT (SELECT CAST(CEIL(COUNT(DISTINCT date) / 100.0) AS BIGINT) FROM daily_sales WHERE year(date) = 2001) AS batches,
+SELECT (SELECT CAST(CEIL(COUNT(DISTINCT (dayofyear(date) - 1) // 7) / 16.0) AS BIGINT) FROM daily_sales WHERE year(date) = 2001) AS batches,
        (SELECT COUNT(*) FROM daily_sales WHERE open = 1 AND sales_cents > 0 AND year(date) = 2001) AS records,
        (SELECT COUNT(*) FROM ({ANOMS}) a) AS anomalies""", *_SC),
     "tuning_sample": with_base("""
@@ -717,6 +850,19 @@ FROM (SELECT d.sales_cents AS y, d.sales_cents - b.mc AS e
       FROM daily_sales d JOIN baseline b ON d.store = b.store
       WHERE d.open = 1 AND d.sales_cents > 0 AND year(d.date) = 2001) x""", *_SC),
     "f_tests": _f_tests_sql(),
+    "feature_report": _feature_report_sql(),
+    "fold_counts": with_base("""
+SELECT fold, COUNT(*) AS n, MIN(date) AS first_date, CAST(SUM(sales_cents) AS BIGINT) AS sales_cents
+FROM rows_ GROUP BY fold""", ("rows_", FOLD_ROWS)),
+    "fold_metrics": with_base(f"""
+SELECT fold, COUNT(*) AS n, ROUND(sqrt(SUM(e * e) / COUNT(*)), 6) AS rmse, ROUND(SUM(abs(e)) / COUNT(*), 6) AS mae,
+       ROUND(1.0 - SUM(e * e) / (var_pop(y) * COUNT(*)), 6) AS r2
+FROM (SELECT r.fold, CAST(r.sales_cents AS DOUBLE) AS y, r.sales_cents - CAST(o.pc AS DOUBLE) AS e
+      FROM rows_ r JOIN (SELECT f.fold, x.dow, {hu('SUM(x.sales_cents)', 'COUNT(*)')} AS pc
+                         FROM (SELECT DISTINCT fold FROM rows_) f JOIN rows_ x ON x.fold <> f.fold
+                         GROUP BY f.fold, x.dow) o ON o.fold = r.fold AND o.dow = r.dow) z
+GROUP BY fold""", ("rows_", FOLD_ROWS)),
+    **_linear_keys(),
 }
 
 

@@ -119,10 +119,11 @@ def report_growth(sales: DataFrame) -> DataFrame:
 
 def report_below_mean(sales: DataFrame, stores: DataFrame, n: int = 20) -> DataFrame:
     """Stores whose mean is below the mean over all open rows (a mean
-    over rows, not over stores); the worst ``n``.  The system mean is a
-    one-row aggregate, joined by a broadcast of that single row."""
-    per_store = _per_store(open_days(sales))
-    # the system totals are sums of the per-store partials: no second scan
+    over rows, not over stores); the worst ``n``.  The per-store totals are
+    written once and read by both branches, so the lines are scanned once;
+    the system mean is a one-row aggregate of them, joined by a broadcast of
+    that single row."""
+    per_store = materialize(_per_store(open_days(sales)), "per-store")
     system = per_store.agg(F.sum("n").alias("sn"), F.sum("s").alias("ss"))
     ps = with_scalar(_with_type(per_store, stores), system)
     below = ps.filter(col("s") * col("sn") < col("ss") * col("n"))
