@@ -165,19 +165,19 @@ def future_features(history: DataFrame, start: str, end: str,
     or the store's median history ratio when that lag is 0.
 
     As in training, lags run over all days and rolling frames over open
-    days.  The frames are partitioned by (store, open), so one exchange by
-    store serves both, and the medians of P5 after them.
+    days.  Everything that a row needs of its store comes by windows over
+    one exchange by store: lags by date, frames by (open, date), the mean
+    customers of the weekday, and the medians of P5.  Only the store's
+    median sales must be known before its future rows are made.
     """
     hist = cut_history(history, start)
-    elig = eligible_stores(hist, min_history)
-    hist = hist.join(elig, "store", "left_semi")
-    med = store_medians(hist)
-    fut = future_calendar(elig, start, end).join(med, "store").select(
+    fut = future_calendar(eligible_stores(hist, min_history), start, end).join(store_medians(hist), "store").select(
         "store", "date", col("h_med").alias("h"), F.lit(None).cast("long").alias("customers"),
-        F.lit(1).alias("open"), F.lit(1).alias("is_future"))
+        F.lit(1).alias("open"), "spc_median", F.lit(1).alias("is_future"))
     past = hist.select("store", "date", (col("sales_cents") * 2).alias("h"), "customers", "open",
-                       F.lit(0).alias("is_future"))
-    u = past.unionByName(fut)
+                       F.lit(None).cast("double").alias("spc_median"), F.lit(0).alias("is_future"))
+    # stores without future rows go last, with ``filled``
+    u = past.unionByName(fut).withColumn("day_of_week", day_of_week("date"))
     w = by_store()
     feats, rolled = {}, {}
     for k in LAGS:
@@ -189,10 +189,11 @@ def future_features(history: DataFrame, start: str, end: str,
         rolled[f"_s{wd}"] = F.sum(dec(col("h"))).over(fr)
         rolled[f"_q{wd}"] = F.sum(dec(col("h")) * dec(col("h"))).over(fr)
         rolled[f"_m{wd}"] = F.max("h").over(fr)
-    u = u.withColumns(feats).withColumns(rolled).filter("open = 1")
-    cdow = customers_by_weekday(hist)
-    u = (u.withColumn("day_of_week", day_of_week("date"))
-         .join(cdow, ["store", "day_of_week"], "left").join(med.drop("h_med"), "store", "left"))
+    weekday = Window.partitionBy("store", "day_of_week")
+    mean = F.sum(dec(col("customers"))).over(weekday).cast("double") / F.when(
+        F.count("customers").over(weekday) > 0, F.count("customers").over(weekday)).cast("double")
+    u = (u.withColumns(feats).withColumn("avg_customers", mean).withColumns(rolled).filter("open = 1")
+         .withColumn("spc_median", F.max("spc_median").over(Window.partitionBy("store"))))
     out = [col("store"), col("date")]
     for k in LAGS:
         out.append((col(f"_hl{k}").cast("double") / 200.0).alias(f"sales_lag_{k}"))

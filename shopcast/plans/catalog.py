@@ -71,6 +71,13 @@ def _clean_table(spark, d):
     return materialize(_clean(spark, d), "clean")
 
 
+def _history_table(spark, d):
+    """The cleaned history without the holiday columns, which no forecast
+    reads: the day's status text is the one aggregate that has to sort."""
+    from shopcast.session import materialize
+    return materialize(_clean(spark, d).drop("state_holiday", "school_holiday"), "history")
+
+
 def _hist(spark, d):
     return FC.cut_history(daily_sales(spark, d), _horizon(spark, d)[0])
 
@@ -84,11 +91,11 @@ def _pattern(spark, d):
 
 
 def _forecast(spark, d):
-    return FC.forecast_reference(_clean_table(spark, d), *_horizon(spark, d))
+    return FC.forecast_reference(_history_table(spark, d), *_horizon(spark, d))
 
 
 def _future_rows(spark, d):
-    history, days = _clean_table(spark, d), _horizon(spark, d)
+    history, days = _history_table(spark, d), _horizon(spark, d)
     cycle = FC.suggest_cycle(FC.promo_streaks(FC.cut_history(history, days[0])))
     return FC.future_rows(history, FC.promo_pattern(cycle, *days), *days)
 
@@ -97,23 +104,31 @@ def _future_features_gaps(spark, d):
     """P5 at work: a third of the last ten days has no figures."""
     start, end = _horizon(spark, d)
     gap = (F.datediff(F.lit(start).cast("date"), "date") <= 10) & ((F.col("store") + F.dayofmonth("date")) % 3 == 0)
-    history = _clean_table(spark, d)
+    history = _history_table(spark, d)
     planted = history.withColumns({c: F.when(~gap, F.col(c)) for c in ("sales_cents", "customers")})
     return FC.future_features(planted, start, end)
 
 
+CATEGORY_COLUMNS = ("day_of_week",) + FE.CATEGORICAL
+
+
 def _categories(spark, d):
-    seen = C.clean_join(FE.category_rows(daily_sales(spark, d)), stores(spark, d))
-    return FE.category_table(seen, ("day_of_week",) + FE.CATEGORICAL)
+    seen = C.join_stores(FE.category_rows(daily_sales(spark, d)), stores(spark, d))
+    return FE.category_table(seen, CATEGORY_COLUMNS)
 
 
-def _category_table(spark, d):
+def _one_hot(spark, d):
+    """The days' statuses are written once, for the category table and for
+    the rows that are encoded with it."""
     from shopcast.session import materialize
-    return materialize(_categories(spark, d), "categories")
+    days = materialize(daily_sales(spark, d).select("store", "date", "state_holiday"), "statuses")
+    dim = stores(spark, d)
+    table = materialize(FE.category_table(C.join_stores(FE.category_rows(days), dim), CATEGORY_COLUMNS), "categories")
+    return FE.one_hot_wide(C.join_stores(days, dim), table)
 
 
 def _split(spark, d):
-    feats = FE.build_features(_clean_table(spark, d), cats={})   # which rows stay, not which columns
+    feats = FE.build_features(_clean(spark, d), cats={})   # which rows stay, not which columns
     return TR.split_counts(feats, 0.8)
 
 
@@ -175,7 +190,8 @@ def _report(data, columns, chosen, label):
 def _f_tests(spark, d):
     """M3-M5 on the cleaned numeric columns: MLlib's F-test and the report."""
     from shopcast.operators import select as SE
-    data = _clean_table(spark, d).select(*CORR_COLS, "sales_cents")
+    from shopcast.session import materialize
+    data = materialize(_clean(spark, d).select(*CORR_COLS, "sales_cents"), "numbers")
     columns = SE.candidates(data, ("sales_cents",))
     return _report(data, columns, SE.select_features(data.na.drop(), columns, "sales_cents"), "sales_cents")
 
@@ -218,30 +234,31 @@ def _feature_report(spark, d):
 
 
 def _linear(spark, d):
-    """A linear run, saved and loaded again (IO5, IO6): (run, loaded)."""
+    """A linear run, saved and loaded again (IO5, IO6): (history, run, loaded)."""
     from shopcast.plans import modeling
-    from shopcast.session import run_dir
-    run, out = modeling.run_linear(_clean_table(spark, d)), run_dir(spark, "linear")
+    from shopcast.session import materialize, run_dir
+    history, out = materialize(_clean(spark, d).drop("state_holiday"), "history"), run_dir(spark, "linear")
+    run = modeling.run_linear(history)
     modeling.save_run(spark, run, out)
-    return run, modeling.load_best(spark, out)
+    return history, run, modeling.load_best(spark, out)
 
 
 def _linear_comparison(spark, d):
-    m = TR.model_comparison(spark, _linear(spark, d)[0]["metrics"])
+    m = TR.model_comparison(spark, _linear(spark, d)[1]["metrics"])
     return m.select("model", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2")], "best")
 
 
 def _linear_importance(spark, d):
     """T8 of the loaded model, by the loaded feature list."""
-    loaded = _linear(spark, d)[1]
+    loaded = _linear(spark, d)[2]
     return TR.importance(spark, loaded["best"], loaded["model"], loaded["features"]).withColumn(
         "importance", F.round("importance", 4))
 
 
 def _linear_forecast(spark, d):
     """P1 with the loaded model and the loaded categories, then P6."""
-    loaded, days = _linear(spark, d)[1], _horizon(spark, d)
-    history = _clean_table(spark, d)
+    history, _, loaded = _linear(spark, d)
+    days = _horizon(spark, d)
     table = FC.future_design(history, *days, loaded["cats"])
     return FC.forecast_design(history, table, loaded["model"], days[0]).drop("sales_cents")
 
@@ -297,7 +314,7 @@ def queries() -> dict[str, Query]:
         "correlation_with_sales": lambda spark, d: PR.correlation_with(
             _clean(spark, d), "sales_cents", CORR_COLS),
         "calendar_features": _sales(FE.calendar_features),
-        "one_hot": lambda spark, d: FE.one_hot_wide(_clean(spark, d), _category_table(spark, d)),
+        "one_hot": _one_hot,
         "lags": _sales(lambda s: FE.add_lags(s).select(
             "store", "date", *[f"{p}_lag_{k}" for k in FE.LAGS
                                for p in ("sales", "customers")])),
@@ -326,7 +343,7 @@ def queries() -> dict[str, Query]:
         "basket": lambda spark, d: FC.basket(_hist(spark, d)),
         "future_rows": _future_rows,
         "future_features": lambda spark, d: FC.future_features(
-            _clean_table(spark, d), *_horizon(spark, d)),
+            _history_table(spark, d), *_horizon(spark, d)),
         "future_features_gaps": _future_features_gaps,
         "forecast": lambda spark, d: _forecast(spark, d).drop("sales_cents"),
         "uplift": lambda spark, d: FC.uplift(_forecast(spark, d)),
