@@ -270,3 +270,111 @@ def test_new_queries_run_whole_tables(spark):
     assert catalog.op11_align(spark, SMALL).count() == catalog.op12_exact(spark, SMALL).count() == n
     assert catalog.op13_whitening(spark, SMALL).agg(F.countDistinct("vec_id")).first()[0] == spark.read.parquet(
         f"{SMALL}/embeddings.parquet").count()
+
+
+# -- operator 5 ----------------------------------------------------------------
+
+def mixed_sources(spark, sizes, words=20):
+    rows, i = [], 0
+    for source, n in sizes.items():
+        for k in range(n):
+            rows.append((i, "w " * (words + k % 7), source, 1.5))
+            i += 1
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, weight double")
+
+
+def test_every_tenth_of_the_mix_has_the_weights(spark):
+    """A small source that is repeated and a large one, interleaved."""
+    from shopcast.llm import mixing
+    source = mixed_sources(spark, {"big": 12_000, "small": 700, "mid": 3000})
+    got = mixing.draws(source, mixing.Mix(entropy=0.85)).collect()
+    by = {r.source: r for r in got}
+    total = sum(r.n_tokens for r in got)
+    assert max(r.epoch for r in got if r.source == "small") >= 1
+    for tenth in range(10):
+        part = [r for r in got if tenth / 10 <= r.place < (tenth + 1) / 10]
+        tokens = sum(r.n_tokens for r in part)
+        assert abs(tokens / total - 0.1) < 0.01
+        for name, row in by.items():
+            assert abs(sum(r.n_tokens for r in part if r.source == name) / tokens - row.weight) < 0.02
+
+
+def test_mix_equals_brute_force(spark):
+    """Weights by a plain bisection, draws by the blocks' hashes."""
+    from shopcast.llm import mixing
+    source = mixed_sources(spark, {"a": 900, "b": 250, None: 60, "none": 0}).unionByName(
+        spark.createDataFrame([(None, "x y z", "b", 0.0), (None, "x y z", "b", 0.0), (5001, None, "a", 0.0),
+                               (5002, "", "empty", 0.0)], "doc_id long, text string, source string, weight double"))
+    mix = mixing.Mix(entropy=0.9, epochs=6.0, budget=30_000)
+    got = mixing.draws(source, mix).collect()
+    h = F.xxhash64(F.lit(mix.seed), F.col("doc_id"))
+    rows = source.select("doc_id", "source", mixing.tokens(F.col("text")).alias("n"),
+                         F.pmod(h, F.lit(mixing.BLOCKS)).alias("block"),
+                         F.pmod(F.shiftright(h, 20), F.lit(mixing.BLOCKS)).alias("sub")).collect()
+    tokens = Counter()
+    for r in rows:
+        tokens[r.source] += r.n
+    p = {s: n / sum(tokens.values()) for s, n in tokens.items() if n}
+
+    def weights(x):
+        z = sum(v ** x for v in p.values())
+        return {s: v ** x / z for s, v in p.items()}
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        x = (low + high) / 2
+        w = weights(x)
+        ok = (-sum(v * math.log(v) for v in w.values()) <= 0.9 * math.log(len(p))
+              and max(w[s] * 30_000 / tokens[s] for s in w) <= 6)
+        low, high = (low, x) if ok else (x, high)
+    w = weights(high)
+    assert all(math.isclose(r.weight, w[r.source], rel_tol=1e-9) for r in got)
+
+    def hashed(*values):
+        one = spark.range(1).select(F.xxhash64(*[F.lit(v).cast("int") for v in values]).alias("h")).first()
+        return one.h
+    want = Counter()
+    for s in p:
+        own = [r for r in rows if r.source == s]
+        whole, left = int(w[s] * 30_000 / tokens[s] + 1e-9), w[s] * 30_000
+        left -= whole * tokens[s]
+        for r in own:
+            for epoch in range(whole):
+                want[r.doc_id, s, epoch] += 1
+        keys = sorted({r.block for r in own})
+        order = spark.createDataFrame([(mix.seed, whole, b) for b in keys], "s int, w int, b int").select(
+            "b", F.xxhash64("s", "w", "b").alias("h")).orderBy("h", "b").collect()
+        for b in [r.b for r in order]:
+            inside = [r for r in own if r.block == b]
+            size = sum(r.n for r in inside)
+            if left <= 0:
+                break
+            if size <= left:
+                for r in inside:
+                    want[r.doc_id, s, whole] += 1
+                left -= size
+                continue
+            subs = spark.createDataFrame([(mix.seed + 1, whole, x) for x in {r.sub for r in inside}],
+                                         "s int, w int, b int").select("b", F.xxhash64("s", "w", "b").alias("h"))
+            for sub in [r.b for r in subs.orderBy("h", "b").collect()]:
+                part = [r for r in inside if r.sub == sub]
+                size = sum(r.n for r in part)
+                if size > left:
+                    break
+                for r in part:
+                    want[r.doc_id, s, whole] += 1
+                left -= size
+            break
+    assert Counter((r.doc_id, r.source, r.epoch) for r in got) == want
+
+
+def test_exponents_beyond_one_and_no_solution(spark):
+    from shopcast.llm import mixing
+    near = spark.createDataFrame([("a", 100), ("b", 90), ("c", 95), ("d", 0)], "source string, tokens long")
+    x = mixing.exponent(near, mixing.Mix(entropy=0.8, epochs=1e9), 285.0)
+    p = np.array([100, 90, 95]) / 285.0
+    w = p ** x / (p ** x).sum()
+    assert x > 1 and math.isclose(-(w * np.log(w)).sum(), 0.8 * math.log(3), rel_tol=1e-6)
+    # the limit forbids it, equal shares can't be sharpened
+    assert mixing.exponent(near, mixing.Mix(entropy=0.8, epochs=1.0), 285.0) == 1.0
+    even = spark.createDataFrame([("a", 10), ("b", 10)], "source string, tokens long")
+    assert mixing.exponent(even, mixing.Mix(entropy=0.8), 20.0) == 1.0
