@@ -1,20 +1,27 @@
 """Toxicity by a weighted finite-state pattern grammar (operator 9).
 
-A text is cut into clauses and each clause into words.  Small transducers
-read the words one after another and rewrite them into marks, each working
-on the marks of the one before:
+A text is cut into clauses and each clause into words.  The lexicon turns
+words into marks (INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER).  Small
+weighted transducers (``llm.transducers``) rewrite the marks:
 
-* lexicon: word -> INSULT, THREAT, TARGET, NEGATION, REPORT or nothing;
-* scope: NEGATION opens a scope of a few words, REPORT one to the end of the
-  clause, TARGET leaves a state that an insult soon after picks up;
-* patterns: an INSULT in a state becomes a matched clause of one kind (see
-  ``KINDS``), a THREAT only together with a TARGET.
+* report: from a REPORT to the end of the clause, insults and threats are
+  written as reported;
+* negation: a NEGATION does the same for the next few words;
+* target: an INSULT within a few words after a TARGET is written as aimed;
+* threat: a THREAT and a TARGET near each other, in either order, end in a
+  THREATENED mark.
+
+Their composition is one machine, built once; it reads a clause in one pass
+and writes which clauses match which kind of pattern (see ``KINDS``), each
+arc that completes one with the starting weight of its kind.
 
 The score is a logistic function of the numbers of matched clauses by kind;
 words outside a matched clause do not count.  The lexicon of insults starts
-from a fixed list and grows by word beginnings learned from the labels, so
-that languages without a list are covered; the weights of the kinds are
-learned as well.  Both are fitted on a sample of labelled rows of at most
+from a fixed list and grows by what the labels teach: word beginnings that
+stand in toxic texts in many contexts, then, from the toxic texts that are
+still not matched, whole words that hardly any clean text has.  So languages
+without a list are covered; the weights of the kinds are learned as well.
+All are fitted on a sample of labelled rows of at most
 ``Fit.rows`` expected rows, drawn by a hash, never from held-out rows.
 
 Defined results: null and empty texts have no clause and get the score of
@@ -36,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopcast.llm.common import map_arrow, table
+from shopcast.llm.transducers import Machine, compose, machine
 
 # The starting lexicon.
 INSULTS = frozenset(
@@ -66,27 +74,85 @@ TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 NEGATION_REACH, TARGET_REACH = 3, 4
 
 
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "other", "insult", "threat", "target", "negation", "report"
+MARKS = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT)
+AIMED, NEGATED, REPORTED, THREATENED = "aimed", "negated", "reported", "threatened"
+#: The kind that a written mark completes.
+KIND_OF = {INSULT: 0, AIMED: 1, NEGATED: 2, REPORTED: 3, THREATENED: 4}
+
+
+def reporting() -> Machine:
+    """After REPORT: insults reported, threats and targets without effect."""
+    def arc(said, mark):
+        if said and mark in (INSULT, THREAT, TARGET):
+            return 1, {INSULT: REPORTED}.get(mark, OTHER), 0.0
+        return int(said or mark == REPORT), mark, 0.0
+    return machine(0, MARKS, arc)
+
+
+def negating(reach: int = NEGATION_REACH) -> Machine:
+    """``reach`` words after NEGATION: insults negated, threats void."""
+    def arc(left, mark):
+        after = reach if mark == NEGATION else max(left - 1, 0)
+        written = {INSULT: NEGATED, THREAT: OTHER}.get(mark, mark) if left else mark
+        return after, written, 0.0
+    return machine(0, (*MARKS, REPORTED), arc)
+
+
+def aiming(reach: int = TARGET_REACH) -> Machine:
+    """A TARGET up to ``reach`` words before: insults aimed, a threat
+    threatens; a TARGET up to ``reach`` words after a threat does as well."""
+    def arc(state, mark):
+        aimed, threat = state
+        written = mark
+        if mark == INSULT and aimed:
+            written = AIMED
+        elif mark == THREAT and aimed or mark == TARGET and threat and not aimed:
+            written = THREATENED
+        after = (reach if mark == TARGET else max(aimed - 1, 0), reach if mark == THREAT else max(threat - 1, 0))
+        kind = KIND_OF.get(written)
+        return after, written, 0.0 if kind is None else float(START[kind + 1])
+    return machine((0, 0), (*MARKS, REPORTED, NEGATED), arc)
+
+
+#: One machine for the whole grammar.
+PATTERNS = compose(compose(reporting(), negating(), MARKS), aiming(), MARKS)
+
+
 @dataclass(frozen=True)
 class Fit:
     """``rows``: the sample bound; ``beginnings``: lengths of learned word
     beginnings; ``contexts``: different left neighbours that a beginning has
-    in toxic texts at least; ``purity``: least toxic share of its contexts."""
+    in toxic texts at least; ``purity``: least toxic share of its contexts;
+    ``texts``, ``missed``: toxic texts that a learned word has at least, and
+    those of them that nothing else matches."""
 
     rows: int = 12_000
     beginnings: tuple[int, ...] = (4, 5, 6)
     contexts: int = 8
-    purity: float = 0.9
+    purity: float = 0.85
+    texts: int = 3
+    missed: int = 2
     seed: int = 29
 
 
 class Grammar:
-    def __init__(self, stems: frozenset[str] = frozenset()):
+    def __init__(self, stems: frozenset[str] = frozenset(), learned: frozenset[str] = frozenset()):
         self.lengths = sorted({len(s) for s in stems})
         self.stems = stems
-        self.triggers = INSULTS | THREATS
+        self.words = INSULTS | learned
+        self.triggers = self.words | THREATS
 
     def insult(self, word: str) -> bool:
-        return word in INSULTS or any(word[:n] in self.stems for n in self.lengths)
+        return word in self.words or any(word[:n] in self.stems for n in self.lengths)
+
+    def mark(self, word: str) -> str:
+        if self.insult(word):
+            return INSULT
+        for mark, words in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)):
+            if word in words:
+                return mark
+        return OTHER
 
     def matches(self, text: str) -> list[int]:
         """Numbers of matched clauses by kind."""
@@ -97,29 +163,11 @@ class Grammar:
                 self.stems.isdisjoint([w[:n] for w in known]) for n in self.lengths):
             return out
         for clause in CLAUSE.split(text):
-            self._clause(TOKEN.findall(clause), out)
+            for written in PATTERNS.run(map(self.mark, TOKEN.findall(clause)))[0]:
+                if written in KIND_OF:
+                    out[KIND_OF[written]] += 1
         return out
 
-    def _clause(self, words: list[str], out: list[int]) -> None:
-        negated = aimed = threat = 0  # words that the scope still reaches
-        reported = False
-        for word in words:
-            if self.insult(word):
-                kind = 3 if reported else 2 if negated else 1 if aimed else 0
-                out[kind] += 1
-            elif word in THREATS:
-                if aimed and not negated and not reported:
-                    out[4] += 1
-                threat = TARGET_REACH + 1
-            if word in TARGETS:
-                if threat and not aimed and not negated and not reported:
-                    out[4] += 1
-                aimed = TARGET_REACH + 1
-            if word in NEGATIONS:
-                negated = NEGATION_REACH + 1
-            reported = reported or word in REPORTS
-            negated, aimed, threat = max(negated - 1, 0), max(aimed - 1, 0), max(threat - 1, 0)
-
 
 def features(counts: np.ndarray) -> np.ndarray:
     return np.hstack([np.ones((len(counts), 1)), np.log2(1.0 + counts)])
@@ -197,6 +245,31 @@ def learn_stems(rows: DataFrame, fit: Fit) -> frozenset[str]:
     return frozenset(s for s in short if not any(s[:n] in good for n in range(1, len(s))))
 
 
+def learn_words(rows: DataFrame, grammar: Grammar, fit: Fit) -> frozenset[str]:
+    """Whole words of the toxic texts that ``grammar`` doesn't match, if
+    hardly any clean text has them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: dict[str, list[int]] = {}
+            for text, y in zip(batch.column("t").to_pylist(), batch.column("y").to_pylist()):
+                missed = bool(y) and not any(grammar.matches(text or ""))
+                for word in set(TOKEN.findall((text or "").lower())):
+                    c = counts.setdefault(word, [0, 0, 0])
+                    c[1 if y else 0] += 1
+                    c[2] += missed
+            columns = list(zip(*counts.values())) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()),
+                                              *(pa.array(c, pa.int64()) for c in columns)], names)
+
+    names = ["s", "clean", "toxic", "missed"]
+    sums = map_arrow(rows, run, "s string, clean bigint, toxic bigint, missed bigint").groupBy("s").agg(
+        *(F.sum(c).alias(c) for c in names[1:]))
+    good = sums.filter((F.col("toxic") >= fit.texts) & (F.col("missed") >= fit.missed) & (
+        F.col("toxic") >= fit.purity * (F.col("toxic") + F.col("clean"))))
+    return frozenset(r[0] for r in good.select("s").collect())
+
+
 def _counted(rows: DataFrame, grammar: Grammar, more: str) -> DataFrame:
     """(``more`` columns, m) with the matched clauses by kind of column t."""
     names = [c.strip().split(" ")[0] for c in more.split(",")]
@@ -216,7 +289,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: str =
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     rows = table(sample(source, known, fit).select("id", "t", "y"), "labelled")
-    grammar = Grammar(learn_stems(rows, fit))
+    stems = learn_stems(rows, fit)
+    grammar = Grammar(stems, learn_words(rows, Grammar(stems), fit))
     seen = _counted(rows.select("y", "t"), grammar, "y int").groupBy("m", "y").count().collect()
     # equal rows of counts come once with their number: a few thousand at most
     counts = np.array([r["m"] for r in seen for _ in range(r["count"])], float).reshape(-1, len(KINDS))

@@ -378,3 +378,77 @@ def test_exponents_beyond_one_and_no_solution(spark):
     assert mixing.exponent(near, mixing.Mix(entropy=0.8, epochs=1.0), 285.0) == 1.0
     even = spark.createDataFrame([("a", 10), ("b", 10)], "source string, tokens long")
     assert mixing.exponent(even, mixing.Mix(entropy=0.8), 20.0) == 1.0
+
+
+# -- operator 9 ----------------------------------------------------------------
+
+def places(grammar, text):
+    """The grammar's rules by the distances of words, without any state."""
+    from shopcast.llm import toxicity as T
+    out = [0] * 5
+    for clause in T.CLAUSE.split(text.lower()):
+        marks = [grammar.mark(w) for w in T.TOKEN.findall(clause)]
+
+        def near(i, live, reach):
+            return any(live(j) for j in range(max(i - reach, 0), i))
+        said = lambda i: T.REPORT in marks[:i]
+        negated = lambda i: near(i, lambda j: marks[j] == T.NEGATION, T.NEGATION_REACH)
+        target = lambda i: marks[i] == T.TARGET and not said(i)
+        threat = lambda i: marks[i] == T.THREAT and not said(i) and not negated(i)
+        for i, mark in enumerate(marks):
+            aimed = near(i, target, T.TARGET_REACH)
+            if mark == T.INSULT:
+                out[3 if said(i) else 2 if negated(i) else 1 if aimed else 0] += 1
+            out[4] += threat(i) and aimed or target(i) and not aimed and near(i, threat, T.TARGET_REACH)
+    return out
+
+
+def test_composed_machine_equals_distances():
+    import random
+    from shopcast.llm import toxicity as T
+    rng, grammar = random.Random(5), T.Grammar(frozenset({"blor"}), frozenset({"zorg"}))
+    words = ["idiot", "blorfex", "zorg", "kill", "you", "not", "said", "the", "cat", ".", ",", "they", "never"]
+    for _ in range(3000):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 14)))
+        assert grammar.matches(text) == places(grammar, text), text
+
+
+def test_composition_runs_one_machine_after_the_other():
+    import itertools
+    from shopcast.llm import toxicity as T
+    from shopcast.llm.transducers import compose
+    a, b = T.negating(), T.aiming()
+    both = compose(a, b, T.MARKS)
+    for marks in itertools.product(T.MARKS, repeat=4):
+        first, w = a.run(marks)
+        second, v = b.run(first)
+        assert both.run(marks) == (second, w + v)
+    assert T.PATTERNS.run([T.TARGET, T.OTHER, T.INSULT])[1] == T.START[2]
+
+
+def test_recall_by_language(spark):
+    """Held-out recall of each language, and of clean texts, at sf0.1."""
+    mid = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{mid}/labels.parquet").collect()}
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{mid}/documents.parquet").select("doc_id", "lang").collect()}
+    hit, n = Counter(), Counter()
+    for r in catalog.op9_toxicity(spark, mid).collect():
+        y = labels.get(r.doc_id)
+        if r.held_out and y is not None:
+            n[lang[r.doc_id] if y else "clean"] += 1
+            hit[lang[r.doc_id] if y else "clean"] += r.predicted
+    assert all(hit[k] >= 0.9 * n[k] for k in ("en", "de", "fr", "es"))
+    assert sum(hit[k] for k in n if k != "clean") >= 0.9 * sum(n[k] for k in n if k != "clean")
+    assert hit["clean"] <= 0.02 * n["clean"]
+
+
+def test_toxicity_of_odd_rows(spark):
+    from shopcast.llm import toxicity as T
+    rows = [(1, "You are an idiot. " * 3), (1, "You are an idiot. " * 3), (None, None), (2, ""), (3, "word " * 60_000),
+            (4, "x" * 200_000)]
+    source = docs(spark, rows).withColumn("score", F.lit("z")).withColumn("held_out", F.lit(7))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, None)], "doc_id long, toxic int").withColumn("text", F.lit("t"))
+    got = T.toxicity(source, labels).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    assert [r.predicted for r in got if r.doc_id == 1] == [1, 1]
+    assert all(r.predicted == 0 for r in got if r.doc_id != 1) and not [r for r in got if r.doc_id is None][0].held_out
