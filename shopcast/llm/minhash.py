@@ -128,9 +128,10 @@ def _listed(sized: DataFrame, values: str) -> DataFrame:
     is the centrality, the sum of the frequencies of all shared values.
     """
     each = sized.select("id", "n", "m", "need", F.explode(values).alias("value"))
-    each = each.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("value")))
+    # counted before the shuffle and joined back, so that a hot value's rows can be split
+    shared = each.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     mine = Window.partitionBy("id")
-    ranked = (each.filter("df > 1").withColumn("single", F.col("m") - F.count(F.lit(1)).over(mine))
+    ranked = (each.join(shared, "value").withColumn("single", F.col("m") - F.count(F.lit(1)).over(mine))
               .withColumn("weight", F.sum("df").over(mine))
               .withColumn("place", F.col("single") + F.row_number().over(mine.orderBy("df", "value"))))
     return ranked.filter("place <= m - need + 1").select("value", "id", "n", "m", "place", "weight")
