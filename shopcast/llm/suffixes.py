@@ -47,7 +47,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from shopcast.llm.common import map_arrow, table, workers_ready
 from shopcast.llm.words import U64, buffers, groups, mix, prefix_hash
@@ -323,8 +322,9 @@ def repeats(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:
         _merge_bucket(width, SHARD_SPANS), f"id {kind}, th bigint, b bigint, e bigint")
     found = whole.unionByName(merged)
     if n_hot:
-        many = F.sum("n").over(Window.partitionBy("ah", "wh"))
-        windows = _windows(cut.filter("hot"), width).withColumn("many", many).filter("many > 1")
+        every_window = table(_windows(cut.filter("hot"), width), "hotwindows")
+        many = every_window.groupBy("ah", "wh").agg(F.sum("n").alias("many")).filter("many > 1")
+        windows = every_window.join(many, ["ah", "wh"])
         found = found.unionByName(windows.select(
             "id", "th", F.col("at").alias("b"), (F.col("at") + width).alias("e")))
     return found
@@ -339,7 +339,7 @@ def marked(docs: DataFrame, width: int = WIDTH, hot: int = HOT, id_col: str = "d
     """(id, t, marks): each row with the byte ranges to remove, unordered."""
     source = _source(docs, id_col, text_col)
     ranges = repeats(source, width, hot).groupBy(F.col("id").alias("pid"), F.col("th").alias("pth")).agg(
-        F.collect_list(F.struct("b", "e")).alias("marks"))
+        F.collect_set(F.struct("b", "e")).alias("marks"))  # rows that share id and text have the same ones
     return source.join(ranges, F.col("id").eqNullSafe(F.col("pid")) & (F.col("th") == F.col("pth")), "left").select(
         "id", "t", "marks")
 
