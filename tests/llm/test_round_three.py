@@ -452,3 +452,29 @@ def test_toxicity_of_odd_rows(spark):
     assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
     assert [r.predicted for r in got if r.doc_id == 1] == [1, 1]
     assert all(r.predicted == 0 for r in got if r.doc_id != 1) and not [r for r in got if r.doc_id is None][0].held_out
+
+
+# -- operators 3 and 4 ---------------------------------------------------------
+
+def test_rows_that_share_id_and_text_stay_linear(spark):
+    """k equal rows without an id: as many marks as one of them has."""
+    from shopcast.llm import suffixes
+    text = "".join(chr(97 + (i * i * 7 + i // 5) % 26) for i in range(900))
+    sizes = []
+    for k in (20, 200):
+        source = docs(spark, [(None, text)] * k + [(1, "other text")])
+        rows = suffixes.marked(source).collect()
+        sizes.append(max(len(r.marks or []) for r in rows))
+        got = suffixes.digest(source).collect()
+        assert [(r.n_bytes, r.n_removed, r.n_spans) for r in got if r.doc_id is None] == [(900, 900, 1)] * k
+    assert sizes[0] == sizes[1]
+
+
+def test_hot_values_are_counted_before_the_shuffle(spark):
+    from shopcast.llm import minhash
+    sized = spark.range(50).select("id", F.lit(3).alias("n"), F.lit(3).alias("m"), F.lit(2).alias("need"),
+                                   F.array(F.lit(7), F.col("id") % 5 + 10, F.col("id") + 100).alias("v"))
+    listed = minhash._listed(sized, "v")
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "Window [count(1) windowspecdefinition(value" not in plan and "partial_count(1)" in plan
+    assert {r.value for r in listed.collect()} <= {7, 10, 11, 12, 13, 14}
