@@ -14,12 +14,17 @@ the least density on the path.  The path begins at the thinnest full line of
 the article itself, as a part on its own is smaller than what encloses it
 and so has less density at the same kind of text.  Headings before a part
 that belongs to the article go with it unless they are links.
+On a page whose best part lies in an article element, all article elements
+whose density reaches the least one on the path are the article, as long as
+most of their text is in no link.
 Parts that say what they are (navigation, adverts, forms, comments, by tag,
 role, class or id) are cut before densities are formed.  A class or id says
 so as a whole, or as a compound of such names and words of place and shape
-(``site-footer``, not ``has-sidebar``); and unless it names readers'
-comments, a part is not cut by name if it holds the longest article or main
-element or, on a page without one, more than half of the text.  Each page is small
+(``site-footer``, ``relatedStories``, not ``has-sidebar``).  A name of
+readers' comments cuts always, an article element as well; a compound that
+only has such a word in it (``comments-open``), or any other name, doesn't
+cut what holds the longest article or main element or, on a page without
+one, more than half of the text.  Each page is small
 and independent: one pass, no shuffle.
 
 Defined results: a null or empty page, and one without text, gives an empty
@@ -56,14 +61,17 @@ CUT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation "
     "menu breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice notices alert "
     "popup modal overlay newsletter subscribe subscription signup login social share sharing related recommended "
-    "trending widget comment comments commentlist replies reply disqus respond pagination pager toolbar skip "
-    "complementary contentinfo search hidden".split())
+    "trending widget outbrain taboola bio comment comments commentlist replies reply disqus respond pagination pager "
+    "toolbar skip complementary contentinfo search hidden".split())
 COMMENTS = frozenset("comment comments commentlist replies reply disqus respond".split())
+#: Words of comments that may also name an article's own part.
+TALK = frozenset("discussion discussions".split())
 #: What may stand beside a name of CUT_NAMES in a compound.
 BESIDE = frozenset(
     "site page main global top bottom left right primary secondary inner outer box bar block area section wrapper "
     "wrap container slot unit item items list links link icons buttons button form post posts articles content "
-    "text title header row col column".split())
+    "text title header row col column by google law info stories story author user users reader readers thread "
+    "threads feed tree body view count".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dir div dl dt fieldset figure footer form h1 h2 h3 h4 h5 "
@@ -84,31 +92,36 @@ SMALL = frozenset("p li h1 h2 h3 h4 h5 h6 b i em strong span a pre blockquote dd
 ALWAYS, NAMED, COMMENTED = 1, 2, 3
 
 
+SIZE = re.compile(r"\d+(?:x\d+)?")
+HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+
+
 def _named(token: str, in_article: bool) -> int:
     """How a part is cut that has this class, id or role."""
-    names = [x for x in re.split(r"[^a-z0-9]+", token) if x and not x.isdigit()]
+    names = [x for x in re.split(r"[^a-z0-9]+", HUMP.sub("-", token).lower()) if x and not SIZE.fullmatch(x)]
     cuts = CUT_NAMES if in_article else CUT_NAMES | {"header"}
     if cuts.isdisjoint(names) or not all(x in cuts or x in BESIDE for x in names):
-        return 0
+        return 0 if (COMMENTS | TALK).isdisjoint(names) else NAMED
     return NAMED if COMMENTS.isdisjoint(names) else COMMENTED
 
 
 def _boilerplate(tag: str, rest: str, in_article: bool) -> int:
     if tag in CUT or (tag == "header" and not in_article):
         return ALWAYS
-    if not rest.strip() or tag in ("html", "body", "article", "main"):
+    if not rest.strip() or tag in ("html", "body", "main"):
         return 0
     found = 0
     for name, value in NAMES.findall(rest):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return ALWAYS
+        name, value = name.lower(), value.strip("\"'")
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return ALWAYS if tag != "article" else 0
         if name == "style":
-            if "display:none" in value.replace(" ", ""):
+            if "display:none" in value.lower().replace(" ", "") and tag != "article":
                 return ALWAYS
         elif name in ("class", "id", "role"):
             found = max([found, *(_named(x, in_article) for x in value.split())])
-    return found
+    # an article is cut only as a reader's comment
+    return found if tag != "article" or found == COMMENTED else 0
 
 
 class Page:
@@ -119,8 +132,8 @@ class Page:
         self.pieces: list[tuple[int, str | None]] = []  # None: a block ends or begins
         self.cut = [0]
         stack = [0]
+        self.open: dict[str, int] = {}
         at, n = 0, len(source)
-        articles = 0
         while at < n:
             lt = source.find("<", at)
             if lt < 0:
@@ -138,10 +151,9 @@ class Page:
             if not tag:
                 continue
             if m["end"]:
-                k = self._find(stack, tag)
+                k = self._find(stack, tag) if self.open.get(tag) else 0
                 if k:
-                    articles -= sum(self.tag[x] == "article" for x in stack[k:])
-                    del stack[k:]
+                    self._leave(stack, k)
                 if tag in BLOCK:
                     self.pieces.append((stack[-1], None))
                 continue
@@ -158,11 +170,11 @@ class Page:
                 self.pieces.append((stack[-1], " "))
             if tag in VOID:
                 continue
-            self.cut.append(_boilerplate(tag, m["rest"], articles > 0))
+            self.cut.append(_boilerplate(tag, m["rest"], self.open.get("article", 0) > 0))
             self.tag.append(tag)
             self.parent.append(stack[-1])
             stack.append(len(self.tag) - 1)
-            articles += tag == "article"
+            self.open[tag] = self.open.get(tag, 0) + 1
         self._drop()
 
     def _drop(self) -> None:
@@ -189,6 +201,12 @@ class Page:
                 out[i] = out[i] or out[self.parent[i]] or (self.cut[i] == NAMED and not kept)
         self.pieces = [(i, text) for i, text in self.pieces if text is None or not out[i]]
 
+    def _leave(self, stack: list[int], k: int) -> None:
+        """Closes all elements from place k of the stack."""
+        for x in stack[k:]:
+            self.open[self.tag[x]] -= 1
+        del stack[k:]
+
     def _find(self, stack: list[int], tag: str) -> int:
         for k in range(len(stack) - 1, 0, -1):
             t = self.tag[stack[k]]
@@ -199,23 +217,26 @@ class Page:
         return 0
 
     def _close_p(self, stack: list[int]) -> None:
+        if not self.open.get("p"):
+            return
         for k in range(len(stack) - 1, 0, -1):
             t = self.tag[stack[k]]
             if t == "p":
-                del stack[k:]
-                return
+                return self._leave(stack, k)
             if t in BLOCK:
-                return
+                return None
 
     def _close(self, stack: list[int], tags: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            t = self.tag[stack[k]]
-            if t in tags:
-                del stack[k:]
-                return self._close(stack, tags)
-            if t in FENCE:
-                return None
-        return None
+        while any(self.open.get(t) for t in tags):
+            for k in range(len(stack) - 1, 0, -1):
+                t = self.tag[stack[k]]
+                if t in tags:
+                    self._leave(stack, k)
+                    break
+                if t in FENCE:
+                    return
+            else:
+                return
 
     def densities(self) -> tuple[list[float], list[float]]:
         """(composite density, sum of the children's) of each node; keeps
@@ -259,10 +280,17 @@ class Page:
         path = [best]
         while path[-1] > 0:
             path.append(self.parent[path[-1]])
-        for i in path:
-            if self.tag[i] in ("article", "main"):
-                return [i]
+        inner = next((i for i in path if self.tag[i] in ("article", "main")), None)
+        if inner is None and (inside := self._outermost()):
+            # the best node holds several articles: they are its text, if most of it
+            if 2 * sum(self.chars[i] for i in inside) > self.chars[best]:
+                inner = max(inside, key=lambda i: (total[i], -i))
+                path = [inner]
+                while path[-1] > 0:
+                    path.append(self.parent[path[-1]])
         path = [i for i in path if self.tag[i] not in ("#root", "html")]
+        if inner is not None:
+            return [inner] if self.tag[inner] == "main" else self._articles(inner, path, density, total)
         below = [density[i] for i in range(len(self.tag)) if self.parent[i] == best and self.chars[i] >= LINE]
         least = min((density[i] for i in path), default=0.0)
         if self.tag[best] not in SMALL:
@@ -270,27 +298,44 @@ class Page:
         children: dict[int, list[int]] = {}
         for i in range(1, len(self.tag)):
             children.setdefault(self.parent[i], []).append(i)
-        found = {best}
+        found, on_path = {best}, set(path)
         for i in path:
             if self.tag[i] != "body":
                 found.update(x for x in children[self.parent[i]]
-                             if x not in path and self.chars[x] and max(density[x], total[x]) >= least)
-        last = max(found)
+                             if x not in on_path and self.chars[x] and max(density[x], total[x]) >= least)
+        last, heading = max(found), self._headings()
         for i in path:
             if self.tag[i] != "body":
-                found.update(x for x in children[self.parent[i]]
-                             if x not in path and x < last and self._heading(x, children))
+                found.update(x for x in children[self.parent[i]] if x not in on_path and x < last and heading[x])
         return sorted(found)
 
-    def _heading(self, node: int, children: dict[int, list[int]]) -> bool:
-        """Whether all text of the subtree is in headings and most of it in no link."""
-        if not self.chars[node] or 2 * self.links[node] > self.chars[node]:
-            return False
-        if self.tag[node] in HEADINGS:
-            return True
-        inside = children.get(node, [])
-        return (sum(self.chars[x] for x in inside) == self.chars[node]
-                and all(self._heading(x, children) for x in inside if self.chars[x]))
+    def _articles(self, inner: int, path: list[int], density: list[float], total: list[float]) -> list[int]:
+        """The article element on the path and the outermost others that are
+        as dense as the thinnest node from it to the body."""
+        least = min(density[i] for i in path[path.index(inner):])
+        return sorted({inner, *(i for i in self._outermost() if i not in set(path) and max(density[i], total[i]) >= least)})
+
+    def _outermost(self) -> list[int]:
+        """Article elements that are in no other and have text of their own,
+        most of it in no link."""
+        inside, found = [False] * len(self.tag), []
+        for i in range(1, len(self.tag)):
+            inside[i] = inside[self.parent[i]] or self.tag[self.parent[i]] == "article"
+            if self.tag[i] == "article" and not inside[i] and self.chars[i] >= LINE and 2 * self.links[i] <= self.chars[i]:
+                found.append(i)
+        return found
+
+    def _headings(self) -> list[bool]:
+        """Whether all text of each subtree is in headings and most of it in no link."""
+        n = len(self.tag)
+        own = [0] * n  # characters in children that are headings
+        out = [False] * n
+        for i in range(n - 1, 0, -1):
+            if self.chars[i] and 2 * self.links[i] <= self.chars[i]:
+                out[i] = self.tag[i] in HEADINGS or own[i] == self.chars[i]
+            if out[i]:
+                own[self.parent[i]] += self.chars[i]
+        return out
 
     def text(self) -> str:
         keep = [False] * len(self.tag)
