@@ -478,3 +478,65 @@ def test_hot_values_are_counted_before_the_shuffle(spark):
     plan = listed._jdf.queryExecution().executedPlan().toString()
     assert "Window [count(1) windowspecdefinition(value" not in plan and "partial_count(1)" in plan
     assert {r.value for r in listed.collect()} <= {7, 10, 11, 12, 13, 14}
+
+
+# -- operator 2 ----------------------------------------------------------------
+
+def sentence(k):
+    return "<p>" + f"Sentence number {k} tells a story about a place far away from here. " * 5 + "</p>"
+
+
+@pytest.mark.parametrize("name", ["user-comments", "reader-comments", "comment-thread", "commentsSection", "discussion"])
+def test_reader_comments_go(name):
+    from shopcast.llm.extract import main_text
+    reader = "<p>READER says that this is nice work.</p>"
+    for page in (f"<article><h1>T</h1>{sentence(1)}{sentence(2)}<div class='{name}'>{reader}</div></article>",
+                 f"<article>{sentence(1)}{sentence(2)}</article><section class={name}><article>{reader}</article></section>",
+                 f"<div class=post>{sentence(1)}{sentence(2)}{sentence(3)}</div><div id={name}>{reader * 3}</div>"):
+        text = main_text(f"<body>{page}</body>")
+        assert "READER" not in text and "number 1" in text and "number 2" in text
+
+
+def test_articles_of_comments_and_several_articles():
+    from shopcast.llm.extract import main_text
+    long = "<p>READER " + "a long reply for everyone to read " * 40 + "</p>"
+    text = main_text(f"<body><article>{sentence(1)}</article><article class=comment>{long}</article></body>")
+    assert "READER" not in text and "number 1" in text
+    teaser = "<article><a href=x>TEASER " + "linked words " * 30 + "</a></article>"
+    text = main_text(f"<body><article>{sentence(1)}{sentence(2)}</article><article>{sentence(3)}</article>{teaser}</body>")
+    assert all(f"number {k}" in text for k in (1, 2, 3)) and "TEASER" not in text
+
+
+@pytest.mark.parametrize("name", ["advert-300x250", "ads-by-google", "google-ad", "cookie-law-info", "related-stories",
+                                  "relatedStories", "outbrain", "author-bio"])
+def test_compound_names_of_other_parts(name):
+    from shopcast.llm.extract import main_text
+    leak = "<p>LEAK of words that are as dense as the article's own lines are here.</p>" * 3
+    text = main_text(f"<body><div class=post>{sentence(1)}{sentence(2)}{sentence(3)}</div><div class={name}>{leak}</div></body>")
+    assert "LEAK" not in text and "number 3" in text
+
+
+@pytest.mark.parametrize("name", ["comments-open", "has-sidebar", "no-comments", "discussion"])
+def test_names_on_the_article_s_own_wrapper(name):
+    from shopcast.llm.extract import main_text
+    assert "number 2" in main_text(f"<body><div class={name}>{sentence(1)}{sentence(2)}</div></body>")
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20_000, "<div>" * 8000 + "</span></b></table>" * 8000, "<b>" * 8000 + "</div>" * 8000,
+                                  "<b><p>" * 8000, "<ul>" + "<li><b><i>x" * 8000])
+def test_deep_pages_take_linear_time(page):
+    import time
+    from shopcast.llm.extract import main_text
+    began = time.process_time()
+    assert "text of the page" in main_text(page + "text of the page " * 20)
+    assert time.process_time() - began < 2.0
+
+
+def test_extract_rows(spark):
+    from shopcast.llm.extract import extract_text, main_text
+    pages = [(1, "u", f"<article>{sentence(1)}</article>")] * 2 + [(None, None, None), (3, "v", ""), (4, "w", "<p>" + "x " * 200_000)]
+    source = spark.createDataFrame([(*p, 5, "z") for p in pages], "page_id long, url string, html string, n_chars int, text string")
+    got = extract_text(source).collect()
+    assert sorted(((r.page_id, r.url, r.text, r.n_chars) for r in got), key=str) == sorted(
+        ((i, u, main_text(h), len(main_text(h))) for i, u, h in pages), key=str)
+    assert extract_text(source.limit(0)).count() == 0
