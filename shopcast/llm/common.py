@@ -8,20 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopcast.session import shared_dir
+
 #: A word: space and the control characters 9 to 13 separate.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder for intermediate tables, shared by driver and executors.
-
-    ``spark.checkpoint.dir`` of the session; where that is unset (tests),
-    a folder in the session's warehouse, which is shared as well.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-    return base.rstrip("/")
+    """The folder for intermediate tables, shared by driver and executors:
+    ``spark.checkpoint.dir`` of the session (see ``session.shared_dir``)."""
+    return shared_dir(spark)
 
 
 def table(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
