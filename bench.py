@@ -20,7 +20,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-ML_KEYS = {"feature_report", "model_comparison", "importance", "forecast_model"}
+ML_KEYS = {"feature_report", "model_comparison", "importance", "forecast_model",
+           "linear_comparison", "linear_importance", "linear_forecast"}
 
 
 def main() -> None:

@@ -40,11 +40,15 @@ def get_session(master: str | None = None, app: str = "shopcast",
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables that all executors reach.
 
-    ``spark.checkpoint.dir`` of the session; where that is unset, a folder
-    in the session's warehouse.  Never a temporary folder of one machine.
+    ``spark.checkpoint.dir`` of the session.  Where that is unset, a folder
+    in the warehouse serves a session that runs on one machine (``local``
+    masters: tests, the benchmark); on a cluster it is an error, as the
+    default warehouse is a folder of one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return base.rstrip("/")
 
