@@ -75,12 +75,12 @@ def run_linear(clean: DataFrame, label: str = "sales") -> dict:
         cents_to_units(F.col("sales_cents")).alias(label))
     features = [c for c in rows.columns if c not in ("store", "date", label)]
     train, test = TR.chronological_split(rows, 0.8)
-    models, metrics = {}, {}
-    for name, cols in {"known": features, "promo": features[:1]}.items():
+    models, metrics, inputs = {}, {}, {"known": features, "promo": features[:1]}
+    for name, cols in inputs.items():
         models[name] = Pipeline(stages=[*TR.feature_stages(cols), TR.linear_regression(label)]).fit(train)
         metrics[name] = TR.evaluate(models[name], test, label)
-    return {"cats": cats, "selected": features, "models": models, "metrics": metrics,
-            "best": TR.best_model(metrics)}
+    best = TR.best_model(metrics)
+    return {"cats": cats, "selected": inputs[best], "models": models, "metrics": metrics, "best": best}
 
 
 def save_run(spark, run: dict, out_dir: str) -> None:

@@ -782,7 +782,14 @@ def _linear_keys() -> dict[str, str]:
 SELECT '{name}' AS model, ROUND(sqrt(SUM(e * e) / COUNT(*)), 4) AS rmse, ROUND(SUM(abs(e)) / COUNT(*), 4) AS mae,
        ROUND(1.0 - SUM(e * e) / (var_pop(y) * COUNT(*)), 4) AS r2
 FROM (SELECT y, y - ({_predicted(feats)}) AS e FROM lin, {model} WHERE NOT train) x"""
-    coefs = " UNION ALL ".join(f"SELECT '{x}' AS feature, k{i} AS k FROM known" for i, x in enumerate(KNOWN))
+    def rmse(model, feats):
+        return f"(SELECT sqrt(AVG(pow(y - ({_predicted(feats)}), 2))) FROM lin, {model} WHERE NOT train)"
+    best = ("best", f"SELECT CASE WHEN {rmse('known', KNOWN)} <= {rmse('promo_only', KNOWN[:1])} "
+                    "THEN 'known' ELSE 'promo' END AS model")
+    coefs = " UNION ALL ".join(
+        f"SELECT '{name}' AS model, '{x}' AS feature, k{i} AS k FROM {model}"
+        for name, model, feats in (("known", "known", KNOWN), ("promo", "promo_only", KNOWN[:1]))
+        for i, x in enumerate(feats))
     design = f"""
 SELECT p.*, CASE WHEN isodow(p.date) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend, month(p.date) AS month,
        0 AS school_holiday, {_flags(HOT_TYPES)}
@@ -792,16 +799,18 @@ FROM promos p LEFT JOIN (SELECT store, arg_max(store_type, date) AS store_type,
 SELECT p.scenario, p.store, p.date, p.promo, CAST(GREATEST(pc, 0) AS DOUBLE) / CAST(100 AS DOUBLE) AS sales,
        CAST(CASE WHEN pc > 0 THEN FLOOR((CAST(pc AS DOUBLE) / CAST(100 AS DOUBLE))
                  / COALESCE(b.basket, CAST(10 AS DOUBLE))) ELSE 0 END AS BIGINT) AS customers
-FROM (SELECT d.*, CAST(FLOOR(({_predicted(KNOWN)}) * 100.0 + 0.5) AS BIGINT) AS pc FROM design d, known) p
+FROM (SELECT d.*, CAST(FLOOR(CASE WHEN b.model = 'known' THEN a.y ELSE o.y END * 100.0 + 0.5) AS BIGINT) AS pc
+      FROM design d, best b, LATERAL (SELECT {_predicted(KNOWN)} AS y FROM known) a,
+           LATERAL (SELECT {_predicted(KNOWN[:1])} AS y FROM promo_only) o) p
 LEFT JOIN basket b ON b.store = p.store AND b.day_of_week = isodow(p.date) AND b.promo = p.promo"""
     return {
         "linear_comparison": _linear_sql(f"""
 SELECT *, rmse = MIN(rmse) OVER () AS best
 FROM ({scores('known', 'known', KNOWN)} UNION ALL {scores('promo', 'promo_only', KNOWN[:1])}) s"""),
         "linear_importance": _linear_sql(f"""
-SELECT 'known' AS model, ROW_NUMBER() OVER (ORDER BY abs(k) DESC, feature) AS rank, feature, ROUND(k, 4) AS importance
-FROM ({coefs}) c"""),
-        "linear_forecast": _linear_sql(fc, *FC[2:-1], ("design", design)),
+SELECT model, ROW_NUMBER() OVER (ORDER BY abs(k) DESC, feature) AS rank, feature, ROUND(k, 4) AS importance
+FROM ({coefs}) c JOIN best USING (model)""", best),
+        "linear_forecast": _linear_sql(fc, *FC[2:-1], ("design", design), best),
     }
 
 
