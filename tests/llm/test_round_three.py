@@ -540,3 +540,28 @@ def test_extract_rows(spark):
     assert sorted(((r.page_id, r.url, r.text, r.n_chars) for r in got), key=str) == sorted(
         ((i, u, main_text(h), len(main_text(h))) for i, u, h in pages), key=str)
     assert extract_text(source.limit(0)).count() == 0
+
+
+# -- operator 8 ----------------------------------------------------------------
+
+def base_digest(text):
+    """The base spans by the contract's own patterns."""
+    import re
+    text = text or ""
+    assign = re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII)
+    spans = [("assign", m.start(), m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+    spans += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    spans.sort(key=lambda s: (s[1], ["assign", "access", "hex"].index(s[0])))
+    return (*(sum(s[0] == k for s in spans) for k in ("assign", "access", "hex")),
+            hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest())
+
+
+def test_base_spans_of_a_whole_table(spark):
+    from shopcast.llm import secret_scan
+    key = "0123456789abcdef01234567"
+    rows = table_rows(spark) + ODD + [(700, f"TOKEN = '{key}' paſſword: abcdefgh passwd=abc123 AKIA{'Z9' * 10}x {key}g"),
+                                      (701, "😀 api_key : \"a.b/c+d=e\" secret=short"), (702, "apikey:" + "z" * 100_000)]
+    got = secret_scan.digest(secret_scan.secrets(docs(spark, rows))).collect()
+    assert sorted(((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got), key=str) == sorted(
+        ((i, *base_digest(t)) for i, t in rows), key=str)
