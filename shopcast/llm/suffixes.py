@@ -47,6 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shopcast.llm.common import map_arrow, table, workers_ready
 from shopcast.llm.words import U64, buffers, groups, mix, prefix_hash
@@ -322,9 +323,9 @@ def repeats(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:
         _merge_bucket(width, SHARD_SPANS), f"id {kind}, th bigint, b bigint, e bigint")
     found = whole.unionByName(merged)
     if n_hot:
-        every_window = table(_windows(cut.filter("hot"), width), "hotwindows")
-        many = every_window.groupBy("ah", "wh").agg(F.sum("n").alias("many")).filter("many > 1")
-        windows = every_window.join(many, ["ah", "wh"])
+        # in one plan with the rest, so that the shuffle of the texts is used twice
+        many = F.sum("n").over(Window.partitionBy("ah", "wh"))
+        windows = _windows(cut.filter("hot"), width).withColumn("many", many).filter("many > 1")
         found = found.unionByName(windows.select(
             "id", "th", F.col("at").alias("b"), (F.col("at") + width).alias("e")))
     return found
