@@ -17,15 +17,15 @@ needs it and that lose nothing:
    such span goes to the partition of its anchor, so that all equal windows
    meet.
 
-Merging, in each partition: the spans are cut into shards; each shard's
-suffixes (one for each window start) are sorted, which is its BWT order.
-The interleave of the shards starts as one interval with one block for
-each shard and is refined: a pass reads the next block of bytes of each
-suffix in the open intervals, orders the interval by it, keeping the order
-of equals, and cuts it where neighbours differ, whose common prefix is the
-depth of the pass.  Order within a shard never changes, and no suffix is
-compared with another one again.  Intervals that are open at ``width``
-bytes are the repeated strings.
+Merging, in each partition: the spans are cut into shards, and each shard
+has its Burrows-Wheeler transform.  Symbols are blocks of bytes, an eighth
+of the width, and a span is read from each place of its first block, so a
+suffix begins at every byte and eight symbols are one window.  The
+transforms are merged by refining their interleave, one pass for each
+symbol (``merge``): a pass deals shard numbers to places by the symbols
+read along the interleave so far, which never sorts a suffix again.  The
+pass in which two neighbours part gives their common prefix; intervals that
+eight passes leave together are the repeated strings.
 
 An anchor with more than ``hot`` different spans would make a partition
 grow with the corpus; its windows are dealt by their own hash instead.
@@ -55,7 +55,7 @@ from shopcast.llm.words import U64, buffers, groups, mix, prefix_hash
 WIDTH, GRAM = 400, 32
 HOT = 4096
 #: Different spans that fill a partition of step 2, and those of a shard.
-BUCKET_SPANS, SHARD_SPANS = 4000, 500
+BUCKET_SPANS, SHARD_SPANS = 2000, 500
 #: Longest piece of one text that a numpy pass takes on.
 PIECE = 1 << 23
 _PLACE = U64((1 << 24) - 1)
@@ -159,85 +159,106 @@ def _cut_out(docs: DataFrame, width: int) -> DataFrame:
                                 "bytes binary")
 
 
-def block_widths(width: int) -> list[int]:
-    """Bytes that each pass of the refinement reads; their sum is ``width``."""
-    out, step = [], 32
-    while sum(out) < width:
-        out.append(min(step, width - sum(out)))
-        step *= 2
-    return out
+def block_of(width: int) -> int:
+    """Bytes of a symbol: the largest divisor of ``width`` up to an eighth."""
+    return max(d for d in range(1, max(1, width // 8) + 1) if width % d == 0)
 
 
-def _refine(symbols, interval: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order items by their blocks, pass by pass, within the intervals.
+def _by_symbol(symbols: np.ndarray) -> np.ndarray:
+    """Stable order by symbol: counting, 16 bits at a time."""
+    order = np.argsort((symbols & 0xFFFF).astype(np.uint16), kind="stable")
+    if len(symbols) and symbols.max() > 0xFFFF:
+        order = order[np.argsort((symbols >> 16).astype(np.uint16)[order], kind="stable")]
+    return order
 
-    ``symbols(items, depth, w)`` gives the w bytes at a depth as a number.
-    Each pass sees open intervals only and keeps the order of equals.
-    Returns the items in order and which of them are equal to another one
-    up to ``width`` bytes.
+
+class Suffixes:
+    """All suffixes of some spans, a row for each place 0 .. len of a span.
+
+    A span is read in steps of ``block`` bytes, from each of the ``block``
+    first places, so the suffix after that at ``i`` is at ``i + block`` and
+    the symbol before it is the block that ends at ``i``.  Symbols are
+    numbered over all spans; 0 stands before the first ``block`` places of a
+    span, and its last ``block`` places are empty suffixes.
     """
-    place = np.arange(len(interval))  # of the open items in the result
-    items = place.copy()
-    out, depth = items.copy(), 0
-    for w in block_widths(width):
-        symbol = symbols(items, depth, w)
-        if depth:
-            order = np.lexsort((symbol, interval))
-        else:
-            order = np.argsort(symbol, kind="stable")
-        items, interval, symbol = items[order], interval[order], symbol[order]
-        out[place] = items
-        new = np.ones(len(items), bool)
-        new[1:] = (interval[1:] != interval[:-1]) | (symbol[1:] != symbol[:-1])
-        alone = new.copy()
-        alone[:-1] &= new[1:]
-        interval = np.cumsum(new)
-        items, interval, place = items[~alone], interval[~alone], place[~alone]
-        depth += w
-    equal = np.zeros(len(out), bool)
-    equal[place] = True
-    return out, equal
+
+    def __init__(self, texts: list[bytes], block: int):
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        size = np.array([len(t) for t in texts], np.int64)
+        self.block = block
+        self.first = np.concatenate([[0], np.cumsum(size + 1)])  # row of each span's place 0
+        self.span = np.repeat(np.arange(len(texts), dtype=np.int32), size + 1)
+        self.place = (np.arange(self.first[-1]) - self.first[self.span]).astype(np.int32)
+        self.is_end = self.place > (size - block)[self.span]
+        inner = np.flatnonzero(self.place >= block)
+        at = inner - self.span[inner]  # in the bytes: every span before has one row more than bytes
+        sums, down = prefix_hash(data)
+        h = mix((sums[at] - sums[at - block]) * down[at - block])
+        self.symbol = np.zeros(len(self.span), np.int32)
+        self.symbol[inner] = np.unique(h, return_inverse=True)[1] + 1
 
 
 class Shard:
-    """Suffixes of some spans in BWT order, symbols being blocks of bytes."""
+    """The Burrows-Wheeler transform of the spans ``lo`` .. ``hi``: its rows
+    in the order of ``depth`` symbols, and the symbol before each one.
 
-    def __init__(self, texts: list[bytes], width: int):
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        size = np.array([len(t) for t in texts])
-        begin = np.cumsum(size) - size
-        number = size - width + 1
-        self.span = np.repeat(np.arange(len(texts)), number)
-        self.start = np.arange(len(self.span)) - np.repeat(np.cumsum(number) - number, number)
-        self.at = self.start + begin[self.span]
-        self.sums, self.down = prefix_hash(data)
-        order, _ = _refine(self.symbols, np.zeros(len(self.at), np.int64), width)
-        self.span, self.start, self.at = self.span[order], self.start[order], self.at[order]
-
-    def symbols(self, ranks: np.ndarray, depth: int, w: int) -> np.ndarray:
-        a = self.at[ranks] + depth
-        return mix((self.sums[a + w] - self.sums[a]) * self.down[a])
-
-
-def merge(shards: list[Shard], width: int) -> list[np.ndarray]:
-    """Refine the interleave of the shards to ``width`` bytes; for each
-    shard, which of its suffixes are equal to another one so far."""
-    sizes = [len(s.at) for s in shards]
-    z = np.repeat(np.arange(len(shards)), sizes)  # the interleave: a shard for each place
-    rank = np.arange(len(z)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-
-    def symbols(items: np.ndarray, depth: int, w: int) -> np.ndarray:
-        out, of = np.empty(len(items), U64), z[items]
-        for i, s in enumerate(shards):
-            mine = np.flatnonzero(of == i)
-            out[mine] = s.symbols(rank[items[mine]], depth, w)
-        return out
-
-    order, equal = _refine(symbols, np.zeros(len(z), np.int64), width)
-    out = [np.zeros(n, bool) for n in sizes]
-    for i in range(len(shards)):
-        out[i][rank[order[equal & (z[order] == i)]]] = True
-    return out
+    A pass sorts the rows, in their order so far, by the symbols before
+    them, which gives the rows one block earlier in the order of one symbol
+    more.
+    """
+
+    def __init__(self, suffixes: Suffixes, lo: int, hi: int, depth: int):
+        a, b = int(suffixes.first[lo]), int(suffixes.first[hi])
+        self.ends = np.flatnonzero(suffixes.is_end[a:b]) + a
+        rows = np.arange(a, b)
+        for _ in range(depth):
+            order = _by_symbol(suffixes.symbol[rows])[len(self.ends):]
+            rows = np.concatenate([self.ends, rows[order] - suffixes.block])
+        self.rows, self.bwt = rows, suffixes.symbol[rows]
+
+
+def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, common): the rows of all shards in the order of their merged
+    transform; ``common`` is the number of symbols a row shares with the one
+    before it, up to ``depth``.
+
+    ``z`` says which shard each place of the result takes its next row from.
+    It begins with the shards one after another and is refined: a pass reads
+    the transforms along ``z``, each from its first symbol on, and deals the
+    shard numbers to places by symbol, in the order read.  After pass p, z
+    is right for p symbols, and where a place parts from the one before it
+    for the first time the two share p - 1.  Suffixes aren't looked at, and
+    the rows of a shard never change their order.
+    """
+    bwt = np.concatenate([s.bwt for s in shards])
+    kind = np.uint8 if len(shards) < 256 else np.uint16
+    z = np.repeat(np.arange(len(shards), dtype=kind), [len(s.bwt) for s in shards])
+    ends = np.repeat(np.arange(len(shards), dtype=kind), [len(s.ends) for s in shards])
+    n, m = len(z), len(ends)
+    common = np.full(n, depth, np.int16)
+    interval = np.zeros(n, np.int32)
+    read = np.empty(n, np.int32)
+    for done in range(depth):
+        read[np.argsort(z, kind="stable")] = bwt
+        order = _by_symbol(read)[m:]
+        symbol, inside = read[order], interval[order]
+        new = np.ones(n, bool)  # each empty suffix is an interval of its own
+        new[m + 1:] = (symbol[1:] != symbol[:-1]) | (inside[1:] != inside[:-1])
+        common[new & (common == depth)] = done
+        interval = np.cumsum(new, dtype=np.int32)
+        z = np.concatenate([ends, z[order]])
+    rows = np.empty(n, np.int64)
+    rows[np.argsort(z, kind="stable")] = np.concatenate([s.rows for s in shards])
+    return rows, common
+
+
+def repeated(suffixes: Suffixes, shards: list[Shard], depth: int) -> np.ndarray:
+    """Rows, ascending, that lie in intervals of two rows or more which share
+    ``depth`` symbols."""
+    rows, common = merge(shards, depth)
+    deep = common >= depth
+    deep[:-1] |= deep[1:]
+    return np.sort(rows[deep])
 
 
 def _runs(flags: np.ndarray, width: int) -> list[tuple[int, int]]:
@@ -247,25 +268,25 @@ def _runs(flags: np.ndarray, width: int) -> list[tuple[int, int]]:
 
 
 def _merge_bucket(width: int, shard_spans: int):
+    block = block_of(width)
+
     def run(rows: pa.Table) -> pa.Table:
         texts = rows.column("bytes").to_pylist()
-        blocks = [range(i, min(i + shard_spans, len(texts))) for i in range(0, len(texts), shard_spans)]
-        shards = [Shard([texts[k] for k in b], width) for b in blocks]
-        single = [n == 1 for n in rows.column("n").to_pylist()]
-        lo = rows.column("lo").to_pylist()
+        suffixes = Suffixes(texts, block)
+        shards = [Shard(suffixes, i, min(i + shard_spans, len(texts)), width // block)
+                  for i in range(0, len(texts), shard_spans)]
+        found = repeated(suffixes, shards, width // block)
+        cut = np.searchsorted(found, suffixes.first)
+        single = np.asarray(rows.column("n")) == 1  # the others are known to be repeated
+        lo = np.asarray(rows.column("lo"))
         at, begin, end = [], [], []
-        for b, s, hit in zip(blocks, shards, merge(shards, width)):
-            order = np.lexsort((s.start[hit], s.span[hit]))
-            span, start = s.span[hit][order], s.start[hit][order]
-            cut = np.searchsorted(span, np.arange(len(b) + 1))
-            for k in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-                if single[b[k]]:  # the others are known to be repeated
-                    flags = np.zeros(len(texts[b[k]]) - width + 1, bool)
-                    flags[start[cut[k]:cut[k + 1]]] = True
-                    for x, y in _runs(flags, width):
-                        at.append(b[k])
-                        begin.append(lo[b[k]] + x)
-                        end.append(lo[b[k]] + y)
+        for k in np.flatnonzero((cut[1:] > cut[:-1]) & single).tolist():
+            flags = np.zeros(len(texts[k]) - width + 1, bool)
+            flags[suffixes.place[found[cut[k]:cut[k + 1]]]] = True
+            for x, y in _runs(flags, width):
+                at.append(k)
+                begin.append(lo[k] + x)
+                end.append(lo[k] + y)
         at = pa.array(at, pa.int64())
         return pa.table([rows.column("id").take(at), rows.column("th").take(at),
                          pa.array(begin, pa.int64()), pa.array(end, pa.int64())], ["id", "th", "b", "e"])

@@ -1,6 +1,7 @@
 """Alignment, exact copies and whitening against plain Python."""
 
 import hashlib
+import itertools
 import math
 from collections import Counter
 
@@ -565,3 +566,40 @@ def test_base_spans_of_a_whole_table(spark):
     got = secret_scan.digest(secret_scan.secrets(docs(spark, rows))).collect()
     assert sorted(((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got), key=str) == sorted(
         ((i, *base_digest(t)) for i, t in rows), key=str)
+
+
+# -- operator 4: the merge of transforms -----------------------------------------
+
+@pytest.mark.parametrize("width, per", [(24, 7), (40, 60), (7, 1), (40, 13)])
+def test_merged_transforms_against_sorted_suffixes(width, per):
+    import random
+
+    from shopcast.llm import suffixes
+    pick = random.Random(width * 100 + per)
+    base = [bytes(pick.choices(b"ab", k=300)) for _ in range(6)]
+    texts = []
+    for _ in range(60):
+        at = pick.randrange(200)
+        text = bytearray(pick.choice(base)[at:at + pick.randrange(width, width + 60)])
+        if pick.random() < .5:
+            text[pick.randrange(len(text))] = 99
+        texts.append(bytes(text))
+    block = suffixes.block_of(width)
+    depth = width // block
+    every = suffixes.Suffixes(texts, block)
+    shards = [suffixes.Shard(every, i, min(i + per, 60), depth) for i in range(0, 60, per)]
+    rows, common = suffixes.merge(shards, depth)
+    assert sorted(rows.tolist()) == list(range(len(every.span)))
+
+    def blocks(row):
+        text, at = texts[every.span[row]], int(every.place[row])
+        return [text[j:j + block] for j in range(at, len(text) - block + 1, block)][:depth]
+
+    keys = [blocks(r) for r in rows.tolist()]
+    for x, y, n in zip(keys, keys[1:], common[1:].tolist()):
+        assert n == next((k for k in range(depth) if x[k:k + 1] != y[k:k + 1] or not x[k:k + 1]), depth)
+    assert len(set(map(tuple, keys))) == len([1 for k, _ in itertools.groupby(map(tuple, keys))])
+    seen = Counter(t[i:i + width] for t in texts for i in range(len(t) - width + 1))
+    want = [int(every.first[k]) + i for k, t in enumerate(texts) for i in range(len(t) - width + 1)
+            if seen[t[i:i + width]] > 1]
+    assert suffixes.repeated(every, shards, depth).tolist() == want
