@@ -55,7 +55,7 @@ from shopcast.llm.words import U64, buffers, groups, mix, prefix_hash
 WIDTH, GRAM = 400, 32
 HOT = 4096
 #: Different spans that fill a partition of step 2, and those of a shard.
-BUCKET_SPANS, SHARD_SPANS = 2000, 500
+BUCKET_SPANS, SHARD_SPANS = 1000, 250
 #: Longest piece of one text that a numpy pass takes on.
 PIECE = 1 << 23
 _PLACE = U64((1 << 24) - 1)
