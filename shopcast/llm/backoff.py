@@ -17,7 +17,9 @@ numbers instead of one row for each n-gram:
 
 A frequent n-gram comes once from each group, so it is combined before the
 shuffle.  The number of groups and of buckets is in proportion to the
-corpus, so both stay of one size however large the corpus is.
+corpus, so both stay of one size however large the corpus is.  A group
+sends rows for the buckets that it has n-grams in, so there are never more
+rows than n-grams.
 
 Defined results: a null or wordless text has n_tokens 0, a log score of 0
 and a null mean; rows are scored one by one, so repeated rows and null ids
@@ -68,18 +70,17 @@ def _unpack(data: bytes, kind: type) -> np.ndarray:
 
 
 def _request(order: int, bits: int):
-    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
-
     def run(key: tuple, group: pa.Table) -> pa.Table:
         w = Words(*buffers(group.column("t")))
         rows: list[list] = [[], [], [], []]
         for k in range(1, order + 1):
             found, counts = np.unique(_grams(w, k)[0], return_counts=True)
-            cut = np.append(np.searchsorted(found, edges), len(found))
-            for b in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
-                part = slice(cut[b], cut[b + 1])
+            bucket = found >> np.uint64(64 - bits) if bits else np.zeros_like(found)
+            cut = np.flatnonzero(np.diff(bucket, prepend=~np.uint64(0), append=~np.uint64(0)))
+            for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                part = slice(lo, hi)
                 steps = np.diff(found[part], prepend=np.uint64(0))  # ascending hashes by their steps
-                for r, v in zip(rows, (k, b, _pack(steps), _pack(counts[part].astype(np.uint32)))):
+                for r, v in zip(rows, (k, int(bucket[lo]), _pack(steps), _pack(counts[part].astype(np.uint32)))):
                     r.append(v)
         return pa.table([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int32()),
                          pa.array([key[0].as_py()] * len(rows[0]), pa.int64()),
@@ -132,7 +133,7 @@ def _score(order: int, backoff: float, min_count: int, kind: pa.DataType):
             open_ &= ~hit
         logs[open_] += np.log(counts[0][open_])
         n = len(texts)
-        per = lambda x: np.bincount(w.text_of, weights=x, minlength=n)
+        per = lambda x: np.bincount(w.text_of, weights=x, minlength=n).astype(np.float64)
         return pa.table([texts.column("id").combine_chunks().cast(kind), pa.array(w.count.astype(np.int64)),
                          pa.array(per(logs)), pa.array(per(open_).astype(np.int64))],
                         ["id", "n_tokens", "logs", "n_single"])
@@ -140,7 +141,7 @@ def _score(order: int, backoff: float, min_count: int, kind: pa.DataType):
     return run
 
 
-def backoff_scores(docs: DataFrame, order: int = 2, backoff: float = 0.4, min_count: int = 2,
+def backoff_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: int = 2,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, n_backed_off, log_score, mean_log_score) by document.
 
@@ -152,7 +153,7 @@ def backoff_scores(docs: DataFrame, order: int = 2, backoff: float = 0.4, min_co
     n_groups = max(1, math.ceil(size / GROUP_BYTES))
     bits = max(0, math.ceil(math.log2(max(1, size / BUCKET_BYTES))))
     dealt = workers_ready(source).withColumn("grp", F.pmod(
-        F.xxhash64("id", F.octet_length("t")), F.lit(n_groups)))
+        F.xxhash64("id", "t"), F.lit(n_groups)))
     kind = source.schema["id"].dataType
     by_group = dealt.groupBy("grp")
     sent = by_group.applyInArrow(_request(order, bits), _REQUEST)

@@ -603,3 +603,33 @@ def test_merged_transforms_against_sorted_suffixes(width, per):
     want = [int(every.first[k]) + i for k, t in enumerate(texts) for i in range(len(t) - width + 1)
             if seen[t[i:i + width]] > 1]
     assert suffixes.repeated(every, shards, depth).tolist() == want
+
+
+# -- operator 6: edge cases --------------------------------------------------------
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_backoff_of_odd_rows_equals_brute_force(spark, monkeypatch, order):
+    from shopcast.llm import backoff
+    monkeypatch.setattr(backoff, "GROUP_BYTES", 20_000)
+    monkeypatch.setattr(backoff, "BUCKET_BYTES", 2_000)
+    rows = ODD + [(None, None), (None, "a b c d e"), (20, "a b c d e"), (20, "a b c d e")]
+    rows += [(30, "the end of the line " * 8_000)] + table_rows(spark)[:40]
+    split = lambda t: [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", t or "") if w]
+    counts = Counter(tuple(w[i:i + k]) for w in (split(t) for _, t in rows) for k in range(1, order + 1)
+                     for i in range(len(w) - k + 1))
+    n = sum(len(split(t)) for _, t in rows)
+    want = []
+    for i, t in rows:
+        w, total, single = split(t), 0.0, 0
+        for p in range(len(w)):
+            k = min(p, order - 1)
+            while k and counts[tuple(w[p - k:p + 1])] < 2:
+                total, k = total + math.log(0.4), k - 1
+            single += not k
+            total += math.log(counts[tuple(w[p - k:p + 1])] / (counts[tuple(w[p - k:p])] if k else n))
+        want.append((i, len(w), single, round(total, 3)))
+    got = backoff.backoff_scores(docs(spark, rows).repartition(4), order=order).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    got = sorted(((r.doc_id, r.n_tokens, r.n_backed_off, r.log_score) for r in got), key=key)
+    assert [r[:3] for r in got] == [r[:3] for r in sorted(want, key=key)]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in sorted(want, key=key)], abs=2e-3)
