@@ -7,7 +7,7 @@ documents.  The work is a join of two exploded sides by n-gram hash, with
 many n-grams packed into one row so that the shuffle moves blocks of
 numbers instead of one row for each n-gram:
 
-1. Documents are dealt into groups of a few MB by a hash of the row.  Each
+1. Documents are dealt into groups of 16 MB by a hash of the row.  Each
    group sends its distinct n-grams with their counts, one row for each
    range of hash values (``bucket``) and order.
 2. Each (order, bucket) is a partition of the count table: the counts of
@@ -40,7 +40,7 @@ from shopcast.llm.common import table, workers_ready
 from shopcast.llm.words import Words, buffers, inside_text, ngram_hash
 
 #: Bytes of text in a group, and of text whose n-grams fill a bucket.
-GROUP_BYTES = 3 << 20
+GROUP_BYTES = 16 << 20
 BUCKET_BYTES = 2 << 20
 
 _REQUEST = "`order` int, bucket int, grp bigint, hashes binary, counts binary"
@@ -58,15 +58,18 @@ def _binary(values: list) -> pa.Array:
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Numbers by byte planes: the planes of the high bytes, mostly zero,
-    take next to nothing once the shuffle compresses them."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    """Numbers by bit planes after their count: the planes of the high bits,
+    mostly zero, take next to nothing once the shuffle compresses them."""
+    size = values.itemsize
+    bits = np.unpackbits(values.astype(f">u{size}").view(np.uint8).reshape(-1, size), axis=1)
+    return len(values).to_bytes(4, "big") + np.packbits(bits.T, axis=1).tobytes()
 
 
 def _unpack(data: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(data, np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+    size, n = np.dtype(kind).itemsize, int.from_bytes(data[:4], "big")
+    planes = np.frombuffer(data, np.uint8, offset=4).reshape(8 * size, -1)
+    bits = np.packbits(np.unpackbits(planes, axis=1, count=n).T, axis=1)
+    return np.ascontiguousarray(bits).view(f">u{size}").ravel().astype(kind)
 
 
 def _request(order: int, bits: int):
