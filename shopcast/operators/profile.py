@@ -169,18 +169,21 @@ def correlations(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
 
 
 def target_correlations(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
-    """(feature, n, r): each column's r with ``target``, in one aggregate of
-    mergeable centred moments; 0 for a zero-variance column."""
-    data = _complete(df, [*cols, target])
-    aggs = [F.count("*").alias("n"), F.var_pop(target).alias("_vt")]
-    for i, c in enumerate(cols):
-        aggs += [F.var_pop(c).alias(f"_v{i}"), F.covar_pop(c, target).alias(f"_c{i}")]
-    rows = []
-    for i, c in enumerate(cols):
-        varies = (col(f"_v{i}") > 0) & (col("_vt") > 0)
-        r = F.when(varies, col(f"_c{i}") / (F.sqrt(f"_v{i}") * F.sqrt("_vt"))).otherwise(F.lit(0.0))
-        rows.append(F.struct(F.lit(c).alias("feature"), col("n"), r.alias("r")))
-    return data.agg(*aggs).select(F.inline(F.array(*rows)))
+    """(feature, n, r): each column's r with ``target``, in one pass of
+    mergeable centred moments; 0 for a zero-variance column and without rows.
+
+    A row becomes one (feature, value, target) row for each column; these
+    are added up before the shuffle by three aggregates, whatever the number
+    of columns.  An aggregate for each column makes a generated method that
+    the JVM no longer compiles."""
+    data = _complete(df, [*cols, target]).select(col(target).alias("_y"), *cols)
+    sums = data.unpivot(["_y"], cols, "feature", "_x").groupBy("feature").agg(
+        F.count("*").alias("n"), F.var_pop("_x").alias("_vx"), F.var_pop("_y").alias("_vy"),
+        F.covar_pop("_x", "_y").alias("_c"))
+    every = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, cols))).alias("feature"))
+    varies = (col("_vx") > 0) & (col("_vy") > 0)
+    r = F.when(varies, col("_c") / (F.sqrt("_vx") * F.sqrt("_vy"))).otherwise(F.lit(0.0))
+    return every.join(sums, "feature", "left").select("feature", F.coalesce("n", F.lit(0)).alias("n"), r.alias("r"))
 
 
 def correlation_with(df: DataFrame, target: str, cols: list[str],
