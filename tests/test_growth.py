@@ -2,10 +2,12 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from shopcast.operators import forecast as FC
 from shopcast.operators import profile as PR
 
 
@@ -27,3 +29,14 @@ def test_correlations_take_three_aggregates_for_any_number_of_columns(spark):
     assert got["c3"][1] == pytest.approx(rows.stat.corr("c3", "y"), abs=1e-12)
     none = PR.target_correlations(rows.filter("y > 2"), "y", cols).collect()
     assert len(none) == 31 and {(r["n"], r["r"]) for r in none} == {(0, 0.0)}
+
+
+def test_future_features_partitions_follow_the_history(spark, monkeypatch):
+    history = spark.range(600).select(
+        (F.col("id") % 20).alias("store"), F.expr("date_add(date'2001-01-01', cast(id div 20 as int))").alias("date"),
+        (F.col("id") * 7 % 1000).alias("sales_cents"), (F.col("id") % 9 + 1).alias("customers"), F.lit(1).alias("open"))
+    whole = FC.future_features(history, "2001-02-01", "2001-02-03").collect()
+    monkeypatch.setattr(FC, "TASK_ROWS", 10)
+    out = FC.future_features(history, "2001-02-01", "2001-02-03")
+    assert re.search(r"hashpartitioning\(store#\d+L?, 60\), REPARTITION_BY_NUM", plan(out))
+    assert sorted(out.collect()) == sorted(whole) and len(whole) == 60
