@@ -42,16 +42,17 @@ def run_training(clean: DataFrame, key: str | None = None, label: str = "sales",
         if key in _RUNS:
             return _RUNS[key]
     run = feature_run(clean, label)
-    train, test = TR.chronological_split(run["features"], 0.8, materialize_input=False)
-    held = [TR.fit_input(train, partitions), TR.fit_input(test, partitions)]
-    held.append(TR.fit_input(TR.tuning_sample(held[0]), partitions))
+    # the written table is read again for each pass: MLlib keeps its own binned rows
+    # while it grows trees, and a cache of the wide rows would push those to disk
+    train, test = (TR.dealt(x.select("store", "date", *run["selected"], label), partitions)
+                   for x in TR.chronological_split(run["features"], 0.8, materialize_input=False))
+    sample = TR.fit_input(TR.tuning_sample(train))
     try:
-        rf = TR.tune_forest(held[2], run["selected"], label, parallelism)
-        gbt = TR.tune_boosted(held[2], run["selected"], label, parallelism)
-        models, metrics = TR.train_all(held[0], held[1], run["selected"], rf, gbt, label)
+        rf = TR.tune_forest(sample, run["selected"], label, parallelism)
+        gbt = TR.tune_boosted(sample, run["selected"], label, parallelism)
     finally:
-        for frame in held:
-            frame.unpersist()
+        sample.unpersist()
+    models, metrics = TR.train_all(train, test, run["selected"], rf, gbt, label)
     run |= {"rf": rf, "gbt": gbt, "models": models, "metrics": metrics, "best": TR.best_model(metrics)}
     if key is not None:
         _RUNS[key] = run

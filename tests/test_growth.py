@@ -5,10 +5,12 @@ import io
 import re
 
 import pytest
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from shopcast.operators import forecast as FC
 from shopcast.operators import profile as PR
+from shopcast.operators import train as TR
 
 
 def plan(df) -> str:
@@ -40,3 +42,18 @@ def test_future_features_partitions_follow_the_history(spark, monkeypatch):
     out = FC.future_features(history, "2001-02-01", "2001-02-03")
     assert re.search(r"hashpartitioning\(store#\d+L?, 60\), REPARTITION_BY_NUM", plan(out))
     assert sorted(out.collect()) == sorted(whole) and len(whole) == 60
+
+
+def test_boosted_models_of_fewer_rounds_are_not_fitted_again(spark, monkeypatch):
+    rows = spark.range(300).select(
+        (F.col("id") % 10).alias("store"), F.expr("date_add(date'2001-01-01', cast(id as int))").alias("date"),
+        F.rand(1).alias("a"), F.rand(2).alias("b")).withColumn("sales", F.col("a") * 10 + F.col("b") + F.rand(3))
+    fitted, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, *a: fitted.append(self.getMaxIter()) or fit(self, *a))
+    est = GBTRegressor(featuresCol="features_scaled", labelCol="sales", seed=TR.SEED)
+    got = TR._tune(est, {"maxIter": [2, 5], "maxDepth": [2, 3]}, rows, ["a", "b"], "sales", 2)
+    assert fitted == [5] * 2 * TR.FOLDS and got["maxIter"] in (2, 5) and got["maxDepth"] in (2, 3)
+    data = TR.Pipeline(stages=TR.feature_stages(["a", "b"])).fit(rows).transform(rows).persist()
+    long, short = fit(est.copy({est.maxIter: 5}), data), fit(est.copy({est.maxIter: 2}), data)
+    assert TR._rmse(long, data, "sales", [2])[0] == pytest.approx(TR._rmse(short, data, "sales", [])[0], rel=1e-9)
+    data.unpersist()
