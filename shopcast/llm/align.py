@@ -37,6 +37,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,8 +50,9 @@ FOLDER = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Fixed value: how a byte-level pre-tokenizer cuts a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Text that one block holds, or one longer text.
-BLOCK_BYTES = 1 << 22
+#: Text that one block holds, or one longer text.  Tokens, links and shapes
+#: of a block take many times its text in the worker.
+BLOCK_BYTES = 1 << 21
 #: Needles that start from one anchor in a round of galloping.
 STRIDE = 64
 
@@ -321,7 +323,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[
     """(ids, texts) of at most ``BLOCK_BYTES``, or of one text."""
     for batch in batches:
         texts = batch.column(1)
-        lengths = np.array([len(s) if s is not None else 0 for s in texts.cast(pa.binary()).to_pylist()], np.int64)
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         at = 0
         ends = np.cumsum(lengths)
         while at < len(lengths):
