@@ -7,12 +7,16 @@ documents.  The work is a join of two exploded sides by n-gram hash, with
 many n-grams packed into one row so that the shuffle moves blocks of
 numbers instead of one row for each n-gram:
 
-1. Documents are dealt into groups of a few MB by a hash of the row.  Each
-   group sends its distinct n-grams with their counts, one row for each
-   range of hash values (``bucket``) and order.
+1. Documents are dealt into groups of a few MB as they come, each one row
+   of compressed texts.  A group sends its distinct words and word pairs
+   with their counts, one row for each range of hash values (``bucket``)
+   and order.
 2. Each (order, bucket) is a partition of the count table: the counts of
    all groups are summed and each group gets the sums of what it sent.
-3. Groups meet the answers and their texts again, score every word and sum
+3. For each higher order the groups meet the answers of the lower ones and
+   send the n-grams whose two shorter ones are seen ``min_count`` times; no
+   other can be, and counts below that are never asked for.
+4. Groups meet all answers and their texts again, score every word and sum
    up by document.
 
 A frequent n-gram comes once from each group, so it is combined before the
@@ -29,28 +33,61 @@ empty result.
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopcast.llm.common import table, workers_ready
+from shopcast.llm.common import map_arrow, table
 from shopcast.llm.words import Words, buffers, inside_text, ngram_hash
 
 #: Bytes of text in a group, and of text whose n-grams fill a bucket.
-GROUP_BYTES = 3 << 20
-BUCKET_BYTES = 2 << 20
+GROUP_BYTES = 4 << 20
+BUCKET_BYTES = 4 << 20
 
+_GROUP = "grp bigint, texts binary"
 _REQUEST = "`order` int, bucket int, grp bigint, hashes binary, counts binary"
 _ANSWER = "`order` int, bucket int, grp bigint, counts binary"
+_ZSTD = pa.Codec("zstd")
+
+
+def _deal(limit: int):
+    """Rows (id, t) as groups of ``limit`` bytes of text or one row more.  A
+    group is named after its content, so it has its name again if a task is
+    run again."""
+    def group(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(pa.Table.from_batches(held).combine_chunks())
+        texts = sink.getvalue().to_pybytes()
+        name = int.from_bytes(hashlib.blake2b(texts, digest_size=8).digest(), "little", signed=True)
+        return pa.record_batch([pa.array([name], pa.int64()), _binary([texts])], ["grp", "texts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, room = [], limit
+        for batch in batches:
+            offsets, at = buffers(batch.column(1))[1] + 8 * np.arange(len(batch) + 1), 0  # empty rows count too
+            while at < len(batch):
+                to = min(max(int(np.searchsorted(offsets, offsets[at] + room)), at + 1), len(batch))
+                held.append(batch.slice(at, to - at))
+                room -= int(offsets[to] - offsets[at])
+                at = to
+                if room <= 0:
+                    yield group(held)
+                    held, room = [], limit
+        if held:
+            yield group(held)
 
+    return run
 
-def _grams(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the k-grams inside texts, and the word each one ends at."""
-    at = np.flatnonzero(inside_text(w.first, k))
-    return ngram_hash(w.hash, k)[at], at + (k - 1)
+
+def _rows(group: pa.Table) -> pa.Table:
+    """The rows (id, t) of a group; of all groups of that content."""
+    return pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in group.column("texts").to_pylist()])
 
 
 def _binary(values: list) -> pa.Array:
@@ -58,23 +95,59 @@ def _binary(values: list) -> pa.Array:
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Numbers by byte planes: the planes of the high bytes, mostly zero,
-    take next to nothing once the shuffle compresses them."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    """Numbers by byte planes, compressed: the planes of the high bytes are
+    mostly zero, and those of small numbers take the bits they need."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(values).to_bytes(4, "little") + _ZSTD.compress(planes, asbytes=True)
 
 
 def _unpack(data: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(data, np.uint8).reshape(size, -1)
+    size, n = np.dtype(kind).itemsize, int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(_ZSTD.decompress(data[4:], n * size, asbytes=True), np.uint8).reshape(size, n)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def _request(order: int, bits: int):
-    def run(key: tuple, group: pa.Table) -> pa.Table:
-        w = Words(*buffers(group.column("t")))
+def _grams(w: Words, k: int, counts: list[np.ndarray], min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the k-grams that are sent, and the word each one ends at:
+    those inside texts, from order 3 on only where both shorter n-grams have
+    ``min_count`` by ``counts`` (of each lower order, by last word)."""
+    at = np.flatnonzero(inside_text(w.first, k))
+    if k > 2:
+        enough = counts[k - 2] >= min_count
+        at = at[enough[at + (k - 1)] & enough[at + (k - 2)]]
+    return ngram_hash(w.hash, k)[at], at + (k - 1)
+
+
+def _counts(w: Words, answers: pa.Table, lowest: int, order: int, min_count: int) -> list[np.ndarray]:
+    """For each order the count of the n-gram that ends at each word; 0 below
+    the ``lowest`` order and for n-grams that weren't sent."""
+    answers = answers.sort_by([("order", "ascending"), ("bucket", "ascending")])
+    of = np.asarray(answers.column("order").to_numpy())
+    blobs = answers.column("counts")
+    out = [np.zeros(len(w.start)) for _ in range(order)]
+    for k in range(lowest, order + 1):
+        grams, ends = _grams(w, k, out, min_count)
+        sent, inverse = np.unique(grams, return_inverse=True)
+        found = np.concatenate([np.zeros(0, np.uint64), *(
+            _unpack(blobs[i].as_py(), np.uint64) for i in np.flatnonzero(of == k).tolist())])
+        if len(sent) != len(found):
+            raise RuntimeError("the rows of a group are others than those that were counted")
+        out[k - 1][ends] = found[inverse]
+    return out
+
+
+def _request(orders: range, bits: int, min_count: int):
+    def first(key: tuple, group: pa.Table) -> pa.Table:
+        return send(key, Words(*buffers(_rows(group).column("t"))), [])
+
+    def later(key: tuple, group: pa.Table, answers: pa.Table) -> pa.Table:
+        w = Words(*buffers(_rows(group).column("t")))
+        return send(key, w, _counts(w, answers, 2, orders[0] - 1, min_count))
+
+    def send(key: tuple, w: Words, known: list[np.ndarray]) -> pa.Table:
         rows: list[list] = [[], [], [], []]
-        for k in range(1, order + 1):
-            found, counts = np.unique(_grams(w, k)[0], return_counts=True)
+        for k in orders:
+            found, counts = np.unique(_grams(w, k, known, min_count)[0], return_counts=True)
             bucket = found >> np.uint64(64 - bits) if bits else np.zeros_like(found)
             cut = np.flatnonzero(np.diff(bucket, prepend=~np.uint64(0), append=~np.uint64(0)))
             for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
@@ -87,7 +160,7 @@ def _request(order: int, bits: int):
                          _binary(rows[2]), _binary(rows[3])],
                         ["order", "bucket", "grp", "hashes", "counts"])
 
-    return run
+    return later if orders[0] > 2 else first
 
 
 def _count(rows: pa.Table) -> pa.Table:
@@ -107,21 +180,11 @@ def _count(rows: pa.Table) -> pa.Table:
 
 
 def _score(order: int, backoff: float, min_count: int, kind: pa.DataType):
-    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(group: pa.Table, answers: pa.Table) -> pa.Table:
+        texts = _rows(group)
         w = Words(*buffers(texts.column("t")))
-        answers = answers.sort_by([("order", "ascending"), ("bucket", "ascending")])
-        of = np.asarray(answers.column("order").to_numpy())
-        blobs = answers.column("counts").to_pylist()
+        counts = _counts(w, answers, 1, order, min_count)
         place = np.arange(len(w.start)) - np.repeat(w.first[:-1], w.count)  # in its text
-        counts = []
-        for k in range(1, order + 1):
-            grams, ends = _grams(w, k)
-            _, inverse = np.unique(grams, return_inverse=True)
-            known = [_unpack(blobs[i], np.uint64) for i in np.flatnonzero(of == k)]
-            c = np.zeros(len(w.start))
-            if known:
-                c[ends] = np.concatenate(known)[inverse]
-            counts.append(c)
         level = np.minimum(place, order - 1)  # words of context there are
         logs = np.zeros(len(w.start))
         open_ = np.ones(len(w.start), bool)
@@ -152,12 +215,14 @@ def backoff_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_co
     size = source.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n_groups = max(1, math.ceil(size / GROUP_BYTES))
     bits = max(0, math.ceil(math.log2(max(1, size / BUCKET_BYTES))))
-    dealt = workers_ready(source).withColumn("grp", F.pmod(
-        F.xxhash64("id", "t"), F.lit(n_groups)))
     kind = source.schema["id"].dataType
-    by_group = dealt.groupBy("grp")
-    sent = by_group.applyInArrow(_request(order, bits), _REQUEST)
+    by_group = map_arrow(source.coalesce(n_groups), _deal(GROUP_BYTES), _GROUP).groupBy("grp")
+    sent = by_group.applyInArrow(_request(range(1, min(order, 2) + 1), bits, min_count), _REQUEST)
     answers = sent.groupBy("order", "bucket").applyInArrow(_count, _ANSWER)
+    for k in range(3, order + 1):
+        lower = answers.filter("`order` > 1").groupBy("grp")
+        sent = by_group.cogroup(lower).applyInArrow(_request(range(k, k + 1), bits, min_count), _REQUEST)
+        answers = answers.unionAll(sent.groupBy("order", "bucket").applyInArrow(_count, _ANSWER))
     from pyspark.sql.pandas.types import to_arrow_type
     scored = by_group.cogroup(answers.groupBy("grp")).applyInArrow(
         _score(order, backoff, min_count, to_arrow_type(kind)),
