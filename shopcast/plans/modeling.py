@@ -8,6 +8,9 @@ so the comparison, importance and forecast keys train once.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,10 +80,16 @@ def run_linear(clean: DataFrame, label: str = "sales") -> dict:
     features = [c for c in rows.columns if c not in ("store", "date", label)]
     # the rows are a narrow projection of a written table: no second copy of it
     train, test = TR.chronological_split(rows, 0.8, materialize_input=False)
-    models, metrics, inputs = {}, {}, {"known": features, "promo": features[:1]}
-    for name, cols in inputs.items():
-        models[name] = Pipeline(stages=[*TR.feature_stages(cols), TR.linear_regression(label)]).fit(train)
-        metrics[name] = TR.evaluate(models[name], test, label)
+    inputs = {"known": features, "promo": features[:1]}
+
+    def fit(name: str):
+        model = Pipeline(stages=[*TR.feature_stages(inputs[name]), TR.linear_regression(label)]).fit(train)
+        return model, TR.evaluate(model, test, label)
+
+    # at once, so that the cores a pass of one leaves idle serve the other
+    with ThreadPool(len(inputs)) as pool:
+        fitted = dict(zip(inputs, pool.map(inheritable_thread_target(clean.sparkSession)(fit), inputs)))
+    models, metrics = ({name: x[i] for name, x in fitted.items()} for i in (0, 1))
     best = TR.best_model(metrics)
     return {"cats": cats, "selected": inputs[best], "models": models, "metrics": metrics, "best": best}
 
