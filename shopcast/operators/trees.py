@@ -130,15 +130,21 @@ class Tree:
         self.child, self.feature, self.split, self.gain = [0], [0], [0], [-1.0]
         self.stats = [None]                   # weight, sum, sum of squares
         self.open = [0]                       # nodes of the deepest level that may be split
+        # of the level above, if known: sums by cell, totals; which of its nodes the pairs
+        # in ``open`` come from, and the lighter side of each pair
+        self.held, self.parents, self.lighter = None, [], []
 
     def extend(self, found: dict, last: bool) -> None:
         """Apply what a pass has found for the open nodes."""
         opened = []
+        self.held, self.parents, self.lighter = found.get("held"), [], []
         for i, node in enumerate(self.open):
             self.stats[node] = found["total"][i]
             if not found["ok"][i]:
                 continue
             left = len(self.child)
+            self.parents.append(i)
+            self.lighter.append(int(2 * found["left"][i][0] > found["total"][i][0]))
             self.child[node], self.gain[node] = left, float(found["gain"][i])
             self.feature[node], self.split[node] = int(found["feature"][i]), int(found["split"][i])
             for side in (found["left"][i], found["total"][i] - found["left"][i]):
@@ -171,12 +177,24 @@ class Tree:
             return node
         return walk
 
-    def depth(self) -> int:
+    def levels(self) -> list[int]:
+        """The level of each node; nodes come level by level."""
         deep = [0] * len(self.child)
         for i, c in enumerate(self.child):
             if c:
                 deep[c] = deep[c + 1] = deep[i] + 1
-        return max(deep)
+        return deep
+
+    def depth(self) -> int:
+        return max(self.levels())
+
+    def cut(self, depth: int) -> Tree:
+        """The tree as it is if grown no further than ``depth``."""
+        out, deep = Tree(), self.levels()
+        n = sum(x <= depth for x in deep)
+        out.child = [c if d < depth else 0 for c, d in zip(self.child[:n], deep)]
+        out.feature, out.split, out.gain, out.stats = self.feature[:n], self.split[:n], self.gain[:n], self.stats[:n]
+        return out
 
 
 def drawn(rate: float, replacement: bool) -> np.ndarray | None:
@@ -199,15 +217,34 @@ def chosen_cells(layout: Layout, nodes: int, count: int, seed) -> np.ndarray:
     return np.repeat(rank < count, layout.size, axis=1)
 
 
-def best_splits(parts: list[np.ndarray], layout: Layout, mask: np.ndarray, totals: bool, s: dict) -> dict:
-    """Of the open nodes of one tree, from the flat sums of all partitions.
-    ``totals``: the sums of squares are by cell, too."""
+def unpacked(parts: list[np.ndarray], layout: Layout, mask: np.ndarray, squares: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by (moment, node, cell) and by (moment, node) from the flat sums
+    of all partitions; the squares by cell are 0 if not sent."""
     nodes, kept = len(mask), int(mask.sum())
     flat = np.sum(parts, axis=0)
     sums = np.zeros((3, nodes, layout.cells))
-    for i in range(3 if totals else 2):
+    for i in range(3 if squares else 2):
         sums[i][mask] = flat[i * kept:(i + 1) * kept]
-    total = flat[-3 * nodes:].reshape(3, nodes)
+    return sums, flat[-3 * nodes:].reshape(3, nodes)
+
+
+def with_siblings(sums: np.ndarray, total: np.ndarray, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of both nodes of each pair from those of the lighter one and
+    of the node above.  Weights are whole numbers, so an empty cell is known
+    to be empty."""
+    above, above_total = (x[:, tree.parents] for x in tree.held)
+    rest, light = above - sums, np.array(tree.lighter)
+    rest[1:, rest[0] == 0] = 0.0
+    pairs, heads = np.empty((3, 2 * len(light), sums.shape[2])), np.empty((3, 2 * len(light)))
+    at = 2 * np.arange(len(light))
+    pairs[:, at + light], pairs[:, at + 1 - light] = sums, rest
+    heads[:, at + light], heads[:, at + 1 - light] = total, above_total - total
+    return pairs, heads
+
+
+def best_splits(sums: np.ndarray, total: np.ndarray, layout: Layout, mask: np.ndarray, s: dict) -> dict:
+    """Of the open nodes of one tree."""
+    nodes = len(mask)
     left = np.zeros((3, nodes, layout.cells))
     for start, size in zip(layout.start, layout.size):
         left[:, :, start:start + size] = np.cumsum(sums[:, :, start:start + size], axis=2)
@@ -230,20 +267,26 @@ def best_splits(parts: list[np.ndarray], layout: Layout, mask: np.ndarray, total
 def one_pass(blocks, partitions: int, layout: Layout, level: int, work: dict, last: bool, s: dict) -> dict:
     """Best splits of the open nodes of the trees of ``work`` (by number)."""
     table, seed, take = drawn(s["rate"], s["replacement"]), s["seed"], s["take"]
+    size = sum(8 * (3 if last else 2) * len(t.open) * layout.cells for t in work.values()) * take / len(layout.size)
+    on_driver, whole = size * partitions <= DRIVER_BYTES, take >= len(layout.size)
+    # one node of a pair is what its sibling leaves of the node above
+    halves = on_driver and whole and not last and all(t.held is not None for t in work.values())
+    nodes = {k: [t.open[2 * i + side] for i, side in enumerate(t.lighter)] if halves else t.open for k, t in work.items()}
 
-    def mask(number):
-        return chosen_cells(layout, len(work[number].open), take, [seed, number, level, 1])
+    def mask(number, count):
+        return chosen_cells(layout, count, take, [seed, number, level, 1])
 
     def sums(part, held):
         walks, slots, acc, masks = {}, {}, {}, {}
         for number, tree in work.items():
-            masks[number] = mask(number)
+            own = nodes[number]
+            masks[number] = mask(number, len(own))
             read = sorted({int(layout.column[f]) for f in np.flatnonzero(masks[number].any(axis=0)[layout.start])})
             walks[number] = tree.walker(layout)
             slots[number] = np.full(len(tree.child), -1, dtype=np.intp)
-            slots[number][tree.open] = np.arange(len(tree.open))
-            acc[number] = ([{c: np.zeros(len(tree.open) * layout.widths[c]) for c in read} for _ in range(3 if last else 2)],
-                           np.zeros((3, len(tree.open))))
+            slots[number][own] = np.arange(len(own))
+            acc[number] = ([{c: np.zeros(len(own) * layout.widths[c]) for c in read} for _ in range(3 if last else 2)],
+                           np.zeros((3, len(own))))
         for key, bins, target in held:
             for number in work:
                 if table is None:
@@ -273,7 +316,11 @@ def one_pass(blocks, partitions: int, layout: Layout, level: int, work: dict, la
     def best(parts_of):
         for number, parts in parts_of.items():
             own = [x for _, x in sorted(parts, key=lambda p: p[0])]
-            yield number, best_splits(own, layout, mask(number), last, s)
+            sums, total = unpacked(own, layout, mask(number, len(nodes[number])), last)
+            if halves:
+                sums, total = with_siblings(sums, total, work[number])
+            found = best_splits(sums, total, layout, mask(number, total.shape[1]), s)
+            yield number, found | ({"held": (sums, total)} if on_driver and whole and not last else {})
 
     def gathered(pairs):
         out: dict = {}
@@ -282,8 +329,7 @@ def one_pass(blocks, partitions: int, layout: Layout, level: int, work: dict, la
         return best(out)
 
     made = blocks.mapPartitionsWithIndex(sums)
-    size = sum(8 * (3 if last else 2) * len(t.open) * layout.cells for t in work.values()) * take / len(layout.size)
-    if size * partitions <= DRIVER_BYTES:
+    if on_driver:
         return dict(gathered(made.collect()))
     return dict(made.partitionBy(min(partitions, len(work)), int).mapPartitions(gathered).collect())
 
@@ -403,9 +449,10 @@ def feature_count(strategy: str, features: int, trees: int) -> int | None:
             "log2": max(1, int(np.ceil(np.log2(features))))}.get(named)
 
 
-def fitted(est, data: DataFrame, kind, trees: int, make):
+def fitted(est, data: DataFrame, kind, trees: int, make, cuts: list | None = None):
     """The model of ``make(blocks, partitions, layout, settings)``, which
-    gives trees and their weights; None where only MLlib can fit ``est``
+    gives trees and their weights, or the models of its first trees cut at a
+    depth, for each (estimator, trees, depth) of ``cuts``; None where only MLlib can fit ``est``
     (weights, other losses, nominal features, very deep trees) or there are
     no rows."""
     features, label, spark = est.getFeaturesCol(), est.getLabelCol(), workers_ready(data.sparkSession)
@@ -439,18 +486,36 @@ def fitted(est, data: DataFrame, kind, trees: int, make):
         grown, weights = make(blocks, partitions, layout, s)
     finally:
         blocks.unpersist()
-    return to_model(est, kind, spark, grown, weights, layout)
+    if cuts is None:
+        return to_model(est, kind, spark, grown, weights, layout)
+    return [to_model(e, kind, spark, [t.cut(depth) for t in grown[:k]], weights[:k], layout) for e, k, depth in cuts]
 
 
 class RandomForestRegressor(ML.RandomForestRegressor):
     """MLlib's forest, grown from blocks."""
 
-    def _fit(self, dataset: DataFrame):
+    def _grown(self, dataset: DataFrame, cuts: list | None = None):
         count = self.getNumTrees()
-        model = fitted(self, dataset, ML.RandomForestRegressionModel, count, lambda blocks, partitions, layout, s: (
-            grow(blocks, partitions, layout, range(count), s), [1.0] * count))
+        return fitted(self, dataset, ML.RandomForestRegressionModel, count, lambda blocks, partitions, layout, s: (
+            grow(blocks, partitions, layout, range(count), s), [1.0] * count), cuts)
+
+    def _fit(self, dataset: DataFrame):
+        model = self._grown(dataset)
         return super()._fit(dataset) if model is None else model
 
+    def fit_cuts(self, dataset: DataFrame, settings: list[dict]) -> list:
+        """The models of settings that differ in ``numTrees`` and ``maxDepth``.
+        What a tree draws depends on its number and a node's level alone, so
+        each of these forests is the beginning of the largest one, which is
+        the only one to be grown.  A single tree takes other features."""
+        ests = [self.copy({self.getParam(k): v for k, v in x.items()}) for x in settings]
+        sizes = [(e, e.getNumTrees(), e.getMaxDepth()) for e in ests]
+        models = None
+        if min(k for _, k, _ in sizes) > 1 and min(d for *_, d in sizes) > 0:
+            most = {self.numTrees: max(k for _, k, _ in sizes), self.maxDepth: max(d for *_, d in sizes)}
+            models = ests[0].copy(most)._grown(dataset, sizes)
+        return [e.fit(dataset) for e in ests] if models is None else models
+
 
 class GBTRegressor(ML.GBTRegressor):
     """MLlib's boosted trees, grown from blocks."""

@@ -1,5 +1,7 @@
 """Trees grown from blocks against MLlib's own."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -60,6 +62,27 @@ def test_drawn_rows_and_features(rows, monkeypatch):
     assert rmse(ours) == pytest.approx(rmse(theirs), rel=0.1)
 
 
+def test_forests_cut_out_of_a_larger_one_are_what_their_own_fit_gives(rows):
+    def shown(model):
+        return [re.sub(r"\d+\.\d+(E-?\d+)?", lambda x: f"{float(x[0]):.9g}", t.toDebugString.split("\n", 1)[1])
+                for t in model.trees]
+
+    est = TB.RandomForestRegressor(featuresCol="v", labelCol="y", seed=42, minInstancesPerNode=2)
+    settings = [{"numTrees": k, "maxDepth": d} for k in (2, 4) for d in (2, 4)]
+    for x, model in zip(settings, est.fit_cuts(rows, settings)):
+        own = est.copy({est.getParam(k): v for k, v in x.items()}).fit(rows)
+        assert shown(model) == shown(own) and model.getMaxDepth() == x["maxDepth"] and model.getNumTrees == x["numTrees"]
+    assert len(est.fit_cuts(rows, [{"numTrees": 1, "maxDepth": 1}, {"numTrees": 2, "maxDepth": 1}])) == 2
+
+
+def test_sums_of_siblings_are_read_for_the_lighter_one_only(rows, monkeypatch):
+    """The last level apart, which needs the squares by cell."""
+    seen, keep = [], TB.with_siblings
+    monkeypatch.setattr(TB, "with_siblings", lambda sums, *a: seen.append(sums.shape[1]) or keep(sums, *a))
+    TB.GBTRegressor(featuresCol="v", labelCol="y", seed=42, maxIter=1, maxDepth=4).fit(rows)
+    assert seen == [1, 2]
+
+
 def test_weights_are_poisson_and_shares():
     w = TB.drawn(1.0, True)
     assert w.mean() == pytest.approx(1.0, abs=1e-3) and (w == 0).mean() == pytest.approx(np.exp(-1), abs=1e-4)
