@@ -469,7 +469,9 @@ def fitted(est, data: DataFrame, kind, trees: int, make, cuts: list | None = Non
         return None
     # as many rows as MLlib takes for its split candidates
     share = max(est.getMaxBins() ** 2, 10000) / n
-    seen = rows.select("x") if share >= 1 else rows.select("x").sample(False, share, est.getSeed())
+    # by numbers of its own: rows drawn before by the same seed would be drawn in the same order
+    own = (est.getSeed() * 0x9E3779B97F4A7C15 + 1) % 2 ** 63
+    seen = rows.select("x") if share >= 1 else rows.select("x").sample(False, share, own)
     seen = np.array([r.x for r in seen.collect()] or [rows.first().x])
     take = feature_count(est.getFeatureSubsetStrategy(), seen.shape[1], trees)
     if take is None:

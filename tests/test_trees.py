@@ -83,6 +83,14 @@ def test_sums_of_siblings_are_read_for_the_lighter_one_only(rows, monkeypatch):
     assert seen == [1, 2]
 
 
+def test_split_candidates_do_not_follow_a_column_of_the_same_seed(spark):
+    df = spark.range(0, 60000, 1, 2).select(F.rand(42).alias("a"), F.rand(7).alias("y"))
+    df = VectorAssembler(inputCols=["a"], outputCol="v").transform(df.withColumn("y", F.col("a") * 5))
+    model = TB.RandomForestRegressor(featuresCol="v", labelCol="y", seed=42, numTrees=2, maxDepth=1).fit(df)
+    cuts = [float(x) for t in model.trees for x in re.findall(r"<= (\d+\.\d+)", t.toDebugString)]
+    assert len(cuts) == 2 and all(0.4 < x < 0.6 for x in cuts)
+
+
 def test_weights_are_poisson_and_shares():
     w = TB.drawn(1.0, True)
     assert w.mean() == pytest.approx(1.0, abs=1e-3) and (w == 0).mean() == pytest.approx(np.exp(-1), abs=1e-4)
